@@ -191,7 +191,7 @@ def lineitem_row_events(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         ev.alias("event_type"),
         F.struct(
             F.when(ev == "UPDATE", _line_values(F.lit("O"))).otherwise(_line_values()).alias("b"),
-            _line_values().alias("a"),
+            F.when(ev == "UPDATE", _line_values()).alias("a"),
         ).alias("_pair"),
     )
     grouped = li.groupBy("l_orderkey", "_block", "event_type").agg(F.collect_list("_pair").alias("_pairs"))

@@ -28,6 +28,12 @@ def get_session(master: str = "local[*]", app: str = "changelake", **conf) -> Sp
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Broadcast only on measured sizes: no plan-time broadcast from file
+        # size estimates; AQE converts a join to broadcast when the built
+        # side's materialised shuffle is below the adaptive threshold, and
+        # operators use checked_broadcast() for dimension-sized sides.
+        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "64MB")
         .config("spark.sql.session.timeZone", "UTC")
     )
     for key, value in conf.items():
@@ -50,3 +56,4 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/changelake/{name}-{uuid.uuid4().hex[:12]}"
+

@@ -23,14 +23,18 @@ MAP_COLUMNS = ("position", "table_id", "database", "table")
 
 
 def _latest_state(spark: SparkSession, state: str, batch_id: int) -> DataFrame | None:
+    """Carried map written by the previous micro-batch.
+
+    Micro-batch ids are consecutive and a batch only commits after its
+    state is written, so the previous part is read by path: O(1) per
+    batch, however long the stream has run.
+    """
+    if batch_id == 0:
+        return None
     try:
-        parts = spark.read.parquet(state)
+        return spark.read.parquet(f"{state}/batch_id={batch_id - 1}").select(*MAP_COLUMNS)
     except AnalysisException:
         return None
-    prev = parts.filter(F.col("batch_id") < batch_id).agg(F.max("batch_id").alias("b")).first()["b"]
-    if prev is None:
-        return None
-    return parts.filter(F.col("batch_id") == prev).select(*MAP_COLUMNS)
 
 
 def carry_map(maps: DataFrame) -> DataFrame:
