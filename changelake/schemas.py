@@ -20,6 +20,10 @@ TRANSACTION_ROW = T.StructType(
     ]
 )
 
+# Fixed value: the DDL spells the column affiliateId while the lake schema
+# reads affiliateid; JSON keys are case-sensitive, so both are accepted.
+TRANSACTION_ALIASES = {"affiliateid": ["affiliateId"]}
+
 # Same table as generated/stored (batch side).
 TRANSACTION_TABLE = T.StructType(
     [

@@ -12,6 +12,8 @@ events that needed it cannot correct output already written.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -45,9 +47,16 @@ def carry_map(maps: DataFrame) -> DataFrame:
     return latest.select("m.*")
 
 
-def table_map_batch(batch: DataFrame, batch_id: int, out: str, state: str,
-                    bucket_width: int = 1 << 20) -> None:
-    """One micro-batch of the carried lookup."""
+Sink = Callable[[DataFrame, int], None]
+
+
+def table_map_batch(batch: DataFrame, batch_id: int, out: str | None, state: str,
+                    bucket_width: int = 1 << 20, sink: Sink | None = None) -> None:
+    """One micro-batch of the carried lookup.
+
+    The looked-up events go to ``out/batch_id=N`` (overwritten on replay),
+    or to ``sink(df, batch_id)`` when given (e.g. a topic writer).
+    """
     spark = batch.sparkSession
     batch.persist()
     try:
@@ -56,17 +65,21 @@ def table_map_batch(batch: DataFrame, batch_id: int, out: str, state: str,
         maps = batch_maps if carried is None else carried.unionByName(batch_maps)
         events = row_events_only(batch).drop("database", "table")
         looked = lookup_table_map(events, maps, bucket_width=bucket_width)
-        looked.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        if sink is not None:
+            sink(looked, batch_id)
+        else:
+            looked.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
         carry_map(maps).write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}")
     finally:
         batch.unpersist()
 
 
-def table_map_stream(records: DataFrame, out: str, state: str, checkpoint: str,
-                     bucket_width: int = 1 << 20, trigger: dict | None = None) -> StreamingQuery:
+def table_map_stream(records: DataFrame, out: str | None, state: str, checkpoint: str,
+                     bucket_width: int = 1 << 20, trigger: dict | None = None,
+                     sink: Sink | None = None) -> StreamingQuery:
     """Start the carried lookup over a stream of landed records."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        table_map_batch(batch, batch_id, out, state, bucket_width)
+        table_map_batch(batch, batch_id, out, state, bucket_width, sink)
 
     return (
         records.writeStream.foreachBatch(run)

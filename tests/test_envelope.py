@@ -68,3 +68,26 @@ def test_date_parts_on_decoded(spark):
 def test_decode_parses_each_message_once(spark):
     plan = decode_envelope(messages(spark), ROW)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json(") == 1
+
+
+def test_alias_map_accepts_both_key_spellings(spark):
+    from changelake.schemas import TRANSACTION_ALIASES, TRANSACTION_ROW
+
+    msgs = spark.createDataFrame(
+        [
+            ("lower", '{"payload":{"after":{"transaction_id":"1","affiliateid":"x"},"op":"c","ts_ms":1}}'),
+            ("camel", '{"payload":{"after":{"transaction_id":"2","affiliateId":"y"},"op":"c","ts_ms":1}}'),
+            ("delete", '{"payload":{"before":{"transaction_id":"3","affiliateId":"z"},"after":null,"op":"d","ts_ms":1}}'),
+            ("bad", "{not json"),
+        ],
+        "k string, value string",
+    )
+    good, bad = split_bad(msgs, TRANSACTION_ROW, keep=("k",), aliases=TRANSACTION_ALIASES)
+    got = {r.k: r for r in good.collect()}
+    assert got["lower"].after.affiliateid == "x"
+    assert got["camel"].after.affiliateid == "y"
+    assert got["delete"].after is None and got["delete"].before.affiliateid == "z"
+    assert got["camel"].after.__fields__ == TRANSACTION_ROW.fieldNames()
+    assert [r.k for r in bad.collect()] == ["bad"]
+    plain = {r.k: r for r in decode_envelope(msgs, TRANSACTION_ROW, keep=("k",)).collect()}
+    assert plain["camel"].after.affiliateid is None  # without the alias map the key is missed

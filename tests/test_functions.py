@@ -112,3 +112,20 @@ def test_hash_keys_do_not_depend_on_partitioning(spark):
             (r.r, r.h) for r in df.select("r", hash_id(F.lit("P"), F.lit("d"), F.lit("t"), "r").alias("h")).collect()
         )
     assert keys(base.repartition(1)) == keys(base.repartition(7))
+
+
+def test_ntz_arithmetic_ignores_dst_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.sql("select timestamp_ntz'2024-07-01 00:00:00.250' t, 1719792000250L ms")
+        r = df.select(epoch_millis_("t"), date_text("ms").alias("d"), date_parts("ms")["day"].alias("day")).first()
+        assert (r.em, r.d, r.day) == (1719792000250, "2024-07-01", 1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def epoch_millis_(c):
+    from changelake.functions import epoch_millis
+
+    return epoch_millis(c, ntz=True).alias("em")
