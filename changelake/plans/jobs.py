@@ -41,14 +41,16 @@ ROW_LOG_KEY = "default_key"
 
 def lake_consumer(records: DataFrame, lake: str, checkpoint: str, quarantine: str | None = None,
                   row_schema: T.StructType = TRANSACTION_ROW, aliases=TRANSACTION_ALIASES,
-                  tz: str = "UTC", trigger: dict | None = None) -> list[StreamingQuery]:
+                  tz: str = "UTC", trigger: dict | None = None,
+                  day_spread: int | None = None) -> list[StreamingQuery]:
     """Decode envelopes, add date parts in ``tz``, append to the lake.
 
     Unusable messages go to ``quarantine`` (default ``<lake>_quarantine``)
     rather than to an all-null row in a default date partition.
     """
     good, bad = split_bad(records, row_schema, aliases=aliases)
-    q_lake = write_lake_stream(add_date_parts(good, "ts_ms", tz), lake, f"{checkpoint}/lake", trigger=trigger)
+    q_lake = write_lake_stream(add_date_parts(good, "ts_ms", tz), lake, f"{checkpoint}/lake", trigger=trigger,
+                               day_spread=day_spread)
     q_bad = (
         bad.writeStream.format("parquet")
         .option("path", quarantine or f"{lake.rstrip('/')}_quarantine")

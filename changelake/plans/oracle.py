@@ -252,6 +252,26 @@ def oracle_sql() -> dict[str, str]:
     sql["dedup_redelivered"] = """
       SELECT CAST(event_id AS VARCHAR) AS audit_log_id, event_type, value FROM events"""
     sql["table_map_stream"] = _ASOF
+    sql["envelope_stream_lake"] = f"""
+      SELECT {before_cols}, {after_cols}, op, ts_ms, CAST(year(o_orderdate) AS INTEGER) AS year,
+             CAST(month(o_orderdate) AS INTEGER) AS month, CAST(day(o_orderdate) AS INTEGER) AS day
+      FROM ({env_rows})"""
+    sql["audit_publish_stream"] = sql["publish_envelope"]
+    sql["row_log_publish"] = """
+      WITH m AS (
+        SELECT user_id, event_id AS pos, 'db_' || CAST(user_id AS VARCHAR) AS db_name,
+               't_' || CAST(event_id AS VARCHAR) AS table_name
+        FROM events WHERE event_type = 'error'),
+      e AS (SELECT event_id, user_id FROM events WHERE event_type <> 'error' OR event_type IS NULL),
+      j AS (
+        SELECT e.event_id, COALESCE(m.db_name, 'unknown_db') AS db_name,
+               COALESCE(m.table_name, 'unknown_table') AS table_name
+        FROM e ASOF LEFT JOIN m ON e.user_id = m.user_id AND e.event_id >= m.pos)
+      SELECT 'default_key' AS key,
+             '{"event":"INSERT","database":"' || db_name || '","table":"' || table_name || '","values":'
+               || to_json([CAST(event_id AS VARCHAR)]) || '}' AS value,
+             'mysql.binlog.events' AS topic
+      FROM j"""
     sql["synth_transactions"] = f"""
       SELECT {_uuid('txn')} AS transaction_id,
              'user_' || CAST({_H.format(salt='user')} % 100000 AS VARCHAR) AS user_id,

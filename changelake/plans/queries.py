@@ -25,6 +25,7 @@ from changelake.operators.rowevents import (
     row_event_json,
 )
 from changelake.plans import fixtures as fx
+from changelake.plans.jobs import audit_publisher, capture_job, lake_consumer, row_log_publisher
 from changelake.schemas import PUBLISH, ROW_EVENT_MESSAGE
 from changelake.session import scratch_path
 from changelake.sinks.lake import write_lake
@@ -253,23 +254,30 @@ def dedup_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out").select("audit_log_id", "event_type", "value")
 
 
+def _land_in_order(spark: SparkSession, records: DataFrame, dest: str, staged: str) -> None:
+    """Land records as one file per position slice, slices in position order.
+
+    Staged once, partitioned by slice; then the slices are landed one job
+    after another (each reads only its own folder), so file times follow
+    position order as a topic partition's offsets would.
+    """
+    bounds = records.agg(F.min("position").alias("lo"), F.max("position").alias("hi")).first()
+    if bounds["lo"] is None:
+        return
+    slice_no = F.floor(F.col("position") / STREAM_SLICE_WIDTH).cast("long")
+    records.withColumn("_slice", slice_no).write.partitionBy("_slice").parquet(staged)
+    first, last = bounds["lo"] // STREAM_SLICE_WIDTH, bounds["hi"] // STREAM_SLICE_WIDTH
+    for s in range(first, last + 1):
+        part = spark.read.parquet(staged).filter(F.col("_slice") == s).drop("_slice")
+        part.coalesce(1).write.mode("append").parquet(dest)
+
+
 def table_map_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed records arrive in position order, one file per position slice;
     each micro-batch carries the table map forward."""
     records = fx.event_landed_records(fx.table(spark, sf_dir, "events"))
     root = scratch_path(spark, "table-map-stream")
-    bounds = records.agg(F.min("position").alias("lo"), F.max("position").alias("hi")).first()
-    if bounds["lo"] is not None:
-        # Stage once, partitioned by slice; then land the slices one job
-        # after another (each reads only its own folder), so file times
-        # follow position order as a topic partition's offsets would.
-        staged = f"{root}/staged"
-        slice_no = F.floor(F.col("position") / STREAM_SLICE_WIDTH).cast("long")
-        records.withColumn("_slice", slice_no).write.partitionBy("_slice").parquet(staged)
-        first, last = bounds["lo"] // STREAM_SLICE_WIDTH, bounds["hi"] // STREAM_SLICE_WIDTH
-        for s in range(first, last + 1):
-            part = spark.read.parquet(staged).filter(F.col("_slice") == s).drop("_slice")
-            part.coalesce(1).write.mode("append").parquet(f"{root}/in")
+    _land_in_order(spark, records, f"{root}/in", f"{root}/staged")
     src = read_row_events(spark, f"{root}/in", stream=True, max_files_per_trigger=1)
     q = table_map_stream(src, f"{root}/out", f"{root}/state", f"{root}/checkpoint",
                          bucket_width=ASOF_BUCKET_WIDTH, trigger={"availableNow": True})
@@ -279,6 +287,53 @@ def table_map_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("table").alias("table_name"))
 
 
+def envelope_stream_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topic -> lake job on order envelopes landed as files: streamed decode,
+    quarantine split, date parts, partitioned file sink; read back flat."""
+    msgs = fx.order_envelopes(fx.table(spark, sf_dir, "orders"))
+    root = scratch_path(spark, "envelope-stream")
+    msgs.write.parquet(f"{root}/in")
+    src = spark.readStream.schema(msgs.schema).parquet(f"{root}/in")
+    run_to_end(*lake_consumer(src, f"{root}/lake", f"{root}/checkpoint", row_schema=fx.ORDER_ENVELOPE_ROW,
+                              aliases=None, trigger={"availableNow": True}))
+    names = fx.ORDER_ENVELOPE_ROW.fieldNames()
+    return spark.read.parquet(f"{root}/lake").select(
+        *_flat("before", "before", names), *_flat("after", "after", names), "op", "ts_ms", "year", "month", "day"
+    )
+
+
+def audit_publish_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Capture job appends audit rows; the publisher stream sends them as
+    topic records and acknowledges them in the ledger."""
+    root = scratch_path(spark, "audit-publish")
+    old, new = fx.order_versions(fx.table(spark, sf_dir, "orders"))
+    capture_job(old, new, "o_orderkey", f"{root}/audit", db_name=fx.DB_NAME, table_name=fx.ORDERS_TABLE,
+                captured_at=fx.captured_at(), version=fx.VERSION)
+
+    def send(batch: DataFrame) -> None:
+        batch.select("key", "value", "topic").write.mode("append").parquet(f"{root}/topic")
+
+    run_to_end(audit_publisher(spark, f"{root}/audit", send, f"{root}/ledger", f"{root}/checkpoint",
+                               trigger={"availableNow": True}))
+    return spark.read.parquet(f"{root}/topic")
+
+
+def row_log_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row-log job: landed events (table maps + inserts) in position order ->
+    carried table-map lookup -> one JSON message per row with a constant key."""
+    records = fx.event_landed_records(fx.table(spark, sf_dir, "events"))
+    root = scratch_path(spark, "row-log")
+    _land_in_order(spark, records, f"{root}/in", f"{root}/staged")
+    src = read_row_events(spark, f"{root}/in", stream=True, max_files_per_trigger=1)
+
+    def send(batch: DataFrame) -> None:
+        batch.write.mode("append").parquet(f"{root}/topic")
+
+    run_to_end(row_log_publisher(src, f"{root}/state", f"{root}/checkpoint", send,
+                                 trigger={"availableNow": True}, bucket_width=ASOF_BUCKET_WIDTH))
+    return spark.read.parquet(f"{root}/topic")
+
+
 def synth_transactions_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = fx.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
     return synth_transactions(ids, "id", seed=42)
@@ -307,4 +362,7 @@ QUERIES: dict[str, Query] = {
     "dedup_redelivered": dedup_redelivered,
     "table_map_stream": table_map_stream_query,
     "synth_transactions": synth_transactions_query,
+    "envelope_stream_lake": envelope_stream_lake,
+    "audit_publish_stream": audit_publish_stream,
+    "row_log_publish": row_log_publish,
 }

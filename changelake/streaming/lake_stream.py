@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,10 +21,28 @@ from changelake.sinks.lake import LAKE_PARTITIONS
 DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
 
 
+def cluster_by_day(sdf: DataFrame, by: Sequence[str], day_spread: int) -> DataFrame:
+    """Group each date's rows into ``day_spread`` tasks (salted by row hash).
+
+    Bounds files per date folder per micro-batch to ``day_spread`` and
+    splits a hot date over that many tasks instead of one.
+    """
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in sdf.columns]), F.lit(day_spread))
+    return sdf.repartition(*[F.col(c) for c in by], salt)
+
+
 def write_lake_stream(sdf: DataFrame, path: str, checkpoint: str,
                       by: Sequence[str] = LAKE_PARTITIONS, trigger: dict | None = None,
-                      name: str | None = None) -> StreamingQuery:
-    """Append ``sdf`` to Parquet under ``path`` partitioned by ``by``."""
+                      name: str | None = None, day_spread: int | None = None) -> StreamingQuery:
+    """Append ``sdf`` to Parquet under ``path`` partitioned by ``by``.
+
+    Map-only by default: a live change stream covers a day or two per
+    micro-batch, so each task writes one or two folders.  For a backfill
+    spanning many dates pass ``day_spread`` (see :func:`cluster_by_day`);
+    that adds one shuffle per micro-batch.
+    """
+    if day_spread:
+        sdf = cluster_by_day(sdf, by, day_spread)
     w = (
         sdf.writeStream.format("parquet")
         .outputMode("append")

@@ -51,3 +51,17 @@ def test_synth_is_stable_over_partitions(spark):
     assert min(amounts) >= 10 and max(amounts) <= 1000
     pm = {r.payment_method for r in synth_transactions(ids).collect()}
     assert pm <= set(PAYMENT_METHODS) and len(pm) == 3
+
+
+def test_register_streamed_lake_uses_its_file_log(spark):
+    from changelake.streaming.lake_stream import run_to_end, write_lake_stream
+
+    root = scratch_path(spark, "t-reg-stream")
+    dated(spark).write.parquet(f"{root}/in")
+    src = spark.readStream.schema(dated(spark).schema).parquet(f"{root}/in")
+    run_to_end(write_lake_stream(src, f"{root}/lake", f"{root}/cp", trigger={"availableNow": True}))
+    name = "slake_" + root.rsplit("-", 1)[1]
+    register_lake(spark, name, f"{root}/lake", streamed=True)
+    assert spark.sql(f"select count(*) c from {name}").first().c == 300
+    assert spark.sql(f"select count(*) c from {name} where day = 3").first().c == 10
+    spark.sql(f"drop table {name}")

@@ -108,3 +108,19 @@ def test_publish_stream_acknowledges_each_row_once(spark, sf_dir):
     assert sent.count() == audit.count()
     assert read_ledger(spark, f"{root}/ledger").distinct().count() == audit.count()
     assert set(sent.columns) >= {"key", "value", "topic"}
+
+
+def test_day_spread_bounds_files_per_day(spark, sf_dir):
+    import os
+
+    root = scratch_path(spark, "t-spread")
+    ev = fx.table(spark, sf_dir, "events").withColumns(
+        {"year": F.year("ts"), "month": F.month("ts"), "day": F.dayofmonth("ts")})
+    ev.repartition(6).write.parquet(f"{root}/in")
+    src = spark.readStream.schema(ev.schema).parquet(f"{root}/in")
+    run_to_end(write_lake_stream(src, f"{root}/lake", f"{root}/cp", trigger={"availableNow": True}, day_spread=2))
+    lake_dir = f"{root}/lake".replace("file:", "")
+    for dirpath, _, files in os.walk(lake_dir):
+        if "day=" in dirpath:
+            assert len([f for f in files if f.endswith(".parquet")]) <= 2
+    assert spark.read.parquet(f"{root}/lake").count() == ev.count()
