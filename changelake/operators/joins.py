@@ -21,27 +21,23 @@ def _estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def measured_size(df: DataFrame, max_rows: int) -> tuple[int, int]:
-    """``(rows, bytes)`` of at most ``max_rows + 1`` rows of ``df``.
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """Exact ``(rows, bytes)`` of ``df`` from one distributed aggregate.
 
     Bytes bound an UnsafeRow image: 8 bytes per field and null word, plus
     the UTF-8 length of string/binary fields (JSON length for nested ones).
-    Reads at most ``max_rows + 1`` rows per partition.
+    Partial aggregation runs in every task; only one row per task is
+    shuffled, so no task sees more than its own split.
     """
     fixed = 8 * (len(df.columns) + 1)
-    var_terms = []
+    row_bytes = F.lit(fixed).cast("long")
     for f in df.schema.fields:
-        name = f"`{f.name}`"
+        c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            var_terms.append(F.coalesce(F.octet_length(F.col(name)), F.lit(0)))
+            row_bytes = row_bytes + F.coalesce(F.octet_length(c), F.lit(0))
         elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            var_terms.append(F.coalesce(F.octet_length(F.to_json(F.col(name))), F.lit(0)))
-    row_bytes = F.lit(fixed)
-    for term in var_terms:
-        row_bytes = row_bytes + term
-    probe = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b")
-    ).first()
+            row_bytes = row_bytes + F.coalesce(F.octet_length(F.to_json(c)), F.lit(0))
+    probe = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b")).first()
     return int(probe["n"]), int(probe["b"])
 
 
@@ -49,13 +45,15 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                       max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """``broadcast(df)`` when its measured size is within bounds, else ``df``.
 
-    The unhinted fallback leaves the choice to the planner and AQE, which
-    converts to a broadcast only from measured shuffle sizes.
+    A side whose plan estimate is far above the bound is rejected without
+    touching data; otherwise its exact size is measured.  The unhinted
+    fallback leaves the choice to the planner and AQE, which converts to a
+    broadcast only from measured shuffle sizes.
     """
     est = _estimated_bytes(df)
     if est is not None and est > 8 * max_bytes:
         return df
-    rows, size = measured_size(df, max_rows)
+    rows, size = measured_size(df)
     if rows <= max_rows and size <= max_bytes:
         return F.broadcast(df)
     return df

@@ -62,6 +62,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def keyed_partitions(df: DataFrame, key: str) -> DataFrame:
+    """Rows spread by key hash, as a topic's partitioner spreads keyed messages.
+
+    Only when the table arrives in fewer splits than the cluster has cores
+    (one small file or row group); a normally split input is untouched, so
+    at scale no shuffle is added.  Hash partitioning is deterministic on
+    retry (unlike round-robin).
+    """
+    n = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= n:
+        return df
+    return df.repartition(n, key)
+
+
 # ---------------------------------------------------------------- orders ---
 
 ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
@@ -103,7 +117,7 @@ def order_envelopes(orders: DataFrame) -> DataFrame:
         op.alias("op"),
         epoch_millis("o_orderdate", ntz=True).alias("ts_ms"),
     )
-    return orders.select(
+    return keyed_partitions(orders, "o_orderkey").select(
         F.col("o_orderkey").cast("string").alias("key"),
         F.to_json(F.struct(payload.alias("payload"))).alias("value"),
     )
@@ -141,7 +155,7 @@ def order_audit(orders: DataFrame, cols=None) -> DataFrame:
 def order_inserts(orders: DataFrame) -> DataFrame:
     """Initial load: every order as an inserted audit row stamped with its
     order date (TIMESTAMP_NTZ, read as UTC)."""
-    rows = order_rows(orders, F.col("o_orderdate").alias("_ts"))
+    rows = order_rows(keyed_partitions(orders, "o_orderkey"), F.col("o_orderdate").alias("_ts"))
     image = F.to_json(F.struct(*[F.col(c) for c in ORDER_COLUMNS]), {"ignoreNullFields": "false"})
     rid = F.col("o_orderkey").cast("string")
     return rows.select(
@@ -158,19 +172,24 @@ def order_inserts(orders: DataFrame) -> DataFrame:
 
 # -------------------------------------------------------------- row events ---
 
-def _line_values(status_col=None):
+LINE_FIELDS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+               "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+def _line_values(r, status=None):
+    """Row values of a lineitem struct as text (money as DECIMAL(18,2))."""
     return F.array(
-        F.col("l_orderkey").cast("string"),
-        F.col("l_partkey").cast("string"),
-        F.col("l_suppkey").cast("string"),
-        F.col("l_linenumber").cast("string"),
-        money("l_quantity").cast("string"),
-        money("l_extendedprice").cast("string"),
-        money("l_discount").cast("string"),
-        money("l_tax").cast("string"),
-        F.col("l_returnflag"),
-        status_col if status_col is not None else F.col("l_linestatus"),
-        F.date_format("l_shipdate", "yyyy-MM-dd"),
+        r["l_orderkey"].cast("string"),
+        r["l_partkey"].cast("string"),
+        r["l_suppkey"].cast("string"),
+        r["l_linenumber"].cast("string"),
+        money(r["l_quantity"]).cast("string"),
+        money(r["l_extendedprice"]).cast("string"),
+        money(r["l_discount"]).cast("string"),
+        money(r["l_tax"]).cast("string"),
+        r["l_returnflag"],
+        status if status is not None else r["l_linestatus"],
+        F.date_format(r["l_shipdate"], "yyyy-MM-dd"),
     )
 
 
@@ -178,7 +197,8 @@ def lineitem_row_events(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Landed row events: one event per (order, block of EVENT_BLOCK lines).
 
     Every group is bounded by EVENT_BLOCK distinct line numbers, so no
-    collect gathers an unbounded group.
+    collect gathers an unbounded group.  Raw columns are collected and
+    rendered to text after the shuffle, spread over all its partitions.
     """
     st = orders.select("o_orderkey", "o_orderstatus")
     li = lineitem.join(st, lineitem.l_orderkey == st.o_orderkey, "inner")
@@ -189,18 +209,17 @@ def lineitem_row_events(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         "l_orderkey",
         ((F.col("l_linenumber") - 1) / EVENT_BLOCK).cast("long").alias("_block"),
         ev.alias("event_type"),
-        F.struct(
-            F.when(ev == "UPDATE", _line_values(F.lit("O"))).otherwise(_line_values()).alias("b"),
-            F.when(ev == "UPDATE", _line_values()).alias("a"),
-        ).alias("_pair"),
+        F.struct(*[F.col(c) for c in LINE_FIELDS]).alias("_r"),
     )
-    grouped = li.groupBy("l_orderkey", "_block", "event_type").agg(F.collect_list("_pair").alias("_pairs"))
+    grouped = li.groupBy("l_orderkey", "_block", "event_type").agg(F.collect_list("_r").alias("_rs"))
+    is_update = F.col("event_type") == "UPDATE"
     return grouped.select(
         (F.col("l_orderkey") * 1024 + F.col("_block")).alias("position"),
         "event_type",
         F.lit(1).cast("long").alias("table_id"),
-        F.transform("_pairs", lambda p: p["b"]).alias("rows"),
-        F.when(F.col("event_type") == "UPDATE", F.transform("_pairs", lambda p: p["a"])).alias("rows_after"),
+        F.when(is_update, F.transform("_rs", lambda r: _line_values(r, F.lit("O"))))
+        .otherwise(F.transform("_rs", lambda r: _line_values(r))).alias("rows"),
+        F.when(is_update, F.transform("_rs", lambda r: _line_values(r))).alias("rows_after"),
         F.lit(DB_NAME).alias("database"),
         F.lit(LINEITEM_TABLE).alias("table"),
     )
@@ -208,7 +227,7 @@ def lineitem_row_events(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
 def order_row_events(orders: DataFrame) -> DataFrame:
     """Each order as a one-row INSERT event (values = order image as text)."""
-    rows = order_rows(orders)
+    rows = order_rows(keyed_partitions(orders, "o_orderkey"))
     values = F.array(*[F.col(c).cast("string") for c in rows.columns])
     return rows.select(
         F.col("o_orderkey").alias("position"),
@@ -240,7 +259,8 @@ def event_messages(events: DataFrame, truncate_type: str | None = None) -> DataF
     if truncate_type is not None:
         cut = F.substring(text, F.lit(1), (F.length(text) / 2).cast("int"))
         text = F.when(F.col("event_type") == truncate_type, cut).otherwise(text)
-    return events.select(F.col("event_id").cast("string").alias("key"), text.alias("value"))
+    return keyed_partitions(events, "event_id").select(F.col("event_id").cast("string").alias("key"),
+                                                       text.alias("value"))
 
 
 def event_maps_and_rows(events: DataFrame) -> tuple[DataFrame, DataFrame]:

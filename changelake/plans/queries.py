@@ -335,7 +335,7 @@ def row_log_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def synth_transactions_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = fx.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
+    ids = fx.keyed_partitions(fx.table(spark, sf_dir, "orders"), "o_orderkey").select(F.col("o_orderkey").alias("id"))
     return synth_transactions(ids, "id", seed=42)
 
 
