@@ -93,7 +93,8 @@ def asof_lookup(events: DataFrame, maps: DataFrame, key: str, pos: str,
     Map rows sort before event rows at the same position.
     """
     value_struct = F.struct(*[F.col(v) for v in values])
-    bucket = F.floor(F.col(pos) / F.lit(bucket_width)).cast("long")
+    # exact integer division (monotonic in pos, which is all bucketing needs)
+    bucket = F.expr(f"CAST(`{pos}` AS BIGINT) div {int(bucket_width)}")
 
     ev = events.withColumn("_bucket", bucket)
     mp = maps.select(key, pos, value_struct.alias("_val")).withColumn("_bucket", bucket)
