@@ -65,3 +65,15 @@ def test_register_streamed_lake_uses_its_file_log(spark):
     assert spark.sql(f"select count(*) c from {name}").first().c == 300
     assert spark.sql(f"select count(*) c from {name} where day = 3").first().c == 10
     spark.sql(f"drop table {name}")
+
+
+def test_console_sink_runs(spark, capsys):
+    from changelake.sinks.lake import write_console
+    from changelake.streaming.lake_stream import run_to_end
+
+    root = scratch_path(spark, "t-console")
+    dated(spark).limit(3).write.parquet(root)
+    src = spark.readStream.schema(dated(spark).schema).parquet(root)
+    q = write_console(src, trigger={"availableNow": True})
+    run_to_end(q)
+    assert q.lastProgress["numInputRows"] == 3

@@ -124,3 +124,57 @@ def test_day_spread_bounds_files_per_day(spark, sf_dir):
         if "day=" in dirpath:
             assert len([f for f in files if f.endswith(".parquet")]) <= 2
     assert spark.read.parquet(f"{root}/lake").count() == ev.count()
+
+
+def test_table_map_replay_and_restart(spark, sf_dir):
+    from changelake.streaming.table_map import table_map_batch
+
+    records = fx.event_landed_records(fx.table(spark, sf_dir, "events"))
+    root = scratch_path(spark, "t-tmap-restart")
+    first = records.filter(F.col("position") < 400)
+    # replaying batch 0 (as after a failure before commit) rewrites, never adds
+    table_map_batch(first, 0, f"{root}/replay_out", f"{root}/replay_state", bucket_width=64)
+    table_map_batch(first, 0, f"{root}/replay_out", f"{root}/replay_state", bucket_width=64)
+    n0 = first.filter(F.col("event_type") != "TABLE_MAP").count()
+    assert spark.read.parquet(f"{root}/replay_out").count() == n0
+
+    # a stream stopped after the first files and restarted on the same
+    # checkpoint carries the map across the restart
+    for lo in (0, 300):
+        records.filter((F.col("position") >= lo) & (F.col("position") < lo + 300)).coalesce(1) \
+            .write.mode("append").parquet(f"{root}/in")
+    def start():
+        src = read_row_events(spark, f"{root}/in", stream=True, max_files_per_trigger=1)
+        return table_map_stream(src, f"{root}/out", f"{root}/state", f"{root}/cp", bucket_width=64,
+                                trigger={"availableNow": True})
+    run_to_end(start())
+    for lo in (600, 900):
+        records.filter((F.col("position") >= lo) & (F.col("position") < lo + 300)).coalesce(1) \
+            .write.mode("append").parquet(f"{root}/in")
+    run_to_end(start())
+    maps, evs = fx.event_maps_and_rows(fx.table(spark, sf_dir, "events"))
+    cols = ["position", "table_id", "database", "table"]
+    out = spark.read.parquet(f"{root}/out")
+    assert out.select("batch_id").distinct().count() == 4
+    assert rows(out, cols) == rows(lookup_table_map(evs, maps), cols)
+
+
+def test_one_publisher_serves_many_tables(spark, sf_dir):
+    from changelake.plans.jobs import audit_publisher, capture_job
+
+    root = scratch_path(spark, "t-multi")
+    old, new = fx.order_versions(fx.table(spark, sf_dir, "orders"))
+    capture_job(old, new, "o_orderkey", f"{root}/audit", db_name="tpch", table_name="orders")
+    cust = fx.table(spark, sf_dir, "customer")
+    capture_job(cust.filter("c_nationkey <> 1"), cust.filter("c_nationkey <> 2"), "c_custkey", f"{root}/audit",
+                db_name="tpch", table_name="customer")
+
+    def send(df):
+        df.write.mode("append").parquet(f"{root}/topic")
+
+    run_to_end(audit_publisher(spark, f"{root}/audit", send, f"{root}/ledger", f"{root}/cp",
+                               trigger={"availableNow": True}))
+    per_topic = {r.topic: r["count"] for r in spark.read.parquet(f"{root}/topic").groupBy("topic").count().collect()}
+    audit = spark.read.parquet(f"{root}/audit")
+    expect = {f"kfk_stream_{r.table_name}": r["count"] for r in audit.groupBy("table_name").count().collect()}
+    assert per_topic == expect and len(expect) == 2
