@@ -8,6 +8,7 @@ from changelake.functions.hashing import (
     sha256_hex,
 )
 from changelake.functions.jsoncols import (
+    as_variant,
     json_field,
     money,
     row_json,
@@ -19,6 +20,7 @@ from changelake.functions.timecols import (
     date_text,
     epoch_millis,
     epoch_seconds,
+    ntz_from_epoch,
     ntz_from_millis,
     processing_time,
     seconds_text,
@@ -26,6 +28,7 @@ from changelake.functions.timecols import (
 )
 
 __all__ = [
+    "as_variant",
     "date_parts",
     "date_text",
     "epoch_millis",
@@ -35,6 +38,7 @@ __all__ = [
     "hash_record",
     "json_field",
     "money",
+    "ntz_from_epoch",
     "ntz_from_millis",
     "null_as_text",
     "processing_time",

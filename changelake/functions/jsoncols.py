@@ -52,3 +52,9 @@ def with_default(c: ColumnOrName, default: str) -> Column:
 def money(c: ColumnOrName, precision: int = 18, scale: int = 2) -> Column:
     """Fixed-point money value (exact text and JSON rendering)."""
     return _col(c).cast(f"decimal({precision},{scale})")
+
+
+def as_variant(text: ColumnOrName) -> Column:
+    """JSON text -> VARIANT (NULL when unparsable), for path access with
+    ``variant_get`` without fixing a schema up front."""
+    return F.try_parse_json(_col(text))

@@ -24,6 +24,18 @@ def ntz_from_millis(millis: ColumnOrName) -> Column:
     return F.timestamp_add("MILLISECOND", _col(millis), F.expr(_EPOCH_NTZ))
 
 
+_UNITS = {"s": "SECOND", "ms": "MILLISECOND", "us": "MICROSECOND"}
+
+
+def ntz_from_epoch(value: ColumnOrName, unit: str = "ms") -> Column:
+    """Epoch number in ``unit`` (``s``, ``ms``, ``us``) -> UTC wall clock (TIMESTAMP_NTZ).
+
+    The envelope's ``timestamp`` field is a long whose unit the producer
+    does not state; it is kept raw unless the caller names the unit.
+    """
+    return F.timestamp_add(_UNITS[unit], _col(value), F.expr(_EPOCH_NTZ))
+
+
 def epoch_millis(ts: ColumnOrName, ntz: bool = False) -> Column:
     """Epoch milliseconds of a timestamp; an NTZ value is read as UTC wall clock."""
     if ntz:

@@ -129,3 +129,24 @@ def epoch_millis_(c):
     from changelake.functions import epoch_millis
 
     return epoch_millis(c, ntz=True).alias("em")
+
+
+def test_epoch_units_and_variant(spark):
+    from changelake.functions import as_variant, ntz_from_epoch
+
+    df = spark.sql("select 1717200000L s, 1717200000123L ms, '{\"a\":{\"b\":7}}' j, 'nope' bad")
+    r = df.select(ntz_from_epoch("s", "s").alias("a"), ntz_from_epoch("ms").alias("b"),
+                  F.variant_get(as_variant("j"), "$.a.b", "int").alias("v"),
+                  as_variant("bad").isNull().alias("nul")).first()
+    assert str(r.a) == "2024-06-01 00:00:00" and str(r.b) == "2024-06-01 00:00:00.123000"
+    assert r.v == 7 and r.nul
+
+
+def test_json_topic_records_decode_from_bytes(spark):
+    from changelake.schemas import SIMPLE_MESSAGE
+    from changelake.sources.kafka import read_json_topic
+
+    recs = spark.createDataFrame([(b"k", bytearray(b'{"valor": 4}'), 0), (None, bytearray(b'{"valor": 9}'), 1)],
+                                 "key binary, value binary, offset long")
+    got = sorted((r.offset, r.valor) for r in read_json_topic(recs, SIMPLE_MESSAGE, keep=("offset",)).collect())
+    assert got == [(0, 4), (1, 9)]
