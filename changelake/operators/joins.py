@@ -8,19 +8,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from changelake.session import estimated_bytes
+
 # Broadcast only below these measured bounds; above them a shuffle join is used.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 DEFAULT_MAX_BROADCAST_BYTES = 64 << 20
 
 
-def _estimated_bytes(df: DataFrame) -> int | None:
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()  # noqa: SLF001
-        return int(str(stats.sizeInBytes()))
-    except Exception:  # pragma: no cover - plan stats are best effort
-        return None
-
-
 def measured_size(df: DataFrame) -> tuple[int, int]:
     """Exact ``(rows, bytes)`` of ``df`` from one distributed aggregate.
 
@@ -50,7 +44,7 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
     fallback leaves the choice to the planner and AQE, which converts to a
     broadcast only from measured shuffle sizes.
     """
-    est = _estimated_bytes(df)
+    est = estimated_bytes(df)
     if est is not None and est > 8 * max_bytes:
         return df
     rows, size = measured_size(df)

@@ -47,7 +47,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        # Unset only in bare local/test sessions: pick a folder for this process.
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise ValueError(
+                "spark.checkpoint.dir is not set: set it to a folder shared by the cluster "
+                "(e.g. an HDFS or object-store path); streaming checkpoints and ledgers live there"
+            )
+        # Bare local/test session: a folder of this process is shared by all its tasks.
         root = tempfile.mkdtemp(prefix="changelake-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -57,3 +63,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/changelake/{name}-{uuid.uuid4().hex[:12]}"
 
+
+
+def estimated_bytes(df) -> int | None:
+    """Optimizer's size estimate of a DataFrame's output (None if unavailable)."""
+    try:
+        stats = df._jdf.queryExecution().optimizedPlan().stats()  # noqa: SLF001
+        return int(str(stats.sizeInBytes()))
+    except Exception:  # pragma: no cover - plan stats are best effort
+        return None

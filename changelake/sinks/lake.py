@@ -8,18 +8,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from changelake.session import estimated_bytes
+
 LAKE_PARTITIONS = ("year", "month", "day")
 
 
+SMALL_WRITE_BYTES = 256 << 20
+
+
 def write_lake(df: DataFrame, path: str, by: Sequence[str] = LAKE_PARTITIONS,
                mode: str = "append") -> None:
     """Write ``df`` as Parquet partitioned by ``by``.
 
-    ``rebalance`` on the partition columns lets AQE size the writing tasks:
-    one day holding a third of the rows is split across several tasks
-    instead of one, and small days are coalesced (few files per folder).
+    Large writes use ``rebalance`` on the partition columns: AQE splits a
+    date holding a third of the rows across several tasks and merges small
+    dates (few files per folder).  A write the optimizer estimates below
+    ``SMALL_WRITE_BYTES`` would be merged into one or two tasks that then
+    create every date folder one after another, so it is hash-partitioned
+    by date over the cores instead; no date can be large when the whole
+    write is small.
     """
-    df.hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(path)
+    est = estimated_bytes(df)
+    if est is not None and est <= SMALL_WRITE_BYTES:
+        out = df.repartition(df.sparkSession.sparkContext.defaultParallelism, *by)
+    else:
+        out = df.hint("rebalance", *by)
+    out.write.mode(mode).partitionBy(*by).parquet(path)
 
 
 def append_audit(audit: DataFrame, path: str, by: Sequence[str] = ()) -> None:
