@@ -122,20 +122,28 @@ def with_bad_flag(df: DataFrame, row_schema: T.StructType, value: str = "value",
     )
 
 
+def flag_bad(df: DataFrame, row_schema: T.StructType, value: str = "value",
+             keep: tuple[str, ...] = (), aliases: Aliases | None = None) -> DataFrame:
+    """One pass over the messages: payload fields, raw ``message`` and
+    ``bad_reason`` (NULL for a usable row).
+
+    A decoded row without ``ts_ms`` has no date and is bad as well, since it
+    cannot be placed in the date-partitioned lake.
+    """
+    flagged = with_bad_flag(df, row_schema, value, keep, aliases)
+    reason = F.coalesce(F.col("bad_reason"), F.when(F.col("ts_ms").isNull(), F.lit("no_ts_ms")))
+    return flagged.withColumn("bad_reason", reason)
+
+
 def split_bad(df: DataFrame, row_schema: T.StructType, value: str = "value",
               keep: tuple[str, ...] = (), aliases: Aliases | None = None) -> tuple[DataFrame, DataFrame]:
     """``(good, bad)``: good rows decoded, bad rows as raw message + reason.
 
-    A decoded row without ``ts_ms`` has no date and is bad as well, since it
-    cannot be placed in the date-partitioned lake.  Both outputs derive from
-    one parse; in a stream write them from one ``foreachBatch`` over a
-    persisted batch so the parse runs once.
+    Both are filters of :func:`flag_bad`; consuming both runs the parse
+    twice unless the input is persisted (as one ``foreachBatch`` would).
+    Use :func:`flag_bad` directly when one output with a flag will do.
     """
-    flagged = with_bad_flag(df, row_schema, value, keep, aliases)
-    reason = F.coalesce(
-        F.col("bad_reason"), F.when(F.col("ts_ms").isNull(), F.lit("no_ts_ms"))
-    )
-    flagged = flagged.withColumn("bad_reason", reason)
+    flagged = flag_bad(df, row_schema, value, keep, aliases)
     good = flagged.filter(F.col("bad_reason").isNull()).select(*keep, *PAYLOAD_FIELDS)
     bad = flagged.filter(F.col("bad_reason").isNotNull()).select(*keep, "message", "bad_reason")
     return good, bad

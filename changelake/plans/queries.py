@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from changelake.functions.jsoncols import json_field
 from changelake.operators import changelog as cl
 from changelake.operators.audit import check_key, pending, publish_envelope, publish_records, unpublished
-from changelake.operators.envelope import add_date_parts, decode_envelope, split_bad
+from changelake.operators.envelope import add_date_parts, decode_envelope, flag_bad
 from changelake.operators.joins import member_join
 from changelake.operators.rowevents import (
     classify_row_events,
@@ -104,13 +104,16 @@ def stream_append_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bad_message_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message once: good rows decoded, bad ones flagged with a reason."""
     msgs = fx.event_messages(fx.table(spark, sf_dir, "events"), truncate_type="error")
-    good, bad = split_bad(msgs, fx.EVENT_ENVELOPE_ROW, keep=("key",))
-    g = good.select("key", F.lit("good").alias("status"), F.lit(None).cast("string").alias("reason"),
-                    F.col("after.event_type").alias("event_type"))
-    b = bad.select("key", F.lit("bad").alias("status"), F.col("bad_reason").alias("reason"),
-                   F.lit(None).cast("string").alias("event_type"))
-    return g.unionByName(b)
+    flagged = flag_bad(msgs, fx.EVENT_ENVELOPE_ROW, keep=("key",))
+    good = F.col("bad_reason").isNull()
+    return flagged.select(
+        "key",
+        F.when(good, F.lit("good")).otherwise(F.lit("bad")).alias("status"),
+        F.col("bad_reason").alias("reason"),
+        F.when(good, F.col("after.event_type")).alias("event_type"),
+    )
 
 
 def json_field_query(spark: SparkSession, sf_dir: str) -> DataFrame:
