@@ -43,7 +43,7 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = get_session(
         f"local[{cpus}]",
-        spark_sql_shuffle_partitions=str(max(8, int(cpus) * 2)),
+        spark_sql_shuffle_partitions=os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, int(cpus) * 2))),
         spark_driver_memory="16g",
     )
     spark.sparkContext.setLogLevel("ERROR")
