@@ -54,7 +54,7 @@ def _image_json(side: str, cols: Sequence[str]) -> Column:
 def capture_changes(old: DataFrame, new: DataFrame, key: str | Sequence[str],
                     cols: Sequence[str] | None = None, db_name: str = "db",
                     table_name: str = "table", captured_at: Column | None = None,
-                    version: str = "") -> DataFrame:
+                    version: str = "", validate_key: bool = True) -> DataFrame:
     """Audit rows for the difference between two versions of a table.
 
     * key only in ``new`` -> ``I`` with ``new_data`` only;
@@ -73,8 +73,16 @@ def capture_changes(old: DataFrame, new: DataFrame, key: str | Sequence[str],
     Plan: one full outer join on the key (both sides shuffled by key, or
     none when both are bucketed by it); JSON text is built after the
     join, only for changed rows.
+
+    The key must be unique in each version: a duplicated key would make
+    the join emit every old x new pair of that key.  ``validate_key``
+    (default) checks this first with :func:`require_unique_key`, a narrow
+    count of the key columns only, and raises instead.
     """
     keys = _keys(key)
+    if validate_key:
+        require_unique_key(old, keys, "old")
+        require_unique_key(new, keys, "new")
     all_cols = [c for c in new.columns if c not in keys]
     image_cols = list(cols) if cols else [c for c in new.columns]
     o = old.select(*keys, F.struct(*[F.col(c) for c in old.columns]).alias("_o"))
@@ -139,6 +147,19 @@ def check_key(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     )
 
 
+def require_unique_key(df: DataFrame, key: str | Sequence[str], label: str = "table") -> None:
+    """Raise ``ValueError`` when ``key`` is NULL or repeated in ``df``.
+
+    Runs one aggregation over the key columns alone (map-side partial
+    counts, then a shuffle of keys); reports at most five offenders.
+    """
+    keys = _keys(key)
+    bad = check_key(df.select(*keys), keys).limit(5).collect()
+    if bad:
+        sample = ", ".join(f"{tuple(r[k] for k in keys)} x{r['n']}" for r in bad)
+        raise ValueError(f"{label}: key {keys} is not a primary key (null or repeated): {sample}")
+
+
 def topic_name(table: str | Column, prefix: str = DEFAULT_TOPIC_PREFIX) -> Column:
     """``prefix + table`` as a column, so one job serves many tables."""
     t = F.lit(table) if isinstance(table, str) else table

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changelake.functions.jsoncols import values_text, with_default
+from changelake.operators.audit import require_unique_key
 from changelake.functions.timecols import processing_time
 from changelake.operators.joins import asof_lookup, checked_broadcast
 
@@ -124,9 +125,13 @@ def lookup_table_map(events: DataFrame, maps: DataFrame, key: str = "table_id",
 def lookup_table_map_static(events: DataFrame, maps: DataFrame, key: str = "table_id") -> DataFrame:
     """Table map known up front (one row per id): left join, defaults on miss.
 
-    The map is broadcast only when its measured size is within bounds.
+    The map must hold one row per id (checked; a repeated id would pair each
+    event with several map rows).  It is broadcast only when its measured
+    size is within bounds.
     """
-    m = checked_broadcast(maps.select(key, "database", "table"))
+    m = maps.select(key, "database", "table")
+    require_unique_key(m, key, "table map")
+    m = checked_broadcast(m)
     out = events.join(m, key, "left")
     return out.withColumn("database", with_default("database", UNKNOWN_DB)).withColumn(
         "table", with_default("table", UNKNOWN_TABLE)

@@ -140,3 +140,15 @@ def test_check_key(spark):
     df = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
     got = {(r.k, r.n, r.violation) for r in check_key(df, "k").collect()}
     assert got == {(1, 2, "duplicate_key"), (None, 1, "null_key")}
+
+
+def test_capture_refuses_duplicate_keys(spark):
+    import pytest
+
+    old = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "id long, v string")
+    new = spark.createDataFrame([(1, "a"), (2, "c")], "id long, v string")
+    with pytest.raises(ValueError, match="not a primary key"):
+        capture_changes(old, new, "id")
+    nulls = spark.createDataFrame([(None, "a")], "id long, v string")
+    with pytest.raises(ValueError, match="null or repeated"):
+        capture_changes(new, nulls, "id")

@@ -149,3 +149,12 @@ def test_changelog_union_of_forms(spark):
     got = sorted((r.form, r.record_key, r.op, r.ts_ms) for r in out.collect())
     assert got == [("envelope", "1", "D", 20), ("envelope", "1", "I", 10), ("publish", "2", "U", 3000)]
     assert json.loads([r for r in out.collect() if r.op == "D"][0].before) == {"id": "1"}
+
+
+def test_static_lookup_refuses_repeated_ids(spark):
+    import pytest
+
+    ev = spark.createDataFrame([(1, 5)], "position long, table_id long")
+    mp = spark.createDataFrame([(5, "d", "t"), (5, "d2", "t2")], "table_id long, database string, table string")
+    with pytest.raises(ValueError, match="table map"):
+        lookup_table_map_static(ev, mp)
