@@ -54,13 +54,20 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
 
 
 def member_join(left: DataFrame, right: DataFrame, on: Sequence[str] | str,
-                element: str, array_col: str, how: str = "inner") -> DataFrame:
+                element: str, array_col: str, how: str = "inner",
+                validate_left: bool = True) -> DataFrame:
     """Equi-join on ``on`` plus the condition ``right.element IN left.array_col``.
 
     The equi keys drive the (shuffle or broadcast) join; the membership test
-    is a residual condition evaluated per matched pair.
+    is a residual condition evaluated per matched pair.  ``left`` holds one
+    row per key (an index row with its member list); ``validate_left``
+    checks it, so the output stays linear in ``right``.
     """
     keys = [on] if isinstance(on, str) else list(on)
+    if validate_left:
+        from changelake.operators.audit import require_unique_key
+
+        require_unique_key(left, keys, "member_join left side")
     l, r = left.alias("_l"), right.alias("_r")
     cond = [F.col(f"_l.{k}") == F.col(f"_r.{k}") for k in keys]
     cond.append(F.array_contains(F.col(f"_l.{array_col}"), F.col(f"_r.{element}")))
