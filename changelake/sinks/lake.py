@@ -17,7 +17,7 @@ SMALL_WRITE_BYTES = 256 << 20
 
 
 def write_lake(df: DataFrame, path: str, by: Sequence[str] = LAKE_PARTITIONS,
-               mode: str = "append") -> None:
+               mode: str = "append", max_records_per_file: int | None = None) -> None:
     """Write ``df`` as Parquet partitioned by ``by``.
 
     Large writes use ``rebalance`` on the partition columns: AQE splits a
@@ -33,7 +33,10 @@ def write_lake(df: DataFrame, path: str, by: Sequence[str] = LAKE_PARTITIONS,
         out = df.repartition(df.sparkSession.sparkContext.defaultParallelism, *by)
     else:
         out = df.hint("rebalance", *by)
-    out.write.mode(mode).partitionBy(*by).parquet(path)
+    w = out.write.mode(mode).partitionBy(*by)
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", str(max_records_per_file))
+    w.parquet(path)
 
 
 def append_audit(audit: DataFrame, path: str, by: Sequence[str] = ()) -> None:

@@ -33,7 +33,8 @@ def cluster_by_day(sdf: DataFrame, by: Sequence[str], day_spread: int) -> DataFr
 
 def write_lake_stream(sdf: DataFrame, path: str, checkpoint: str,
                       by: Sequence[str] = LAKE_PARTITIONS, trigger: dict | None = None,
-                      name: str | None = None, day_spread: int | None = None) -> StreamingQuery:
+                      name: str | None = None, day_spread: int | None = None,
+                      max_records_per_file: int | None = None) -> StreamingQuery:
     """Append ``sdf`` to Parquet under ``path`` partitioned by ``by``.
 
     Map-only by default: a live change stream covers a day or two per
@@ -51,6 +52,8 @@ def write_lake_stream(sdf: DataFrame, path: str, checkpoint: str,
         .partitionBy(*by)
         .trigger(**(trigger or DEFAULT_TRIGGER))
     )
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", str(max_records_per_file))
     if name:
         w = w.queryName(name)
     return w.start()

@@ -77,3 +77,14 @@ def test_console_sink_runs(spark, capsys):
     q = write_console(src, trigger={"availableNow": True})
     run_to_end(q)
     assert q.lastProgress["numInputRows"] == 3
+
+
+def test_max_records_per_file(spark):
+    import os
+
+    path = scratch_path(spark, "t-maxrec")
+    df = spark.range(0, 100).select("id", F.lit(2024).alias("year"), F.lit(1).alias("month"), F.lit(1).alias("day"))
+    write_lake(df, path, max_records_per_file=10)
+    files = [f for _, _, fs in os.walk(path.replace("file:", "")) for f in fs if f.endswith(".parquet")]
+    assert len(files) >= 10
+    assert read_lake(spark, path).count() == 100
