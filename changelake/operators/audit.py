@@ -187,6 +187,10 @@ def publish_records(audit: DataFrame, db_type: str = DEFAULT_DB_TYPE, tz: str =
 
     ``hash_record`` of a delete (NULL ``new_data``) is NULL; the row is
     still published.  ``data`` is the audit date in zone ``tz``.
+
+    ``hash_record`` hashes the ``new_data`` text as received: a database
+    that re-orders or re-spaces JSON keys produces a different text for the
+    same row, so compare content keys only between rows of one producer.
     """
     secs = epoch_seconds(ts_col, ntz=ts_is_ntz)
     millis = epoch_millis(ts_col, ntz=ts_is_ntz)
