@@ -9,7 +9,9 @@
 
 Command line (cluster settings come from spark-submit)::
 
-    spark-submit -m changelake.plans.jobs lake-consumer --servers B --topic T --lake L --checkpoint C
+    zip -r changelake.zip changelake
+    spark-submit --py-files changelake.zip changelake/plans/jobs.py lake-consumer \\
+        --servers B --topic T --lake L --checkpoint C
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from changelake.operators.rowevents import explode_rows, raw_stream_form, row_ev
 from changelake.schemas import AUDIT, TRANSACTION_ALIASES, TRANSACTION_ROW
 from changelake.sinks.lake import append_audit, write_console
 from changelake.sinks.ledger import publish_and_ack, read_ledger
+from changelake.sources.files import read_row_events
 from changelake.sources.jdbc import read_audit
 from changelake.sources.kafka import read_topic, write_topic
 from changelake.streaming.lake_stream import DEFAULT_TRIGGER, write_lake_stream
@@ -145,14 +148,26 @@ def main(argv: list[str] | None = None) -> None:
     pb.add_argument("--ledger", required=True)
     pb.add_argument("--checkpoint", required=True)
     pb.add_argument("--interval", default="5 seconds")
+    rl = sub.add_parser("row-log", help="landed row-log events -> one message per row on a topic")
+    rl.add_argument("--events", required=True, help="folder of landed events (parquet or json)")
+    rl.add_argument("--format", default="parquet")
+    rl.add_argument("--servers", required=True)
+    rl.add_argument("--state", required=True)
+    rl.add_argument("--checkpoint", required=True)
+    rl.add_argument("--max-files-per-trigger", type=int, default=100)
+    rl.add_argument("--raw", action="store_true", help="unquoted values, as the listener renders them")
     args = p.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     if args.job == "lake-consumer":
         qs = kafka_lake_consumer(spark, args.servers, args.topic, args.lake, args.checkpoint, tz=args.tz,
                                  max_offsets_per_trigger=args.max_offsets_per_trigger)
-    else:
+    elif args.job == "publisher":
         qs = [audit_publisher(spark, args.audit, topic_sender(args.servers), args.ledger, args.checkpoint,
                               trigger={"processingTime": args.interval})]
+    else:
+        records = read_row_events(spark, args.events, fmt=args.format, stream=True,
+                                  max_files_per_trigger=args.max_files_per_trigger)
+        qs = [row_log_publisher(records, args.state, args.checkpoint, topic_sender(args.servers), raw=args.raw)]
     try:
         spark.streams.awaitAnyTermination()
     finally:
