@@ -28,6 +28,7 @@ from changelake.operators.audit import capture_changes, pending, publish_envelop
 from changelake.operators.envelope import add_date_parts, split_bad
 from changelake.operators.rowevents import explode_rows, raw_stream_form, row_event_json
 from changelake.schemas import AUDIT, TRANSACTION_ALIASES, TRANSACTION_ROW
+from changelake.session import apply_recommended
 from changelake.sinks.lake import append_audit, write_console
 from changelake.sinks.ledger import publish_and_ack, read_ledger
 from changelake.sources.files import read_row_events
@@ -157,7 +158,7 @@ def main(argv: list[str] | None = None) -> None:
     rl.add_argument("--max-files-per-trigger", type=int, default=100)
     rl.add_argument("--raw", action="store_true", help="unquoted values, as the listener renders them")
     args = p.parse_args(argv)
-    spark = SparkSession.builder.getOrCreate()
+    spark = apply_recommended(SparkSession.builder.appName(f"changelake-{args.job}").getOrCreate())
     if args.job == "lake-consumer":
         qs = kafka_lake_consumer(spark, args.servers, args.topic, args.lake, args.checkpoint, tz=args.tz,
                                  max_offsets_per_trigger=args.max_offsets_per_trigger)

@@ -15,32 +15,48 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Runtime SQL settings the operators are designed for.  Broadcast only on
+# measured sizes: no plan-time broadcast from file-size estimates; AQE
+# converts a join to broadcast when the built side's materialised shuffle is
+# below the adaptive threshold, and operators use checked_broadcast() for
+# dimension-sized sides.
+RECOMMENDED_SQL_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def get_session(master: str = "local[*]", app: str = "changelake", **conf) -> SparkSession:
-    """Build (or reuse) a session with the settings the operators assume.
+    """Build (or reuse) a local/test session with the settings the operators assume.
 
-    On a cluster, pass nothing: master and sizing come from spark-submit.
+    On a cluster use :func:`apply_recommended` on the session spark-submit built.
     """
     builder = (
         SparkSession.builder.master(master)
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # Broadcast only on measured sizes: no plan-time broadcast from file
-        # size estimates; AQE converts a join to broadcast when the built
-        # side's materialised shuffle is below the adaptive threshold, and
-        # operators use checked_broadcast() for dimension-sized sides.
-        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
-        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "64MB")
-        .config("spark.sql.session.timeZone", "UTC")
     )
+    for key, value in RECOMMENDED_SQL_CONF.items():
+        builder = builder.config(key, value)
     for key, value in conf.items():
         builder = builder.config(key.replace("_", "."), value)
     return builder.getOrCreate()
 
 
+def apply_recommended(spark: SparkSession) -> SparkSession:
+    """Set each recommended SQL setting the submitter did not set explicitly."""
+    explicit = spark.sparkContext.getConf()
+    for key, value in RECOMMENDED_SQL_CONF.items():
+        if not explicit.contains(key):
+            spark.conf.set(key, value)
+    return spark
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session, created on demand when unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)

@@ -150,3 +150,11 @@ def test_json_topic_records_decode_from_bytes(spark):
                                  "key binary, value binary, offset long")
     got = sorted((r.offset, r.valor) for r in read_json_topic(recs, SIMPLE_MESSAGE, keep=("offset",)).collect())
     assert got == [(0, 4), (1, 9)]
+
+
+def test_apply_recommended_keeps_explicit_settings(spark):
+    from changelake.session import RECOMMENDED_SQL_CONF, apply_recommended
+
+    apply_recommended(spark)
+    for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"):
+        assert spark.conf.get(key) in (RECOMMENDED_SQL_CONF[key], str(-1))
