@@ -17,7 +17,8 @@ SMALL_WRITE_BYTES = 256 << 20
 
 
 def write_lake(df: DataFrame, path: str, by: Sequence[str] = LAKE_PARTITIONS,
-               mode: str = "append", max_records_per_file: int | None = None) -> None:
+               mode: str = "append", max_records_per_file: int | None = None,
+               balance: str = "auto") -> None:
     """Write ``df`` as Parquet partitioned by ``by``.
 
     Large writes use ``rebalance`` on the partition columns: AQE splits a
@@ -26,10 +27,14 @@ def write_lake(df: DataFrame, path: str, by: Sequence[str] = LAKE_PARTITIONS,
     ``SMALL_WRITE_BYTES`` would be merged into one or two tasks that then
     create every date folder one after another, so it is hash-partitioned
     by date over the cores instead; no date can be large when the whole
-    write is small.
+    write is small.  ``balance`` forces ``"rebalance"`` or ``"hash"``;
+    ``max_records_per_file`` caps file size within a folder.
     """
+    if balance not in ("auto", "rebalance", "hash"):
+        raise ValueError(f"balance must be auto, rebalance or hash, not {balance!r}")
     est = estimated_bytes(df)
-    if est is not None and est <= SMALL_WRITE_BYTES:
+    small = est is not None and est <= SMALL_WRITE_BYTES
+    if balance == "hash" or (balance == "auto" and small):
         out = df.repartition(df.sparkSession.sparkContext.defaultParallelism, *by)
     else:
         out = df.hint("rebalance", *by)

@@ -88,3 +88,23 @@ def test_max_records_per_file(spark):
     files = [f for _, _, fs in os.walk(path.replace("file:", "")) for f in fs if f.endswith(".parquet")]
     assert len(files) >= 10
     assert read_lake(spark, path).count() == 100
+
+
+def test_rebalance_splits_a_hot_day(spark):
+    import os
+
+    path = scratch_path(spark, "t-hotday")
+    # day 1 holds a third of the rows
+    df = spark.range(0, 30000).select(
+        "id", (F.col("id") * 7919 % 1000003).cast("string").alias("pad"),
+        F.lit(2024).alias("year"), F.lit(1).alias("month"),
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise((F.col("id") % 29 + 2).cast("int")).alias("day"))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+        write_lake(df, path, balance="rebalance")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    hot = os.path.join(path.replace("file:", ""), "year=2024", "month=1", "day=1")
+    assert len([f for f in os.listdir(hot) if f.endswith(".parquet")]) > 1  # written by several tasks
+    assert read_lake(spark, path).count() == 30000
