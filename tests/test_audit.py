@@ -152,3 +152,22 @@ def test_capture_refuses_duplicate_keys(spark):
     nulls = spark.createDataFrame([(None, "a")], "id long, v string")
     with pytest.raises(ValueError, match="null or repeated"):
         capture_changes(new, nulls, "id")
+
+
+def test_check_key_aggregates_map_side(spark):
+    # one key holds a third of the rows: the count is partial per task before the shuffle
+    df = spark.range(0, 30000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"))
+    out = check_key(df, "k")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan
+    assert out.filter("k = 0").first().n == 10000
+
+
+def test_drop_redelivered_collapses_hot_id(spark):
+    from changelake.streaming.dedup import drop_redelivered
+
+    df = spark.range(0, 30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("audit_log_id"))
+    plan = drop_redelivered(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate") >= 2  # partial + final
+    assert drop_redelivered(df).count() == 20001
