@@ -97,7 +97,13 @@ def asof_lookup(events: DataFrame, maps: DataFrame, key: str, pos: str,
     bucket = F.expr(f"CAST(`{pos}` AS BIGINT) div {int(bucket_width)}")
 
     ev = events.withColumn("_bucket", bucket)
-    mp = maps.select(key, pos, value_struct.alias("_val")).withColumn("_bucket", bucket)
+    # a NULL key or position never matches (as in an as-of join); dropping such
+    # map rows keeps the window from pairing NULL keys with each other
+    mp = (
+        maps.filter(F.col(key).isNotNull() & F.col(pos).isNotNull())
+        .select(key, pos, value_struct.alias("_val"))
+        .withColumn("_bucket", bucket)
+    )
 
     tagged = ev.withColumn("_kind", F.lit(1)).withColumn("_val", F.lit(None).cast(mp.schema["_val"].dataType))
     tagged = tagged.unionByName(mp.withColumn("_kind", F.lit(0)), allowMissingColumns=True)

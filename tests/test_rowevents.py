@@ -158,3 +158,14 @@ def test_static_lookup_refuses_repeated_ids(spark):
     mp = spark.createDataFrame([(5, "d", "t"), (5, "d2", "t2")], "table_id long, database string, table string")
     with pytest.raises(ValueError, match="table map"):
         lookup_table_map_static(ev, mp)
+
+
+def test_asof_null_key_or_position_gets_defaults(spark):
+    ev = spark.createDataFrame([(1, None), (None, 5), (3, 5)], "position long, table_id long")
+    mp = spark.createDataFrame([(0, None, "dn", "tn"), (None, 5, "dx", "tx"), (2, 5, "d", "t")],
+                               "position long, table_id long, database string, table string")
+    got = {((r.position, r.table_id), (r.database, r.table))
+           for r in lookup_table_map(ev, mp, bucket_width=2).collect()}
+    assert got == {((1, None), ("unknown_db", "unknown_table")),
+                   ((None, 5), ("unknown_db", "unknown_table")),
+                   ((3, 5), ("d", "t"))}
