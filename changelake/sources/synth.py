@@ -41,11 +41,13 @@ def _uuid_text(seed: int, salt: str, id_col: str) -> Column:
 
 
 def synth_transactions(ids: DataFrame, id_col: str = "id", seed: int = 42,
-                       as_of: dt.datetime = dt.datetime(2024, 1, 1)) -> DataFrame:
+                       as_of: dt.datetime = dt.datetime(2024, 1, 1),
+                       amount_type: str = "decimal(18,2)") -> DataFrame:
     """One transaction per input id.
 
-    amount: uniform cents in [10.00, 1000.00]; timestamp: ``as_of`` plus up
-    to one day, whole seconds (TIMESTAMP_NTZ); payment method one of three.
+    amount: uniform cents in [10.00, 1000.00] as ``amount_type`` (e.g.
+    ``decimal(10,2)`` for the MySQL table); timestamp: ``as_of`` plus up to
+    one day, whole seconds (TIMESTAMP_NTZ); payment method one of three.
     """
     span = AMOUNT_MAX_CENTS - AMOUNT_MIN_CENTS + 1
     cents = F.lit(AMOUNT_MIN_CENTS) + _h(seed, "amount", id_col) % span
@@ -54,7 +56,7 @@ def synth_transactions(ids: DataFrame, id_col: str = "id", seed: int = 42,
         _uuid_text(seed, "txn", id_col).alias("transaction_id"),
         F.concat(F.lit("user_"), (_h(seed, "user", id_col) % 100000).cast("string")).alias("user_id"),
         F.timestamp_add("SECOND", _h(seed, "time", id_col) % 86400, base).alias("timestamp"),
-        (cents.cast("decimal(18,0)") / F.lit(100)).cast("decimal(18,2)").alias("amount"),
+        (cents.cast("decimal(18,0)") / F.lit(100)).cast(amount_type).alias("amount"),
         _pick(CITIES, _h(seed, "city", id_col)).alias("city"),
         _pick(COUNTRIES, _h(seed, "country", id_col)).alias("country"),
         _pick(COMPANIES, _h(seed, "merchant", id_col)).alias("merchant_name"),

@@ -108,3 +108,8 @@ def test_rebalance_splits_a_hot_day(spark):
     hot = os.path.join(path.replace("file:", ""), "year=2024", "month=1", "day=1")
     assert len([f for f in os.listdir(hot) if f.endswith(".parquet")]) > 1  # written by several tasks
     assert read_lake(spark, path).count() == 30000
+
+
+def test_synth_amount_type(spark):
+    df = synth_transactions(spark.range(0, 50), amount_type="decimal(10,2)")
+    assert df.schema["amount"].dataType.simpleString() == "decimal(10,2)"
