@@ -92,3 +92,12 @@ def estimated_bytes(df) -> int | None:
         return int(str(stats.sizeInBytes()))
     except Exception:  # pragma: no cover - plan stats are best effort
         return None
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    """Cores of the cluster (the shuffle-partition setting where the
+    session exposes no SparkContext, e.g. a remote session)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no SparkContext on this session type
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from changelake.session import estimated_bytes
+from changelake.session import default_parallelism, estimated_bytes
 
 LAKE_PARTITIONS = ("year", "month", "day")
 
@@ -35,7 +35,7 @@ def write_lake(df: DataFrame, path: str, by: Sequence[str] = LAKE_PARTITIONS,
     est = estimated_bytes(df)
     small = est is not None and est <= SMALL_WRITE_BYTES
     if balance == "hash" or (balance == "auto" and small):
-        out = df.repartition(df.sparkSession.sparkContext.defaultParallelism, *by)
+        out = df.repartition(default_parallelism(df.sparkSession), *by)
     else:
         out = df.hint("rebalance", *by)
     w = out.write.mode(mode).partitionBy(*by)
