@@ -1,7 +1,7 @@
 """Registered queries: each takes ``(spark, sf_dir)`` and returns a DataFrame
-over the whole given tables; ``ORACLE_SQL`` holds the DuckDB statement that
-computes the same rows straight from the base tables (so a decode error
-cannot hide in a path both sides share)."""
+over the whole given tables.  ``plans.oracle.oracle_sql()`` holds, per query,
+the DuckDB statement that computes the same rows straight from the base
+tables (so a decode error cannot hide in a path both sides share)."""
 
 from __future__ import annotations
 
