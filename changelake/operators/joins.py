@@ -83,56 +83,54 @@ def asof_lookup(events: DataFrame, maps: DataFrame, key: str, pos: str,
 
     Two-level scan so that one hot key never lands in one task:
 
-    1. Within ``(key, pos div bucket_width)`` a running ``last(ignorenulls)``
-       finds the latest map row of the same bucket.
-    2. Per ``(key, bucket)`` the latest map row is aggregated (``max_by``) and
-       carried forward across buckets on this summary, which has one row per
-       bucket, not per event.
-    3. The carried value is equi-joined back on ``(key, bucket)``.
-
-    Map rows sort before event rows at the same position.
+    1. Events and map rows are shuffled once, by ``(key, pos div
+       bucket_width)``; within each bucket a running ``last(ignorenulls)``
+       finds the latest map row at or before every event.
+    2. From the same partitioning (no further shuffle of rows) one summary
+       row per bucket holds its latest map row and whether it has events.
+       The summaries are carried forward across buckets of a key; this
+       window sees one row per bucket, not per event.
+    3. The carried value is equi-joined back on ``(key, bucket)``, reusing
+       the big side's partitioning.
+
+    Map rows sort before event rows at the same position.  A NULL key or
+    position never matches.
     """
     value_struct = F.struct(*[F.col(v) for v in values])
     # exact integer division (monotonic in pos, which is all bucketing needs)
     bucket = F.expr(f"CAST(`{pos}` AS BIGINT) div {int(bucket_width)}")
 
     ev = events.withColumn("_bucket", bucket)
-    # a NULL key or position never matches (as in an as-of join); dropping such
-    # map rows keeps the window from pairing NULL keys with each other
+    # dropping map rows with a NULL key or position keeps the window from
+    # pairing NULL keys with each other
     mp = (
         maps.filter(F.col(key).isNotNull() & F.col(pos).isNotNull())
         .select(key, pos, value_struct.alias("_val"))
         .withColumn("_bucket", bucket)
     )
+    val_type = mp.schema["_val"].dataType
 
-    tagged = ev.withColumn("_kind", F.lit(1)).withColumn("_val", F.lit(None).cast(mp.schema["_val"].dataType))
+    tagged = ev.withColumn("_kind", F.lit(1)).withColumn("_val", F.lit(None).cast(val_type))
     tagged = tagged.unionByName(mp.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
     w_in = (
         Window.partitionBy(key, "_bucket")
         .orderBy(F.col(pos), F.col("_kind"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    scanned = tagged.withColumn("_in_bucket", F.last("_val", ignorenulls=True).over(w_in)).filter(
-        F.col("_kind") == 1
-    )
+    scanned_all = tagged.withColumn("_in_bucket", F.last("_val", ignorenulls=True).over(w_in))
+    scanned = scanned_all.filter(F.col("_kind") == 1)
 
-    # Bucket summaries: latest map row per (key, bucket), and the buckets events use.
-    map_last = mp.groupBy(key, "_bucket").agg(F.max_by("_val", F.col(pos)).alias("_val"))
-    ev_buckets = ev.select(key, "_bucket").distinct().withColumn("_val", F.lit(None).cast(mp.schema["_val"].dataType))
-    summary = map_last.unionByName(ev_buckets)
-    w_carry = (
-        Window.partitionBy(key)
-        # event-bucket rows sort before the same bucket's map summary, so
-        # the frame ending one row earlier holds strictly earlier buckets
-        .orderBy("_bucket", F.col("_val").isNotNull())
-        .rowsBetween(Window.unboundedPreceding, -1)
+    # One row per (key, bucket), aggregated where the rows already are.
+    summary = scanned_all.groupBy(key, "_bucket").agg(
+        F.max_by("_val", F.when(F.col("_kind") == 0, F.col(pos))).alias("_last"),
+        F.max("_kind").alias("_has_events"),
     )
+    w_carry = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        summary.withColumn("_carried", F.last("_val", ignorenulls=True).over(w_carry))
-        .filter(F.col("_val").isNull())
+        summary.withColumn("_carried", F.last("_last", ignorenulls=True).over(w_carry))
+        .filter(F.col("_has_events") == 1)
         .select(key, "_bucket", "_carried")
     )
     joined = scanned.join(carried, [key, "_bucket"], "left")
     found = F.coalesce(F.col("_in_bucket"), F.col("_carried"))
-    out_cols = [c for c in events.columns]
-    return joined.select(*out_cols, *[found[v].alias(v) for v in values])
+    return joined.select(*events.columns, *[found[v].alias(v) for v in values])
