@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from changelake.functions.hashing import hash_id, hash_pk, hash_record
 from changelake.functions.jsoncols import KEEP_NULLS
@@ -182,7 +183,7 @@ def with_source(df: DataFrame, db_type: str, db_name: str | None = None,
 
 
 def publish_records(audit: DataFrame, db_type: str = DEFAULT_DB_TYPE, tz: str = "UTC",
-                    ts_col: str = "timestamp", ts_is_ntz: bool = False) -> DataFrame:
+                    ts_col: str = "timestamp", ts_is_ntz: bool | None = None) -> DataFrame:
     """Audit rows -> the eleven publish fields (+ ``audit_log_id``).
 
     ``hash_record`` of a delete (NULL ``new_data``) is NULL; the row is
@@ -191,7 +192,12 @@ def publish_records(audit: DataFrame, db_type: str = DEFAULT_DB_TYPE, tz: str =
     ``hash_record`` hashes the ``new_data`` text as received: a database
     that re-orders or re-spaces JSON keys produces a different text for the
     same row, so compare content keys only between rows of one producer.
+
+    ``ts_is_ntz`` defaults to the column's type: a TIMESTAMP_NTZ change time
+    is read as UTC wall clock.
     """
+    if ts_is_ntz is None:
+        ts_is_ntz = isinstance(audit.schema[ts_col].dataType, T.TimestampNTZType)
     secs = epoch_seconds(ts_col, ntz=ts_is_ntz)
     millis = epoch_millis(ts_col, ntz=ts_is_ntz)
     src = with_source(audit, db_type)
@@ -213,7 +219,7 @@ def publish_records(audit: DataFrame, db_type: str = DEFAULT_DB_TYPE, tz: str =
 
 def publish_envelope(audit: DataFrame, db_type: str = DEFAULT_DB_TYPE, tz: str = "UTC",
                      prefix: str = DEFAULT_TOPIC_PREFIX, ts_col: str = "timestamp",
-                     ts_is_ntz: bool = False) -> DataFrame:
+                     ts_is_ntz: bool | None = None) -> DataFrame:
     """Audit rows -> ``(audit_log_id, key, value, topic)`` topic records.
 
     ``key`` is the record id (order holds per record), ``value`` the JSON

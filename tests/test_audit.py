@@ -171,3 +171,14 @@ def test_drop_redelivered_collapses_hot_id(spark):
     plan = drop_redelivered(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("HashAggregate") >= 2  # partial + final
     assert drop_redelivered(df).count() == 20001
+
+
+def test_publish_detects_ntz_change_time(spark):
+    rows = [("a1", "db", "t", "7", "I", None, '{"v":1}')]
+    df = spark.createDataFrame(rows, "audit_log_id string, db_name string, table_name string, record_id string, "
+                                     "operation string, old_data string, new_data string")
+    ntz = df.withColumn("timestamp", F.lit("2024-06-01 00:00:01").cast("timestamp_ntz"))
+    ltz = df.withColumn("timestamp", F.timestamp_millis(F.lit(1717200001000)))
+    a, b = publish_records(ntz).first(), publish_records(ltz).first()
+    assert a.timestamp_epoch == b.timestamp_epoch == 1717200001
+    assert a.data == b.data == "2024-06-01"
