@@ -54,7 +54,11 @@ def test_classify_and_raw_form(spark):
     )
     kinds = {r.position: r.kind for r in classify_row_events(drop_no_event(df)).collect()}
     assert kinds == {1: "row", 3: "ignored", 4: "map", 5: "unhandled"}
-    raw = raw_stream_form(df).collect()
+    from changelake.schemas import RAW_ROW_EVENT
+
+    raw_df = raw_stream_form(df)
+    assert [(f.name, f.dataType) for f in raw_df.schema.fields] == [(f.name, f.dataType) for f in RAW_ROW_EVENT.fields]
+    raw = raw_df.collect()
     assert [(r.event_type, r.rows) for r in raw] == [("INSERT", '[["x"]]')]
     assert raw[0].event_time is not None
 
