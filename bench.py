@@ -52,21 +52,30 @@ def main() -> None:
     warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
     if os.path.isdir(warm_dir):
         for name in names:
-            QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
-    times: dict[str, float] = {}
+            try:
+                QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
+            except Exception:  # noqa: BLE001 - reported by the timed run below
+                pass
+    times: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
     for name in names:
         t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        try:
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.perf_counter() - t0, 3)
+        except Exception as exc:  # noqa: BLE001 - keep the one-line report whole
+            times[name] = None
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({
         "metric": "total_query_time",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(t for t in times.values() if t is not None), 3),
         "unit": "sec",
         "queries": times,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": int(cpus),
         "warmed_on": warm_dir if os.path.isdir(warm_dir) else None,
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
