@@ -223,7 +223,8 @@ def row_event_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def changelog_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = fx.table(spark, sf_dir, "orders")
+    # spread once: the three forms then share one exchange of the orders
+    orders = fx.keyed_partitions(fx.table(spark, sf_dir, "orders"), "o_orderkey")
     env = cl.from_envelope(decode_envelope(fx.order_envelopes(orders), fx.ORDER_ENVELOPE_ROW),
                            fx.DB_NAME, fx.ORDERS_TABLE, "o_orderkey")
     pub_msgs = publish_envelope(fx.order_inserts(orders), ts_is_ntz=True)
