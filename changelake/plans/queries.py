@@ -28,7 +28,7 @@ from changelake.plans import fixtures as fx
 from changelake.plans.jobs import audit_publisher, capture_job, lake_consumer, row_log_publisher
 from changelake.schemas import PUBLISH, ROW_EVENT_MESSAGE
 from changelake.session import scratch_path
-from changelake.sinks.lake import write_lake
+from changelake.sinks.lake import append_audit, write_lake
 from changelake.sinks.ledger import publish_and_ack, read_ledger
 from changelake.sources.files import read_lake, read_row_events
 from changelake.sources.synth import synth_transactions
@@ -160,18 +160,20 @@ def audit_capture_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unpublished_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Publish the audit rows of fulfilled orders (acknowledged into a
-    ledger), then list the rows still unpublished."""
-    audit = fx.order_audit(fx.table(spark, sf_dir, "orders"))
+    """Append the audit rows to the audit table (written once, in the shared
+    folder), publish those of fulfilled orders (acknowledged into a ledger),
+    then list the rows still unpublished."""
+    root = scratch_path(spark, "unpublished")
+    append_audit(fx.order_audit(fx.table(spark, sf_dir, "orders")), f"{root}/audit")
+    audit = spark.read.parquet(f"{root}/audit")
     status = F.get_json_object(F.coalesce("new_data", "old_data"), "$.o_orderstatus")
     first_batch = audit.filter(status == "F")
-    ledger = scratch_path(spark, "ledger")
 
     def send(batch: DataFrame) -> None:  # topic stand-in: render and discard
         publish_envelope(batch).write.format("noop").mode("overwrite").save()
 
-    publish_and_ack(first_batch, 0, send, ledger)
-    return unpublished(audit, read_ledger(spark, ledger)).select("audit_log_id", "record_id", "operation")
+    publish_and_ack(first_batch, 0, send, f"{root}/ledger")
+    return unpublished(audit, read_ledger(spark, f"{root}/ledger")).select("audit_log_id", "record_id", "operation")
 
 
 def key_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
