@@ -18,6 +18,8 @@ UNSAFE = re.compile(r"\s\s(?:\s|\Z)")
 CUT = re.compile(r"(?= \S)")
 MEMORY_PIECES = 350_000
 LONG_PIECE = 64
+MARKS = frozenset(".,!?;:")
+LAST_PLAIN = "\u024f"
 PIECES_AT_ONCE = 1 << 17
 
 
@@ -36,14 +38,24 @@ class Memory:
 
     def _learn(self, keys: set[str]) -> dict[str, bytes]:
         """Make the codes of ``keys`` known; returns those that are too long to remember."""
-        missing = keys - self.new.keys()
+        missing = {k for k in keys if k not in self.new}
         if not missing:
             return {}
         found = {k: self.old[k] for k in missing if k in self.old}
-        unknown = list(missing - found.keys())
+        missing -= found.keys()
+        # a mark after a letter or digit is a token of its own, so such a piece is put together
+        marked = [k for k in missing if k[-1] in MARKS and k[-2:-1].isalnum() and k[-2] <= LAST_PLAIN]
+        missing.difference_update(marked)
+        missing.update({k[:-1] for k in marked} - found.keys())
+        missing.update({k[-1] for k in marked} - found.keys())
+        held = {k: self.new[k] for k in missing if k in self.new}
+        unknown = list(missing - held.keys())
         long = {}
         for key, code in zip(unknown, self.encode(unknown)):
             (found if len(key) <= LONG_PIECE else long)[key] = code
+        for k in marked:
+            code = b"".join(held.get(x) or found.get(x) or long[x] for x in (k[:-1], k[-1]))
+            (found if len(k) <= LONG_PIECE else long)[k] = code
         if len(self.new) + len(found) > self.bound:
             self.old, self.new = self.new, {k: self.new[k] for k in keys if k in self.new}
         self.new.update(found)
@@ -77,7 +89,7 @@ class Memory:
 
 def _pieces(text: str) -> list[str]:
     if UNSAFE.search(text):
-        return CUT.split(text)
+        return [p for p in CUT.split(text) if p]
     out: list[str] = []
     for line in text.split("\n"):
         first, *rest = line.split(" ")

@@ -24,6 +24,7 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -142,7 +143,7 @@ def _tokenizer_memory(path: str) -> Memory:
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
         def encode(pieces: list[str]) -> list[bytes]:
-            return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+            return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
         _memories[path] = Memory(encode)
     return _memories[path]
