@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+ARRIVAL = "_arrival"
+
 
 def drop_redelivered(df: DataFrame, ids: Sequence[str] = ("audit_log_id",)) -> DataFrame:
     """Batch form: one row per id (an aggregate with map-side partial
@@ -18,13 +20,20 @@ def drop_redelivered(df: DataFrame, ids: Sequence[str] = ("audit_log_id",)) -> D
     return df.dropDuplicates(list(ids))
 
 
-def drop_redelivered_stream(sdf: DataFrame, event_time: str, horizon: str = "1 hour",
+def drop_redelivered_stream(sdf: DataFrame, arrival: str | None = None, horizon: str = "7 days",
                             ids: Sequence[str] = ("audit_log_id",)) -> DataFrame:
-    """Streaming form: duplicates arriving within ``horizon`` of event time
-    are dropped; state older than the watermark is evicted.
-
-    ``event_time`` must be TIMESTAMP (an NTZ column is cast).
+    """Streaming form: the first message of each id, however the input is cut into batches.
+
+    No row is dropped for its event time.  Without ``arrival`` every id is
+    remembered.  With it (the topic's record time, or the modification time
+    of landed files: a time that never runs backwards by more than
+    ``horizon``), ids are forgotten ``horizon`` after they arrived, which
+    bounds the state to the ids of that span.  A message that arrives later
+    than that behind the newest one would count as late and be dropped, so
+    ``horizon`` must exceed both the longest retry and any disorder between
+    topic partitions.
     """
-    ts = F.col(event_time).cast("timestamp")
-    with_ts = sdf.withColumn(event_time, ts)
-    return with_ts.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark(list(ids))
+    if arrival is None:
+        return sdf.dropDuplicates(list(ids))
+    timed = sdf.withColumn(ARRIVAL, F.col(arrival).cast("timestamp")).withWatermark(ARRIVAL, horizon)
+    return timed.dropDuplicatesWithinWatermark(list(ids)).drop(ARRIVAL)
