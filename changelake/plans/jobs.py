@@ -30,7 +30,7 @@ from changelake.operators.rowevents import explode_rows, raw_stream_form, row_ev
 from changelake.schemas import AUDIT, TRANSACTION_ALIASES, TRANSACTION_ROW
 from changelake.session import apply_recommended
 from changelake.sinks.lake import append_audit, write_console
-from changelake.sinks.ledger import publish_and_ack, read_ledger
+from changelake.sinks.ledger import next_batch_id, publish_and_ack, read_ledger
 from changelake.sources.files import read_row_events
 from changelake.sources.jdbc import read_audit
 from changelake.sources.kafka import read_topic, write_topic
@@ -74,7 +74,7 @@ def kafka_lake_consumer(spark: SparkSession, servers: str, topic: str, lake: str
 
 def capture_job(old: DataFrame, new: DataFrame, key: str | list[str], audit_path: str,
                 cols: list[str] | None = None, db_name: str = "db", table_name: str = "table",
-                captured_at: Column | None = None, version: str = "") -> None:
+                captured_at: Column | None = None, version: str | None = None) -> None:
     """Append the audit rows between two versions of a table."""
     audit = capture_changes(old, new, key, cols=cols, db_name=db_name, table_name=table_name,
                             captured_at=captured_at, version=version)
@@ -99,17 +99,19 @@ def audit_publisher(spark: SparkSession, audit_path: str, send: Callable[[DataFr
     return publish_stream(r.parquet(audit_path), send, ledger, checkpoint, trigger=trigger, **kw)
 
 
-def poll_audit_once(audit: DataFrame, send: Callable[[DataFrame], None], ledger: str, tick: int,
+def poll_audit_once(audit: DataFrame, send: Callable[[DataFrame], None], ledger: str, tick: int | None = None,
                     **kw) -> None:
     """One poll of an audit table (e.g. ``sources.jdbc.read_audit``): pending
-    rows not yet in the ledger are published and acknowledged under ``tick``."""
+    rows not yet in the ledger are published and acknowledged under ``tick``
+    (the ledger's next one when None; a used one is refused)."""
     spark = audit.sparkSession
+    tick = next_batch_id(spark, ledger) if tick is None else tick
     todo = unpublished(pending(audit), read_ledger(spark, ledger))
     publish_and_ack(publish_envelope(todo, **kw), tick, send, ledger)
 
 
 def jdbc_audit_poll(spark: SparkSession, url: str, table: str, properties: dict[str, str], servers: str,
-                    ledger: str, tick: int) -> None:
+                    ledger: str, tick: int | None = None) -> None:
     """One poll of a database audit table; the pending filter runs in the database."""
     poll_audit_once(read_audit(spark, url, table, properties), topic_sender(servers), ledger, tick)
 

@@ -2,46 +2,49 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from changelake.session import default_parallelism, estimated_bytes
-
 LAKE_PARTITIONS = ("year", "month", "day")
 
 
-SMALL_WRITE_BYTES = 256 << 20
+# Adaptive execution may merge small dates down to this size, so that a write of many small dates keeps its cores busy.
+MIN_TASK_BYTES = "64KB"
+
+
+@contextmanager
+def _sql_conf(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
 
 
 def write_lake(df: DataFrame, path: str, by: Sequence[str] = LAKE_PARTITIONS,
                mode: str = "append", max_records_per_file: int | None = None,
-               balance: str = "auto") -> None:
+               balance: str = "rebalance") -> None:
     """Write ``df`` as Parquet partitioned by ``by``.
 
-    Large writes use ``rebalance`` on the partition columns: AQE splits a
-    date holding a third of the rows across several tasks and merges small
-    dates (few files per folder).  A write the optimizer estimates below
-    ``SMALL_WRITE_BYTES`` would be merged into one or two tasks that then
-    create every date folder one after another, so it is hash-partitioned
-    by date over the cores instead; no date can be large when the whole
-    write is small.  ``balance`` forces ``"rebalance"`` or ``"hash"``;
-    ``max_records_per_file`` caps file size within a folder.
+    ``rebalance`` on the partition columns: adaptive execution splits a date
+    holding a third of the rows across several tasks and merges small dates
+    (few files per folder), at every size alike.  ``balance="hash"`` puts
+    each date into one task instead; ``max_records_per_file`` caps file size
+    within a folder.
     """
-    if balance not in ("auto", "rebalance", "hash"):
-        raise ValueError(f"balance must be auto, rebalance or hash, not {balance!r}")
-    est = estimated_bytes(df)
-    small = est is not None and est <= SMALL_WRITE_BYTES
-    if balance == "hash" or (balance == "auto" and small):
-        out = df.repartition(default_parallelism(df.sparkSession), *by)
-    else:
-        out = df.hint("rebalance", *by)
+    if balance not in ("rebalance", "hash"):
+        raise ValueError(f"balance must be rebalance or hash, not {balance!r}")
+    out = df.hint("rebalance", *by) if balance == "rebalance" else df.repartition(*by)
     w = out.write.mode(mode).partitionBy(*by)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
-    w.parquet(path)
+    with _sql_conf(df.sparkSession, "spark.sql.adaptive.coalescePartitions.minPartitionSize", MIN_TASK_BYTES):
+        w.parquet(path)
 
 
 def append_audit(audit: DataFrame, path: str, by: Sequence[str] = ()) -> None:
@@ -72,16 +75,23 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType, path: str
     spark.sql(sql)
 
 
-def register_lake(spark: SparkSession, name: str, path: str, streamed: bool = True,
+def is_streamed(spark: SparkSession, path: str) -> bool:
+    """Whether a stream wrote the folder (it then holds its own file log)."""
+    log = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_spark_metadata")  # noqa: SLF001
+    return bool(log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(log))  # noqa: SLF001
+
+
+def register_lake(spark: SparkSession, name: str, path: str, streamed: bool | None = None,
                   by: Sequence[str] = LAKE_PARTITIONS) -> None:
     """Expose a lake folder as a SQL table.
 
     A stream-written folder carries its own file log (``_spark_metadata``),
     which is the authority on its files, so it is registered without
     partition discovery; a batch-written one is registered partitioned and
-    its folders are added with ``MSCK REPAIR TABLE``.
+    its folders are added with ``MSCK REPAIR TABLE``.  Which one it is, is
+    read from the folder unless ``streamed`` says so.
     """
-    if streamed:
+    if is_streamed(spark, path) if streamed is None else streamed:
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
         return
     schema = spark.read.parquet(path).schema
