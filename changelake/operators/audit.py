@@ -42,10 +42,11 @@ def op_code(old_present: Column, new_present: Column) -> Column:
 
 
 def record_id(keys: Sequence[str]) -> Column:
-    """Key as text: one column cast to string; composite keys joined by ``|``."""
+    """Key as text: one column cast to string; a composite key as a JSON array of
+    its parts' texts, so no two keys share an id."""
     if len(keys) == 1:
         return F.col(keys[0]).cast("string")
-    return F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys])
+    return F.to_json(F.array(*[F.col(k).cast("string") for k in keys]))
 
 
 def _image_json(side: str, cols: Sequence[str]) -> Column:
@@ -55,7 +56,7 @@ def _image_json(side: str, cols: Sequence[str]) -> Column:
 def capture_changes(old: DataFrame, new: DataFrame, key: str | Sequence[str],
                     cols: Sequence[str] | None = None, db_name: str = "db",
                     table_name: str = "table", captured_at: Column | None = None,
-                    version: str = "", validate_key: bool = True) -> DataFrame:
+                    version: str | None = None, validate_key: bool = True) -> DataFrame:
     """Audit rows for the difference between two versions of a table.
 
     * key only in ``new`` -> ``I`` with ``new_data`` only;
@@ -70,6 +71,12 @@ def capture_changes(old: DataFrame, new: DataFrame, key: str | Sequence[str],
 
     ``audit_log_id`` is deterministic (SHA-256 of db, table, record id,
     operation and ``version``) so a retried job writes the same ids.
+    ``version`` names this capture and must differ from that of any other
+    capture of the table; without it ``captured_at`` is used, and one of the
+    two must be given, else two updates of a record would share an id.
+
+    Columns added or dropped between the versions show as ``U`` rows of
+    every record in both; each image has the columns of its own version.
 
     Plan: one full outer join on the key (both sides shuffled by key, or
     none when both are bucketed by it); JSON text is built after the
@@ -81,16 +88,19 @@ def capture_changes(old: DataFrame, new: DataFrame, key: str | Sequence[str],
     count of the key columns only, and raises instead.
     """
     keys = _keys(key)
+    if not version and captured_at is None:
+        raise ValueError("capture_changes needs a version or captured_at: it identifies the capture")
     if validate_key:
         require_unique_key(old, keys, "old")
         require_unique_key(new, keys, "new")
     all_cols = [c for c in new.columns if c not in keys]
-    image_cols = list(cols) if cols else [c for c in new.columns]
+    old_cols = [c for c in cols if c in old.columns] if cols else list(old.columns)
+    new_cols = [c for c in cols if c in new.columns] if cols else list(new.columns)
     o = old.select(*keys, F.struct(*[F.col(c) for c in old.columns]).alias("_o"))
     n = new.select(*keys, F.struct(*[F.col(c) for c in new.columns]).alias("_n"))
     joined = o.join(n, keys, "full_outer")
     old_in, new_in = F.col("_o").isNotNull(), F.col("_n").isNotNull()
-    same = F.struct(*[F.col(f"_o.{c}") for c in all_cols]).eqNullSafe(
+    same = F.lit(False) if set(old.columns) != set(new.columns) else F.struct(*[F.col(f"_o.{c}") for c in all_cols]).eqNullSafe(
         F.struct(*[F.col(f"_n.{c}") for c in all_cols])
     )
     changed = joined.filter(~old_in | ~new_in | ~same)
@@ -99,13 +109,13 @@ def capture_changes(old: DataFrame, new: DataFrame, key: str | Sequence[str],
     out = changed.select(
         record_id(keys).alias("record_id"),
         op.alias("operation"),
-        F.when(old_in, _image_json("_o", image_cols)).alias("old_data"),
-        F.when(new_in, _image_json("_n", image_cols)).alias("new_data"),
+        F.when(old_in, _image_json("_o", old_cols)).alias("old_data"),
+        F.when(new_in, _image_json("_n", new_cols)).alias("new_data"),
     )
     return out.select(
         F.sha2(
             F.concat_ws("|", F.lit(db_name), F.lit(table_name), F.col("record_id"),
-                        F.col("operation"), F.lit(version)),
+                        F.col("operation"), F.lit(version) if version else ts.cast("string")),
             256,
         ).alias("audit_log_id"),
         F.lit(db_name).alias("db_name"),

@@ -4,6 +4,7 @@ import hashlib
 import json
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from changelake.operators.audit import (
@@ -29,7 +30,7 @@ def versions(spark):
 
 def test_capture_ops_and_images(spark):
     old, new = versions(spark)
-    out = {r.record_id: r for r in capture_changes(old, new, "id", table_name="t").collect()}
+    out = {r.record_id: r for r in capture_changes(old, new, "id", table_name="t", version="v1").collect()}
     assert {k: v.operation for k, v in out.items()} == {"2": "U", "3": "D", "4": "I", "5": "U"}
     assert out["4"].old_data is None and json.loads(out["4"].new_data) == {"id": 4, "name": "d", "amount": 4}
     assert out["3"].new_data is None and json.loads(out["3"].old_data)["name"] == "c"
@@ -39,14 +40,14 @@ def test_capture_ops_and_images(spark):
 
 def test_capture_subset_still_sees_changes_outside_it(spark):
     old, new = versions(spark)
-    out = {r.record_id: r for r in capture_changes(old, new, "id", cols=["name"]).collect()}
+    out = {r.record_id: r for r in capture_changes(old, new, "id", cols=["name"], version="v1").collect()}
     assert out["5"].operation == "U"  # amount changed, image shows only name
     assert out["5"].old_data == out["5"].new_data == '{"name":null}'
 
 
 def test_capture_replayed_on_old_gives_new(spark):
     old, new = versions(spark)
-    audit = capture_changes(old, new, "id")
+    audit = capture_changes(old, new, "id", version="v1")
     state = {r.id: (r.name, r.amount) for r in old.collect()}
     for r in audit.collect():
         if r.operation == "D":
@@ -68,8 +69,39 @@ def test_audit_ids_are_deterministic(spark):
 def test_composite_key(spark):
     old = spark.createDataFrame([(1, 1, "x"), (1, 2, "y")], "a int, b int, v string")
     new = spark.createDataFrame([(1, 1, "x"), (1, 2, "z")], "a int, b int, v string")
-    out = capture_changes(old, new, ["a", "b"]).collect()
-    assert [(r.record_id, r.operation) for r in out] == [("1|2", "U")]
+    out = capture_changes(old, new, ["a", "b"], version="v1").collect()
+    assert [(r.record_id, r.operation) for r in out] == [('["1","2"]', "U")]
+    apart = spark.createDataFrame([("x|y", "z", 1), ("x", "y|z", 1)], "a string, b string, v int")
+    ids = [r.audit_log_id for r in capture_changes(apart.limit(0), apart, ["a", "b"], version="v1").collect()]
+    assert len(set(ids)) == 2
+
+
+def test_capture_needs_an_identity(spark):
+    old, new = versions(spark)
+    with pytest.raises(ValueError):
+        capture_changes(old, new, "id")
+
+
+def test_added_and_dropped_columns_are_updates(spark):
+    a = spark.createDataFrame([(1, "x", 5)], "id int, v string, gone int")
+    b = spark.createDataFrame([(1, "x", 7)], "id int, v string, added int")
+    row = capture_changes(a, b, "id", version="v1").first()
+    assert (row.operation, json.loads(row.old_data), json.loads(row.new_data)) == (
+        "U", {"id": 1, "v": "x", "gone": 5}, {"id": 1, "v": "x", "added": 7})
+
+
+def test_ledger_refuses_a_used_batch_id_and_owns_the_next(spark):
+    from changelake.session import scratch_path
+    from changelake.sinks.ledger import next_batch_id, publish_and_ack, read_ledger
+    ledger = scratch_path(spark, "t-ticks") + "/ledger"
+    one, two = (spark.createDataFrame([(x,)], "audit_log_id string") for x in "ab")
+    assert next_batch_id(spark, ledger) == 0
+    publish_and_ack(one, 0, lambda df: df.count(), ledger)
+    with pytest.raises(ValueError):
+        publish_and_ack(two, 0, lambda df: df.count(), ledger)
+    assert next_batch_id(spark, ledger) == 1
+    publish_and_ack(two, 1, lambda df: df.count(), ledger)
+    assert sorted(r.audit_log_id for r in read_ledger(spark, ledger).collect()) == ["a", "b"]
 
 
 def test_publish_envelope_fields_and_delete(spark):
@@ -106,7 +138,7 @@ def test_pending_excludes_null_flag(spark):
 
 def test_ledger_ack_and_replay(spark):
     old, new = versions(spark)
-    audit = capture_changes(old, new, "id")
+    audit = capture_changes(old, new, "id", version="v1")
     ledger = scratch_path(spark, "test-ledger")
     sent = []
 
@@ -123,7 +155,7 @@ def test_ledger_ack_and_replay(spark):
 
 def test_failed_send_leaves_rows_pending(spark):
     old, new = versions(spark)
-    audit = capture_changes(old, new, "id")
+    audit = capture_changes(old, new, "id", version="v1")
     ledger = scratch_path(spark, "test-ledger-fail")
 
     def boom(b):
@@ -143,15 +175,14 @@ def test_check_key(spark):
 
 
 def test_capture_refuses_duplicate_keys(spark):
-    import pytest
 
     old = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "id long, v string")
     new = spark.createDataFrame([(1, "a"), (2, "c")], "id long, v string")
     with pytest.raises(ValueError, match="not a primary key"):
-        capture_changes(old, new, "id")
+        capture_changes(old, new, "id", version="v1")
     nulls = spark.createDataFrame([(None, "a")], "id long, v string")
     with pytest.raises(ValueError, match="null or repeated"):
-        capture_changes(new, nulls, "id")
+        capture_changes(new, nulls, "id", version="v1")
 
 
 def test_check_key_aggregates_map_side(spark):

@@ -43,7 +43,7 @@ def test_capture_replayed_on_old_gives_new(spark, old, new):
     n = spark.createDataFrame(sorted(new.items()), schema)
     state = dict(old)
     ops = {}
-    for r in capture_changes(o, n, "id").collect():
+    for r in capture_changes(o, n, "id", version="v1").collect():
         key = int(r.record_id)
         ops[key] = r.operation
         if r.operation == "D":
