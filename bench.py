@@ -33,6 +33,8 @@ HEADLINE = [
     "row_event_explode",
     "changelog_union",
     "dedup_redelivered",
+    "table_map_stream",
+    "row_log_publish",
     "synth_transactions",
 ]
 

@@ -36,9 +36,14 @@ def json_field(message: ColumnOrName, name: str, dtype: str = "string", strict:
     """One top-level field of a JSON text message.
 
     Missing field or unparsable value gives NULL; ``strict=True`` fails the
-    query on an unparsable value instead (ANSI cast).
+    query on either instead (a NULL message stays NULL).
     """
-    raw = F.get_json_object(_col(message), f"$.{name}")
+    if "'" in name:
+        raise ValueError(f"field names with a quote cannot be addressed: {name!r}")
+    raw = F.get_json_object(_col(message), f"$['{name}']")
+    if strict:
+        lost = F.raise_error(F.concat(F.lit(f"no field {name!r} in "), F.substring(_col(message), 1, 200)))
+        raw = F.when(_col(message).isNull(), F.lit(None)).when(raw.isNull(), lost).otherwise(raw)
     if dtype == "string":
         return raw
     return raw.cast(dtype) if strict else raw.try_cast(dtype)

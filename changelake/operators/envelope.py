@@ -122,16 +122,23 @@ def with_bad_flag(df: DataFrame, row_schema: T.StructType, value: str = "value",
     )
 
 
+# A day inside 0001-01-01 and 9999-12-31 UTC, so that any zone stays in range.
+TS_MS_RANGE = (-62135510400000, 253402214399999)
+
+
 def flag_bad(df: DataFrame, row_schema: T.StructType, value: str = "value",
              keep: tuple[str, ...] = (), aliases: Aliases | None = None) -> DataFrame:
     """One pass over the messages: payload fields, raw ``message`` and
     ``bad_reason`` (NULL for a usable row).
 
     A decoded row without ``ts_ms`` has no date and is bad as well, since it
-    cannot be placed in the date-partitioned lake.
+    cannot be placed in the date-partitioned lake; neither can one outside
+    years 1 to 9999, which no timestamp of Spark's date functions holds.
     """
     flagged = with_bad_flag(df, row_schema, value, keep, aliases)
-    reason = F.coalesce(F.col("bad_reason"), F.when(F.col("ts_ms").isNull(), F.lit("no_ts_ms")))
+    in_range = F.col("ts_ms").between(*TS_MS_RANGE)
+    reason = F.coalesce(F.col("bad_reason"), F.when(F.col("ts_ms").isNull(), F.lit("no_ts_ms")),
+                        F.when(~in_range, F.lit("ts_ms_out_of_range")))
     return flagged.withColumn("bad_reason", reason)
 
 

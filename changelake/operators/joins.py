@@ -64,6 +64,8 @@ def member_join(left: DataFrame, right: DataFrame, on: Sequence[str] | str,
     row per key (an index row with its member list); ``validate_left``
     checks it, so the output stays linear in ``right``.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"member_join is an inner or left join, not {how!r}")
     keys = [on] if isinstance(on, str) else list(on)
     if validate_left:
         require_unique_key(left, keys, "member_join left side")

@@ -59,12 +59,25 @@ def raw_stream_form(df: DataFrame, with_time: bool = True) -> DataFrame:
     return row_events_only(df).select(*cols)
 
 
+def incomplete_updates(df: DataFrame) -> DataFrame:
+    """UPDATE events whose before- and after-images do not pair up."""
+    unpaired = F.col("rows").isNull() | F.col("rows_after").isNull() | (F.size("rows") != F.size("rows_after"))
+    return df.filter((F.col("event_type") == "UPDATE") & unpaired)
+
+
 def explode_rows(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One output row per row of an event: ``row_index``, ``values`` for
-    INSERT/DELETE, ``before``/``after`` for UPDATE."""
+    INSERT/DELETE, ``before``/``after`` for UPDATE.
+
+    An UPDATE without its after-image, or with fewer after- than before-rows,
+    keeps every row; the missing side is NULL (``incomplete_updates`` lists them).
+    """
     is_update = F.col("event_type") == "UPDATE"
+    no_rows = F.slice(F.col("rows"), 1, 0)
+    after = F.coalesce(F.col("rows_after"), no_rows)
+    before = F.coalesce(F.col("rows"), F.slice(F.col("rows_after"), 1, 0))
     pairs = F.when(
-        is_update, F.arrays_zip(F.col("rows").alias("b"), F.col("rows_after").alias("a"))
+        is_update, F.arrays_zip(before.alias("b"), after.alias("a"))
     ).otherwise(F.arrays_zip(F.col("rows").alias("b"), F.col("rows").alias("a")))
     exploded = df.select(
         *keep, "position", "event_type", "table_id", "database", "table",

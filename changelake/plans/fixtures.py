@@ -26,7 +26,6 @@ from pyspark.sql import types as T
 from changelake.functions.jsoncols import money
 from changelake.functions.timecols import epoch_millis, seconds_text
 from changelake.operators.audit import capture_changes
-from changelake.session import default_parallelism
 
 # Fixed values of the fixtures (ours).
 DB_NAME = "tpch"
@@ -63,24 +62,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def keyed_partitions(df: DataFrame, key: str) -> DataFrame:
-    """Rows spread by key hash, as a topic's partitioner spreads keyed messages.
-
-    Only when the table arrives in fewer splits than the cluster has cores
-    (one small file or row group); a normally split input is untouched, so
-    at scale no shuffle is added.  Hash partitioning is deterministic on
-    retry (unlike round-robin).
-    """
-    n = default_parallelism(df.sparkSession)
-    try:
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - split count not visible on this session type
-        return df
-    if splits >= n:
-        return df
-    return df.repartition(n, key)
-
-
 # ---------------------------------------------------------------- orders ---
 
 ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
@@ -122,7 +103,7 @@ def order_envelopes(orders: DataFrame) -> DataFrame:
         op.alias("op"),
         epoch_millis("o_orderdate", ntz=True).alias("ts_ms"),
     )
-    return keyed_partitions(orders, "o_orderkey").select(
+    return orders.select(
         F.col("o_orderkey").cast("string").alias("key"),
         F.to_json(F.struct(payload.alias("payload"))).alias("value"),
     )
@@ -160,7 +141,7 @@ def order_audit(orders: DataFrame, cols=None) -> DataFrame:
 def order_inserts(orders: DataFrame) -> DataFrame:
     """Initial load: every order as an inserted audit row stamped with its
     order date (TIMESTAMP_NTZ, read as UTC)."""
-    rows = order_rows(keyed_partitions(orders, "o_orderkey"), F.col("o_orderdate").alias("_ts"))
+    rows = order_rows(orders, F.col("o_orderdate").alias("_ts"))
     image = F.to_json(F.struct(*[F.col(c) for c in ORDER_COLUMNS]), {"ignoreNullFields": "false"})
     rid = F.col("o_orderkey").cast("string")
     return rows.select(
@@ -232,7 +213,7 @@ def lineitem_row_events(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
 def order_row_events(orders: DataFrame) -> DataFrame:
     """Each order as a one-row INSERT event (values = order image as text)."""
-    rows = order_rows(keyed_partitions(orders, "o_orderkey"))
+    rows = order_rows(orders)
     values = F.array(*[F.col(c).cast("string") for c in rows.columns])
     return rows.select(
         F.col("o_orderkey").alias("position"),
@@ -264,7 +245,7 @@ def event_messages(events: DataFrame, truncate_type: str | None = None) -> DataF
     if truncate_type is not None:
         cut = F.substring(text, F.lit(1), (F.length(text) / 2).cast("int"))
         text = F.when(F.col("event_type") == truncate_type, cut).otherwise(text)
-    return keyed_partitions(events, "event_id").select(F.col("event_id").cast("string").alias("key"),
+    return events.select(F.col("event_id").cast("string").alias("key"),
                                                        text.alias("value"))
 
 

@@ -150,7 +150,7 @@ def oracle_sql() -> dict[str, str]:
     sql["lake_month_scan"] = """
       SELECT event_id, user_id, event_type, value, CAST(year(ts) AS INTEGER) AS year,
              CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day
-      FROM events WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01'"""
+      FROM events WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-22'"""
     sql["stream_append_lake"] = """
       SELECT event_id, ts, user_id, event_type, value, props, CAST(year(ts) AS INTEGER) AS year,
              CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day

@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from changelake.functions.jsoncols import json_field
 from changelake.operators import changelog as cl
@@ -39,7 +40,8 @@ from changelake.streaming.table_map import table_map_stream
 Query = Callable[[SparkSession, str], DataFrame]
 
 ASOF_BUCKET_WIDTH = 4096   # positions per as-of scan bucket in the registered queries
-STREAM_SLICE_WIDTH = 2048  # positions per landed file in the streamed table-map query
+ORDERED_LANDINGS = 4  # landings of the ordered streams
+REDELIVERED_LOTS = 3  # landings of the re-delivered messages
 
 
 def _flat(prefix: str, struct_col: str, fields) -> list:
@@ -77,10 +79,10 @@ def _events_with_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lake_month_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write events to the lake, read January 2024 back through partition filters."""
+    """Write events to the lake, read two weeks of it back through partition filters."""
     lake = scratch_path(spark, "events-lake")
     write_lake(_events_with_dates(spark, sf_dir), lake)
-    return read_lake(spark, lake, start="2024-01-01", end="2024-01-31").select(
+    return read_lake(spark, lake, start="2024-01-08", end="2024-01-21").select(
         "event_id", "user_id", "event_type", "value", "year", "month", "day"
     )
 
@@ -90,9 +92,8 @@ def stream_append_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = fx.table(spark, sf_dir, "events").schema
     src = (
         spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .option("maxFilesPerTrigger", "1")
-        .parquet(sf_dir)
+        .option("maxFilesPerTrigger", "64")
+        .parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")  # a pattern takes in one file or a folder of files
     )
     dated = src.withColumns({"year": F.year("ts"), "month": F.month("ts"), "day": F.dayofmonth("ts")})
     root = scratch_path(spark, "stream-lake")
@@ -225,8 +226,8 @@ def row_event_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def changelog_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # spread once: the three forms then share one exchange of the orders
-    orders = fx.keyed_partitions(fx.table(spark, sf_dir, "orders"), "o_orderkey")
+    # dealt by key as a topic would; the three forms share this one exchange of the orders
+    orders = fx.table(spark, sf_dir, "orders").repartition("o_orderkey")
     env = cl.from_envelope(decode_envelope(fx.order_envelopes(orders), fx.ORDER_ENVELOPE_ROW),
                            fx.DB_NAME, fx.ORDERS_TABLE, "o_orderkey")
     pub_msgs = publish_envelope(fx.order_inserts(orders), ts_is_ntz=True)
@@ -240,54 +241,55 @@ def changelog_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------- streaming ---
 
 def dedup_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events published at least once (purchases sent twice) -> streamed
-    dedup on the message id within a one-hour event-time horizon."""
+    """Events published at least once (purchases sent twice) -> streamed dedup
+    on the message id, over several micro-batches.  Messages are dealt to
+    files without regard to their time, and copies to different files, so
+    late unique messages and copies that cross batches both occur."""
     ev = fx.table(spark, sf_dir, "events")
     msgs = ev.select(F.col("event_id").cast("string").alias("audit_log_id"), "ts", "event_type", "value")
-    resent = msgs.filter(F.col("event_type") == "purchase")
+    sent = msgs.withColumn("_copy", F.explode(F.when(F.col("event_type") == "purchase", F.array(F.lit(0), F.lit(1)))
+                                              .otherwise(F.array(F.lit(0)))))
     root = scratch_path(spark, "redelivered")
-    msgs.unionByName(resent).write.parquet(f"{root}/in")
-    src = spark.readStream.schema(msgs.schema).parquet(f"{root}/in")
-    deduped = drop_redelivered_stream(src, "ts", "1 hour")
-    q = (
-        deduped.writeStream.format("parquet")
-        .option("path", f"{root}/out")
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    run_to_end(q)
+    lot = F.pmod(F.xxhash64("audit_log_id") + F.col("_copy"), F.lit(REDELIVERED_LOTS))
+    sent.withColumn("_lot", lot).drop("_copy").write.partitionBy("_lot").parquet(f"{root}/sent")
+    for k in range(REDELIVERED_LOTS):
+        spark.read.parquet(f"{root}/sent").where(F.col("_lot") == k).drop("_lot").write.mode("append").parquet(f"{root}/in")
+        src = spark.readStream.schema(msgs.schema).parquet(f"{root}/in")
+        arrived = src.withColumn("_landed", F.col("_metadata.file_modification_time"))
+        q = (
+            drop_redelivered_stream(arrived, "_landed").writeStream.format("parquet")
+            .option("path", f"{root}/out")
+            .option("checkpointLocation", f"{root}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        run_to_end(q)
     return spark.read.parquet(f"{root}/out").select("audit_log_id", "event_type", "value")
 
 
-def _land_in_order(spark: SparkSession, records: DataFrame, dest: str, staged: str) -> None:
-    """Land records as one file per position slice, slices in position order.
-
-    Staged once, partitioned by slice; then the slices are landed one job
-    after another (each reads only its own folder), so file times follow
-    position order as a topic partition's offsets would.
-    """
+def _stream_in_order(records: DataFrame, dest: str, stream: Callable[[], StreamingQuery]) -> None:
+    """Land records in ``ORDERED_LANDINGS`` ranges of position, each in one job
+    with as many files as it has tasks, and run the stream up to the end after
+    each: order matters between micro-batches only, and the number of jobs
+    does not grow with the rows."""
+    spark = records.sparkSession
     bounds = records.agg(F.min("position").alias("lo"), F.max("position").alias("hi")).first()
-    if bounds["lo"] is None:
-        return
-    slice_no = F.floor(F.col("position") / STREAM_SLICE_WIDTH).cast("long")
-    records.withColumn("_slice", slice_no).write.partitionBy("_slice").parquet(staged)
-    first, last = bounds["lo"] // STREAM_SLICE_WIDTH, bounds["hi"] // STREAM_SLICE_WIDTH
-    for s in range(first, last + 1):
-        part = spark.read.parquet(staged).filter(F.col("_slice") == s).drop("_slice")
-        part.coalesce(1).write.mode("append").parquet(dest)
+    lo, hi = bounds["lo"] or 0, bounds["hi"] or 0
+    step = (hi - lo) // ORDERED_LANDINGS + 1
+    for k in range(ORDERED_LANDINGS):
+        part = records.where(F.col("position").between(lo + k * step, lo + (k + 1) * step - 1))
+        part.write.mode("append").parquet(dest)
+        run_to_end(stream())
 
 
 def table_map_stream_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed records arrive in position order, one file per position slice;
-    each micro-batch carries the table map forward."""
+    """Landed records arrive in ranges of position; each micro-batch carries the
+    table map forward to the next."""
     records = fx.event_landed_records(fx.table(spark, sf_dir, "events"))
     root = scratch_path(spark, "table-map-stream")
-    _land_in_order(spark, records, f"{root}/in", f"{root}/staged")
-    src = read_row_events(spark, f"{root}/in", stream=True, max_files_per_trigger=1)
-    q = table_map_stream(src, f"{root}/out", f"{root}/state", f"{root}/checkpoint",
-                         bucket_width=ASOF_BUCKET_WIDTH, trigger={"availableNow": True})
-    run_to_end(q)
+    _stream_in_order(records, f"{root}/in", lambda: table_map_stream(
+        read_row_events(spark, f"{root}/in", stream=True), f"{root}/out", f"{root}/state", f"{root}/checkpoint",
+        bucket_width=ASOF_BUCKET_WIDTH, trigger={"availableNow": True}))
     out = spark.read.parquet(f"{root}/out")
     return out.select("position", "table_id", F.col("database").alias("db_name"),
                       F.col("table").alias("table_name"))
@@ -298,7 +300,8 @@ def envelope_stream_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     quarantine split, date parts, partitioned file sink; read back flat."""
     msgs = fx.order_envelopes(fx.table(spark, sf_dir, "orders"))
     root = scratch_path(spark, "envelope-stream")
-    msgs.write.parquet(f"{root}/in")
+    # landed by key, as a topic's partitions are
+    msgs.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "value").write.parquet(f"{root}/in")
     src = spark.readStream.schema(msgs.schema).parquet(f"{root}/in")
     run_to_end(*lake_consumer(src, f"{root}/lake", f"{root}/checkpoint", row_schema=fx.ORDER_ENVELOPE_ROW,
                               aliases=None, trigger={"availableNow": True}))
@@ -329,19 +332,18 @@ def row_log_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     carried table-map lookup -> one JSON message per row with a constant key."""
     records = fx.event_landed_records(fx.table(spark, sf_dir, "events"))
     root = scratch_path(spark, "row-log")
-    _land_in_order(spark, records, f"{root}/in", f"{root}/staged")
-    src = read_row_events(spark, f"{root}/in", stream=True, max_files_per_trigger=1)
 
     def send(batch: DataFrame) -> None:
         batch.write.mode("append").parquet(f"{root}/topic")
 
-    run_to_end(row_log_publisher(src, f"{root}/state", f"{root}/checkpoint", send,
-                                 trigger={"availableNow": True}, bucket_width=ASOF_BUCKET_WIDTH))
+    _stream_in_order(records, f"{root}/in", lambda: row_log_publisher(
+        read_row_events(spark, f"{root}/in", stream=True), f"{root}/state", f"{root}/checkpoint", send,
+        trigger={"availableNow": True}, bucket_width=ASOF_BUCKET_WIDTH))
     return spark.read.parquet(f"{root}/topic")
 
 
 def synth_transactions_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = fx.keyed_partitions(fx.table(spark, sf_dir, "orders"), "o_orderkey").select(F.col("o_orderkey").alias("id"))
+    ids = fx.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
     return synth_transactions(ids, "id", seed=42)
 
 

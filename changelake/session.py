@@ -9,6 +9,7 @@ absent (a bare local or test session) do we choose a folder ourselves.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -68,7 +69,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
         master = spark.sparkContext.master or ""
-        if not master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
             raise ValueError(
                 "spark.checkpoint.dir is not set: set it to a folder shared by the cluster "
                 "(e.g. an HDFS or object-store path); streaming checkpoints and ledgers live there"

@@ -17,7 +17,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from changelake.operators.rowevents import MAP_KIND, lookup_table_map, row_events_only
 
@@ -29,14 +28,12 @@ def _latest_state(spark: SparkSession, state: str, batch_id: int) -> DataFrame |
 
     Micro-batch ids are consecutive and a batch only commits after its
     state is written, so the previous part is read by path: O(1) per
-    batch, however long the stream has run.
+    batch, however long the stream has run.  Only batch 0 starts without
+    state; a missing part raises rather than answering "unknown".
     """
     if batch_id == 0:
         return None
-    try:
-        return spark.read.parquet(f"{state}/batch_id={batch_id - 1}").select(*MAP_COLUMNS)
-    except AnalysisException:
-        return None
+    return spark.read.parquet(f"{state}/batch_id={batch_id - 1}").select(*MAP_COLUMNS)
 
 
 def carry_map(maps: DataFrame) -> DataFrame:
