@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from changelake.llm.common import materialize
+
 PERIOD = 1024
 BLOCK_ROWS = 64
 MAX_COMPONENTS = 256
@@ -109,10 +111,10 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, other_
     """
     if len(weights or ()) >= max_components or max_components > period:
         raise ValueError("max_components must exceed the number of weights and not exceed the period")
-    counts = docs.groupBy(F.col("source").cast("string").alias("source")).agg(F.count("*").alias("n"))
+    counts = materialize(docs.groupBy(F.col("source").cast("string").alias("source")).agg(F.count("*").alias("n")), "mixing-counts")
     total = counts.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, -(-total // bucket_rows))
-    quota = quotas(counts, weights, other_weight, period, max_components)
+    quota = materialize(quotas(counts, weights, other_weight, period, max_components), "mixing-quotas")
     named = F.broadcast(quota.where("not is_other").select(F.col("source").alias("named"), "component"))
     other = F.broadcast(quota.where("is_other").agg(F.max("component").alias("other")))
     digest = F.md5(F.coalesce(F.col("doc.doc_id").cast("string"), F.lit("")).cast("binary"))
