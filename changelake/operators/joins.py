@@ -88,7 +88,7 @@ def asof_lookup(events: DataFrame, maps: DataFrame, key: str, pos: str,
     1. Events and map rows are shuffled once, by ``(key, pos div
        bucket_width)``; within each bucket a running ``last(ignorenulls)``
        finds the latest map row at or before every event.
-    2. From the same partitioning (no further shuffle of rows) one summary
+    2. From the same partitioning (the rows are shuffled once more for the lookup) one summary
        row per bucket holds its latest map row and whether it has events.
        The summaries are carried forward across buckets of a key; this
        window sees one row per bucket, not per event.

@@ -38,7 +38,7 @@ def _as_date(d: dt.date | str) -> dt.date:
 def read_lake(spark: SparkSession, path: str, start: dt.date | str | None = None,
               end: dt.date | str | None = None, schema: T.StructType | None = None) -> DataFrame:
     """Read the lake; ``start``/``end`` (inclusive) become partition filters
-    on ``year/month/day``, so only matching folders are listed and read."""
+    on ``year/month/day``, so only files of matching folders are read (all folders are listed)."""
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
