@@ -21,6 +21,7 @@ LONG_PIECE = 64
 MARKS = frozenset(".,!?;:")
 LAST_PLAIN = "\u024f"
 PIECES_AT_ONCE = 1 << 17
+BARE = "\n"
 
 
 class Memory:
@@ -36,66 +37,69 @@ class Memory:
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _learn(self, keys: set[str]) -> dict[str, bytes]:
-        """Make the codes of ``keys`` known; returns those that are too long to remember."""
-        missing = {k for k in keys if k not in self.new}
-        if not missing:
-            return {}
-        found = {k: self.old[k] for k in missing if k in self.old}
-        missing -= found.keys()
+    def _learn(self, missing: set[str]) -> dict[str, bytes]:
+        """The codes of keys that the newer generation lacks, remembered unless they are too long."""
+        known = {k: self.old[k] for k in missing if k in self.old}
+        unknown = missing.difference(known)
         # a mark after a letter or digit is a token of its own, so such a piece is put together
-        marked = [k for k in missing if k[-1] in MARKS and k[-2:-1].isalnum() and k[-2] <= LAST_PLAIN]
-        missing.difference_update(marked)
-        missing.update({k[:-1] for k in marked} - found.keys())
-        missing.update({k[-1] for k in marked} - found.keys())
-        held = {k: self.new[k] for k in missing if k in self.new}
-        unknown = list(missing - held.keys())
-        long = {}
-        for key, code in zip(unknown, self.encode(unknown)):
-            (found if len(key) <= LONG_PIECE else long)[key] = code
+        marked = [k for k in unknown if k[-1:] in MARKS and k[-2:-1].isalnum() and k[-2] <= LAST_PLAIN]
+        parts = {part for k in marked for part in (k[:-1], BARE + k[-1])}.difference(known)
+        held = {k: self.new[k] for k in parts if k in self.new}
+        unknown = [*unknown.difference(marked).union(parts.difference(held))]
+        known.update(zip(unknown, self.encode([_piece(k) for k in unknown]), strict=True))
         for k in marked:
-            code = b"".join(held.get(x) or found.get(x) or long[x] for x in (k[:-1], k[-1]))
-            (found if len(k) <= LONG_PIECE else long)[k] = code
-        if len(self.new) + len(found) > self.bound:
-            self.old, self.new = self.new, {k: self.new[k] for k in keys if k in self.new}
-        self.new.update(found)
-        return long
+            stem, mark = k[:-1], BARE + k[-1]
+            known[k] = (held[stem] if stem in held else known[stem]) + (held[mark] if mark in held else known[mark])
+        kept = {k: code for k, code in known.items() if len(k) <= LONG_PIECE}
+        if len(self.new) + len(kept) > self.bound:
+            self.old, self.new = self.new, {}
+        self.new.update(kept)
+        return known
 
     def codes(self, texts: list[str]) -> list[bytes]:
         """The codes of each whole text."""
-        cut = [_pieces(t) for t in texts]
-        out = [b""] * len(texts)
-        at = 0
-        while at < len(cut):
-            stop, held = at + 1, len(cut[at])
-            while stop < len(cut) and held + len(cut[stop]) <= PIECES_AT_ONCE:
-                held += len(cut[stop])
-                stop += 1
-            if stop - at > 1 or held <= PIECES_AT_ONCE:
-                long = self._learn(set().union(*cut[at:stop]))
-                for i in range(at, stop):
-                    out[i] = self._join(cut[i], long)
+        out: list[bytes] = []
+        block: list[list[str]] = []
+        held = 0
+        for keys in map(_keys, texts):
+            if block and held + len(keys) > PIECES_AT_ONCE:
+                out += self._block(block)
+                block, held = [], 0
+            if len(keys) > PIECES_AT_ONCE:
+                parts = (keys[at:at + PIECES_AT_ONCE] for at in range(0, len(keys), PIECES_AT_ONCE))
+                out.append(b"".join(code for part in parts for code in self._block([part])))
             else:
-                blocks = [cut[at][b:b + PIECES_AT_ONCE] for b in range(0, held, PIECES_AT_ONCE)]
-                out[at] = b"".join(self._join(b, self._learn(set(b))) for b in blocks)
-            at = stop
-        return out
+                block.append(keys)
+                held += len(keys)
+        return out + self._block(block)
 
-    def _join(self, keys: list[str], long: dict[str, bytes]) -> bytes:
-        if long:
-            return b"".join([long[k] if k in long else self.new[k] for k in keys])
-        return b"".join(map(self.new.__getitem__, keys))
+    def _block(self, block: list[list[str]]) -> list[bytes]:
+        found = [list(map(self.new.get, keys)) for keys in block]
+        holes = [[i for i, code in enumerate(codes) if code is None] for codes in found]
+        learnt = self._learn({keys[i] for keys, at in zip(block, holes) for i in at})
+        for keys, codes, at in zip(block, found, holes):
+            for i in at:
+                codes[i] = learnt[keys[i]]
+        return [b"".join(codes) for codes in found]
 
 
-def _pieces(text: str) -> list[str]:
+def _piece(key: str) -> str:
+    return key[1:] if key.startswith(BARE) else " " + key
+
+
+def _keys(text: str) -> list[str]:
+    """The keys of a text's pieces: what follows the piece's first blank, or BARE and a piece
+    that has no first blank (or one that BARE follows)."""
     if UNSAFE.search(text):
-        return [p for p in CUT.split(text) if p]
+        return [p[1:] if p[0] == " " and p[1:2] != BARE else BARE + p for p in CUT.split(text) if p]
     out: list[str] = []
     for line in text.split("\n"):
-        first, *rest = line.split(" ")
-        if first:
-            out.append(first)
-        out.extend(map(" ".__add__, rest))
-        out.append("\n")
+        words = line.split(" ")
+        if words[0]:
+            words[0] = BARE + words[0]
+            out += words
+        else:
+            out += words[1:]
+        out.append(BARE + "\n")
     out.pop()
     return out

@@ -21,6 +21,7 @@ lists are read, so a repeated attempt leaves nothing behind in the result.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -43,6 +44,10 @@ HEAD = struct.Struct("<8s6Q")
 SAMPLE = 256
 SHARD_IDS = 1 << 22
 END_ID = 0
+# A blank and a word; the pieces of this form are encoded together.
+WORD = re.compile(r" \S+")
+WORDS_AT_ONCE = 256
+BLANK = "\u0120"  # the character that stands for a blank in a byte-level vocabulary
 
 
 class EliasFano:
@@ -142,8 +147,26 @@ def _tokenizer_memory(path: str) -> Memory:
         tokenizer = Tokenizer.from_file(path)
         tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
+        opens = np.zeros(max(tokenizer.get_vocab().values(), default=0) + 1, bool)
+        opens[[i for token, i in tokenizer.get_vocab().items() if token.startswith(BLANK)]] = True
+
+        def batch(texts: list[str]) -> list[array]:
+            return [array("I", e.ids) for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
         def encode(pieces: list[str]) -> list[bytes]:
-            return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+            # a word's only blank is its first byte, so in a run of words each one begins at a token that opens with a blank
+            words = [p for p in pieces if WORD.fullmatch(p)]
+            runs = ["".join(words[i:i + WORDS_AT_ONCE]) for i in range(0, len(words), WORDS_AT_ONCE)]
+            codes: list[bytes] = []
+            for ids in batch(runs):
+                at = np.flatnonzero(opens[np.frombuffer(ids, np.uint32)]) * 4
+                raw = ids.tobytes()
+                stops = [*at[1:].tolist(), len(raw)]
+                codes.extend(raw[a:b] for a, b in zip(at.tolist(), stops))
+            known = dict(zip(words, codes, strict=True))
+            rest = [p for p in pieces if p not in known]
+            known.update(zip(rest, (ids.tobytes() for ids in batch(rest))))
+            return [known[p] for p in pieces]
 
         _memories[path] = Memory(encode)
     return _memories[path]
