@@ -151,9 +151,17 @@ def split_bad(df: DataFrame, row_schema: T.StructType, value: str = "value",
     Use :func:`flag_bad` directly when one output with a flag will do.
     """
     flagged = flag_bad(df, row_schema, value, keep, aliases)
-    good = flagged.filter(F.col("bad_reason").isNull()).select(*keep, *PAYLOAD_FIELDS)
-    bad = flagged.filter(F.col("bad_reason").isNotNull()).select(*keep, "message", "bad_reason")
-    return good, bad
+    return good_rows(flagged, keep), bad_rows(flagged, keep)
+
+
+def good_rows(flagged: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The usable rows of :func:`flag_bad`, decoded."""
+    return flagged.filter(F.col("bad_reason").isNull()).select(*keep, *PAYLOAD_FIELDS)
+
+
+def bad_rows(flagged: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The unusable rows of :func:`flag_bad`: raw message and reason."""
+    return flagged.filter(F.col("bad_reason").isNotNull()).select(*keep, "message", "bad_reason")
 
 
 def add_date_parts(df: DataFrame, millis: str = "ts_ms", tz: str = "UTC") -> DataFrame:

@@ -91,7 +91,7 @@ def _order_image(status=None):
     )
 
 
-def order_envelopes(orders: DataFrame) -> DataFrame:
+def order_envelopes(orders: DataFrame, *extra: str) -> DataFrame:
     """``key, value`` before/after change messages of every order."""
     st = F.col("o_orderstatus")
     op = F.when(st == "O", F.lit("c")).when(st == "F", F.lit("u")).otherwise(F.lit("d"))
@@ -106,7 +106,24 @@ def order_envelopes(orders: DataFrame) -> DataFrame:
     return orders.select(
         F.col("o_orderkey").cast("string").alias("key"),
         F.to_json(F.struct(payload.alias("payload"))).alias("value"),
+        *extra,
+    )
+
+
+def order_messages(orders: DataFrame) -> DataFrame:
+    """Order envelopes whose partly shipped orders (status P) are unusable in
+    five ways, by priority: no message, cut short, no payload, no time, and a
+    time that no date has."""
+    late = F.regexp_replace("value", r'"ts_ms":-?\d+', '"ts_ms":9223372036854775807')
+    value = (
+        F.when(F.col("o_orderstatus") != "P", F.col("value"))
+        .when(F.col("o_orderpriority") == "1-URGENT", F.lit(None).cast("string"))
+        .when(F.col("o_orderpriority") == "2-HIGH", F.expr("left(value, length(value) div 2)"))
+        .when(F.col("o_orderpriority") == "3-MEDIUM", F.lit('{"schema":"orders"}'))
+        .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.regexp_replace("value", r',"ts_ms":-?\d+', ""))
+        .otherwise(late)
     )
+    return order_envelopes(orders, "o_orderstatus", "o_orderpriority").select("key", value.alias("value"))
 
 
 def order_versions(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -127,6 +144,18 @@ def order_versions(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
     return old, new
 
 
+def order_third_version(new: DataFrame) -> DataFrame:
+    """The version after ``new``: its ``2-HIGH`` orders cost 2 more again."""
+    dearer = F.when(F.col("o_orderpriority") == "2-HIGH", F.col("o_totalprice") + 2).otherwise(F.col("o_totalprice"))
+    return new.withColumn("o_totalprice", dearer.cast("decimal(18,2)"))
+
+
+def customer_versions(customer: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(old, new) versions of the customers: nation 1 comes in, nation 2 goes."""
+    rows = customer.select("c_custkey", "c_name", "c_nationkey")
+    return rows.filter("c_nationkey <> 1").drop("c_nationkey"), rows.filter("c_nationkey <> 2").drop("c_nationkey")
+
+
 def captured_at():
     return F.timestamp_millis(F.lit(CAPTURED_AT_MS))
 

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from changelake.operators.audit import capture_changes, pending, publish_envelope, unpublished
-from changelake.operators.envelope import add_date_parts, split_bad
+from changelake.operators.envelope import add_date_parts, bad_rows, flag_bad, good_rows
 from changelake.operators.rowevents import explode_rows, raw_stream_form, row_event_json
 from changelake.schemas import AUDIT, TRANSACTION_ALIASES, TRANSACTION_ROW
 from changelake.session import apply_recommended
@@ -34,7 +34,7 @@ from changelake.sinks.ledger import next_batch_id, publish_and_ack, read_ledger
 from changelake.sources.files import read_row_events
 from changelake.sources.jdbc import read_audit
 from changelake.sources.kafka import read_topic, write_topic
-from changelake.streaming.lake_stream import DEFAULT_TRIGGER, write_lake_stream
+from changelake.streaming.lake_stream import split_lake_stream
 from changelake.streaming.publish import publish_stream
 from changelake.streaming.table_map import table_map_stream
 
@@ -45,24 +45,19 @@ ROW_LOG_KEY = "default_key"
 
 def lake_consumer(records: DataFrame, lake: str, checkpoint: str, quarantine: str | None = None,
                   row_schema: T.StructType = TRANSACTION_ROW, aliases=TRANSACTION_ALIASES,
-                  tz: str = "UTC", trigger: dict | None = None,
-                  day_spread: int | None = None) -> list[StreamingQuery]:
+                  tz: str = "UTC", trigger: dict | None = None, day_spread: int | None = None,
+                  keep: tuple[str, ...] = ()) -> list[StreamingQuery]:
     """Decode envelopes, add date parts in ``tz``, append to the lake.
 
     Unusable messages go to ``quarantine`` (default ``<lake>_quarantine``)
-    rather than to an all-null row in a default date partition.
+    rather than to an all-null row in a default date partition.  One query
+    writes both, so they start at the same offsets and no message is in
+    neither.  ``keep`` names columns of ``records`` to carry along.
     """
-    good, bad = split_bad(records, row_schema, aliases=aliases)
-    q_lake = write_lake_stream(add_date_parts(good, "ts_ms", tz), lake, f"{checkpoint}/lake", trigger=trigger,
-                               day_spread=day_spread)
-    q_bad = (
-        bad.writeStream.format("parquet")
-        .option("path", quarantine or f"{lake.rstrip('/')}_quarantine")
-        .option("checkpointLocation", f"{checkpoint}/quarantine")
-        .trigger(**(trigger or DEFAULT_TRIGGER))
-        .start()
-    )
-    return [q_lake, q_bad]
+    flagged = flag_bad(records, row_schema, keep=keep, aliases=aliases)
+    return [split_lake_stream(flagged, lambda rows: add_date_parts(good_rows(rows, keep), "ts_ms", tz),
+                              lambda rows: bad_rows(rows, keep), lake, quarantine or f"{lake.rstrip('/')}_quarantine",
+                              checkpoint, trigger=trigger, day_spread=day_spread)]
 
 
 def kafka_lake_consumer(spark: SparkSession, servers: str, topic: str, lake: str, checkpoint: str,

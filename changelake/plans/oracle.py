@@ -166,8 +166,7 @@ def oracle_sql() -> dict[str, str]:
     sql["publish_keys"] = f"""
       WITH {_PUBLISH_FROM_INSERTS}
       SELECT record_id, operation, hash_id, hash_pk, hash_record, timestamp_epoch, data FROM pub"""
-    sql["publish_envelope"] = f"""
-      WITH {_audit(_ALL)}
+    published = """
       SELECT record_id AS key,
              json_object('db_type', 'POSTGRESQL', 'db_name', db_name, 'table_name', table_name,
                          'record_id', record_id, 'new_data', new_data,
@@ -175,8 +174,8 @@ def oracle_sql() -> dict[str, str]:
                          'hash_pk', sha256('POSTGRESQL' || db_name || table_name || record_id || '1717243200'),
                          'hash_record', sha256(new_data), 'operation', operation,
                          'timestamp_epoch', 1717243200, 'data', '2024-06-01')::VARCHAR AS value,
-             'kfk_stream_' || table_name AS topic
-      FROM audit"""
+             'kfk_stream_' || table_name AS topic"""
+    sql["publish_envelope"] = f"WITH {_audit(_ALL)} {published} FROM audit"
     sql["pending_filter"] = """
       SELECT event_id, event_type FROM (
         SELECT event_id, event_type,
@@ -272,6 +271,50 @@ def oracle_sql() -> dict[str, str]:
                || to_json([CAST(event_id AS VARCHAR)]) || '}' AS value,
              'mysql.binlog.events' AS topic
       FROM j"""
+    sql["lake_and_quarantine"] = f"""
+      WITH m AS (
+        SELECT *, CASE WHEN o_orderstatus = 'P' THEN
+                    CASE o_orderpriority WHEN '1-URGENT' THEN 'tombstone' WHEN '2-HIGH' THEN 'corrupt'
+                      WHEN '3-MEDIUM' THEN 'no_payload' WHEN '4-NOT SPECIFIED' THEN 'no_ts_ms'
+                      ELSE 'ts_ms_out_of_range' END END AS reason
+        FROM ({env_rows}))
+      SELECT CAST(o_orderkey AS VARCHAR) AS key, reason,
+             CASE WHEN reason IS NULL THEN op END AS op,
+             CASE WHEN reason IS NULL THEN ts_ms END AS ts_ms,
+             CASE WHEN reason IS NULL AND o_orderstatus IN ('O', 'F')
+               THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS after_totalprice,
+             CASE WHEN reason IS NULL THEN CAST(year(o_orderdate) AS INTEGER) END AS year,
+             CASE WHEN reason IS NULL THEN CAST(month(o_orderdate) AS INTEGER) END AS month,
+             CASE WHEN reason IS NULL THEN CAST(day(o_orderdate) AS INTEGER) END AS day
+      FROM m"""
+    sql["lake_sql_table"] = """
+      WITH e AS (
+        SELECT event_type, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
+               CAST(day(ts) AS INTEGER) AS day
+        FROM events WHERE ts IS NOT NULL)
+      SELECT event_type, year, month, day, count(*) AS n,
+             CAST(sum(count(*)) OVER (PARTITION BY year, month, day) AS BIGINT) AS day_n
+      FROM e GROUP BY event_type, year, month, day"""
+    sql["audit_publish_many"] = f"""
+      WITH {_audit(_ALL)},
+      cust AS (
+        SELECT *, CASE c_nationkey WHEN 1 THEN 'I' WHEN 2 THEN 'D' END AS operation FROM customer),
+      changes AS (
+        SELECT db_name, table_name, record_id, operation, new_data FROM audit
+        UNION ALL
+        SELECT 'tpch', 'customer', CAST(c_custkey AS VARCHAR), operation,
+               CASE WHEN operation = 'I' THEN json_object('c_custkey', c_custkey, 'c_name', c_name)::VARCHAR END
+        FROM cust WHERE operation IS NOT NULL)
+      {published} FROM changes"""
+    sql["audit_versions"] = f"""
+      WITH {_audit(_ALL)},
+      third AS (SELECT * REPLACE (CAST(o_totalprice + 2 AS DECIMAL(18,2)) AS o_totalprice)
+                FROM new_v WHERE o_orderpriority = '2-HIGH')
+      SELECT audit_log_id, record_id, operation, new_data, 0 AS poll FROM audit
+      UNION ALL
+      SELECT sha256('tpch|orders|' || CAST(o_orderkey AS VARCHAR) || '|U|v3'), CAST(o_orderkey AS VARCHAR), 'U',
+             {_json_image('third', _ALL)}, 1
+      FROM third"""
     sql["synth_transactions"] = f"""
       SELECT {_uuid('txn')} AS transaction_id,
              'user_' || CAST({_H.format(salt='user')} % 100000 AS VARCHAR) AS user_id,

@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from changelake.functions.jsoncols import json_field
@@ -26,10 +27,10 @@ from changelake.operators.rowevents import (
     row_event_json,
 )
 from changelake.plans import fixtures as fx
-from changelake.plans.jobs import audit_publisher, capture_job, lake_consumer, row_log_publisher
+from changelake.plans.jobs import audit_publisher, capture_job, lake_consumer, poll_audit_once, row_log_publisher
 from changelake.schemas import PUBLISH, ROW_EVENT_MESSAGE
 from changelake.session import scratch_path
-from changelake.sinks.lake import append_audit, write_lake
+from changelake.sinks.lake import append_audit, ensure_table, register_lake, write_lake
 from changelake.sinks.ledger import publish_and_ack, read_ledger
 from changelake.sources.files import read_lake, read_row_events
 from changelake.sources.synth import synth_transactions
@@ -342,6 +343,79 @@ def row_log_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/topic")
 
 
+def lake_and_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lake job on order messages of which some are unusable in every known
+    way, landed in two lots with a restart between; lake and quarantine read back together."""
+    msgs = fx.order_messages(fx.table(spark, sf_dir, "orders"))
+    root = scratch_path(spark, "lake-quarantine")
+    msgs.withColumn("_lot", F.pmod(F.xxhash64("key"), F.lit(2))).write.partitionBy("_lot").parquet(f"{root}/sent")
+    for lot in (0, 1):
+        spark.read.parquet(f"{root}/sent").where(F.col("_lot") == lot).drop("_lot").write.mode("append").parquet(f"{root}/in")
+        src = spark.readStream.schema(msgs.schema).parquet(f"{root}/in")
+        run_to_end(*lake_consumer(src, f"{root}/lake", f"{root}/checkpoint", row_schema=fx.ORDER_ENVELOPE_ROW, aliases=None,
+                                  trigger={"availableNow": True}, keep=("key",), day_spread=1))
+    lake = spark.read.parquet(f"{root}/lake").select(
+        "key", F.lit(None).cast("string").alias("reason"), "op", "ts_ms", F.col("after.o_totalprice").alias("after_totalprice"),
+        "year", "month", "day")
+    bad = spark.read.parquet(f"{root}/lake_quarantine").select("key", F.col("bad_reason").alias("reason"))
+    return lake.unionByName(bad, allowMissingColumns=True)
+
+
+def lake_sql_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lake registered as a table of the session's catalog, and a table
+    created from a schema (twice: the second time it is there) and filled
+    from it with SQL; both joined per day."""
+    root = scratch_path(spark, "lake-table")
+    name = "t_" + root.rsplit("-", 1)[1]
+    write_lake(_events_with_dates(spark, sf_dir), f"{root}/lake")
+    register_lake(spark, f"lake_{name}", f"{root}/lake")
+    days = T.StructType().add("year", "integer").add("month", "integer").add("day", "integer").add("n", "long")
+    for _ in range(2):
+        ensure_table(spark, f"days_{name}", days, path=f"{root}/days")
+    spark.sql(f"INSERT INTO days_{name} SELECT year, month, day, count(*) FROM lake_{name} GROUP BY year, month, day")
+    return spark.sql(f"""
+      SELECT l.event_type, d.year, d.month, d.day, count(*) AS n, max(d.n) AS day_n
+      FROM lake_{name} l JOIN days_{name} d ON l.year = d.year AND l.month = d.month AND l.day = d.day
+      GROUP BY l.event_type, d.year, d.month, d.day""")
+
+
+def audit_publish_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures of two tables in one audit folder -> one publisher -> a topic per table."""
+    root = scratch_path(spark, "audit-many")
+    tables = {fx.ORDERS_TABLE: ("o_orderkey", fx.order_versions), "customer": ("c_custkey", fx.customer_versions)}
+    for name, (key, versions) in tables.items():
+        old, new = versions(fx.table(spark, sf_dir, name))
+        capture_job(old, new, key, f"{root}/audit", db_name=fx.DB_NAME, table_name=name,
+                    captured_at=fx.captured_at(), version=fx.VERSION)
+
+    def send(batch: DataFrame) -> None:
+        batch.select("key", "value", "topic").write.mode("append").parquet(f"{root}/topic")
+
+    run_to_end(audit_publisher(spark, f"{root}/audit", send, f"{root}/ledger", f"{root}/checkpoint",
+                               trigger={"availableNow": True}))
+    return spark.read.parquet(f"{root}/topic")
+
+
+def audit_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three successive versions of the orders captured into one audit table, the
+    second capture run twice, and polls that publish after each run: every
+    change once, with the poll that sent it."""
+    root = scratch_path(spark, "audit-versions")
+    first, second = fx.order_versions(fx.table(spark, sf_dir, "orders"))
+    third = fx.order_third_version(second)
+    for poll, (old, new, version) in enumerate([(first, second, "v2"), (second, third, "v3"), (second, third, "v3")]):
+        capture_job(old, new, "o_orderkey", f"{root}/audit", db_name=fx.DB_NAME, table_name=fx.ORDERS_TABLE,
+                    captured_at=fx.captured_at(), version=version)
+
+        def send(batch: DataFrame, poll: int = poll) -> None:
+            batch.withColumn("poll", F.lit(poll)).write.mode("append").parquet(f"{root}/topic")
+
+        poll_audit_once(spark.read.parquet(f"{root}/audit"), send, f"{root}/ledger")
+    sent = spark.read.parquet(f"{root}/topic").select("audit_log_id", "poll")
+    return spark.read.parquet(f"{root}/audit").join(sent, "audit_log_id", "left").select(
+        "audit_log_id", "record_id", "operation", "new_data", "poll")
+
+
 def synth_transactions_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = fx.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
     return synth_transactions(ids, "id", seed=42)
@@ -373,4 +447,8 @@ QUERIES: dict[str, Query] = {
     "envelope_stream_lake": envelope_stream_lake,
     "audit_publish_stream": audit_publish_stream,
     "row_log_publish": row_log_publish,
+    "lake_and_quarantine": lake_and_quarantine,
+    "lake_sql_table": lake_sql_table,
+    "audit_publish_many": audit_publish_many,
+    "audit_versions": audit_versions,
 }

@@ -6,10 +6,12 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 LAKE_PARTITIONS = ("year", "month", "day")
+BATCH_COLUMN = "batch_id"
 
 
 # Adaptive execution may merge small dates down to this size, so that a write of many small dates keeps its cores busy.
@@ -47,14 +49,51 @@ def write_lake(df: DataFrame, path: str, by: Sequence[str] = LAKE_PARTITIONS,
         w.parquet(path)
 
 
-def append_audit(audit: DataFrame, path: str, by: Sequence[str] = ()) -> None:
-    """Append audit rows (never rewrites earlier ones)."""
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    return bool(at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at))  # noqa: SLF001
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder (nothing happens where there is none)."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)  # noqa: SLF001
+
+
+def append_audit(audit: DataFrame, path: str, by: Sequence[str] = (), id_col: str = "audit_log_id") -> None:
+    """Append audit rows (never rewrites earlier ones).
+
+    Rows whose id is in the table already are left out, so a capture that is
+    run again, whole or after a failure, adds nothing twice.  This reads one
+    column of the table.
+    """
+    spark = audit.sparkSession
+    if path_exists(spark, path):
+        known = spark.read.schema(audit.select(id_col).schema).parquet(path)
+        audit = audit.join(known, id_col, "left_anti").select(audit.columns)
     w = audit.write.mode("append")
     if by:
         w = w.partitionBy(*by)
     w.parquet(path)
 
 
+def write_batch(good: DataFrame, bad: DataFrame, batch_id: int, lake: str, quarantine: str,
+                by: Sequence[str] = LAKE_PARTITIONS, max_records_per_file: int | None = None) -> None:
+    """Write one micro-batch: ``good`` below its dates, ``bad`` to the quarantine.
+
+    The innermost folder is the batch's own (``batch_id=N``), and only
+    folders that the batch writes are replaced, so a replay overwrites what
+    it wrote before and nothing else.
+    """
+    for df, path, parts in ((good, lake, [*by, BATCH_COLUMN]), (bad, quarantine, [BATCH_COLUMN])):
+        w = (df.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("long")).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy(*parts))
+        if max_records_per_file:
+            w = w.option("maxRecordsPerFile", str(max_records_per_file))
+        w.parquet(path)
+
+
 def write_console(sdf: DataFrame, truncate: bool = False, trigger: dict | None = None) -> StreamingQuery:
     """Print a stream in append mode (debugging)."""
     w = sdf.writeStream.format("console").outputMode("append").option("truncate", str(truncate).lower())
@@ -77,8 +116,7 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType, path: str
 
 def is_streamed(spark: SparkSession, path: str) -> bool:
     """Whether a stream wrote the folder (it then holds its own file log)."""
-    log = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_spark_metadata")  # noqa: SLF001
-    return bool(log.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(log))  # noqa: SLF001
+    return path_exists(spark, f"{path.rstrip('/')}/_spark_metadata")
 
 
 def register_lake(spark: SparkSession, name: str, path: str, streamed: bool | None = None,
@@ -95,6 +133,8 @@ def register_lake(spark: SparkSession, name: str, path: str, streamed: bool | No
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}'")
         return
     schema = spark.read.parquet(path).schema
+    if BATCH_COLUMN in schema.names:
+        by = (*by, BATCH_COLUMN)
     data_cols = [f for f in schema.fields if f.name not in by]
     part_cols = [f for f in schema.fields if f.name in by]
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in data_cols + part_cols)

@@ -7,15 +7,13 @@ repeat files.  Without a checkpoint a topic source starts at ``latest``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from changelake.operators.envelope import add_date_parts, split_bad
-from changelake.sinks.lake import LAKE_PARTITIONS
+from changelake.sinks.lake import LAKE_PARTITIONS, write_batch
 
 # Fixed value: default poll period of the publisher.
 DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
@@ -59,26 +57,28 @@ def write_lake_stream(sdf: DataFrame, path: str, checkpoint: str,
     return w.start()
 
 
-def envelope_streams(records: DataFrame, row_schema: T.StructType, lake: str, quarantine: str,
-                     checkpoint: str, tz: str = "UTC", trigger: dict | None = None,
-                     keep: tuple[str, ...] = ()) -> tuple[StreamingQuery, StreamingQuery]:
-    """Start the decode -> date parts -> lake query and its quarantine twin.
-
-    Good rows go to ``lake`` partitioned by year/month/day; unusable
-    messages (tombstones, broken JSON, no payload, no ts_ms) go to
-    ``quarantine`` with their reason instead of a default partition.
-    """
-    good, bad = split_bad(records, row_schema, keep=keep)
-    q_good = write_lake_stream(add_date_parts(good, "ts_ms", tz), lake, f"{checkpoint}/lake", trigger=trigger)
-    q_bad = (
-        bad.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", f"{checkpoint}/quarantine")
-        .option("path", quarantine)
+def split_lake_stream(flagged: DataFrame, good: Callable[[DataFrame], DataFrame], bad: Callable[[DataFrame], DataFrame],
+                      lake: str, quarantine: str, checkpoint: str, trigger: dict | None = None,
+                      by: Sequence[str] = LAKE_PARTITIONS, day_spread: int | None = None,
+                      max_records_per_file: int | None = None) -> StreamingQuery:
+    """One query for both outputs: each micro-batch of ``flagged`` rows is read and
+    parsed once, then ``good(rows)`` goes to the lake and ``bad(rows)`` to the quarantine,
+    both keyed by batch id (:func:`changelake.sinks.lake.write_batch`)."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            rows = good(batch)
+            write_batch(cluster_by_day(rows, by, day_spread) if day_spread else rows, bad(batch), batch_id,
+                        lake, quarantine, by, max_records_per_file)
+        finally:
+            batch.unpersist()
+
+    return (
+        flagged.writeStream.foreachBatch(run)
+        .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or DEFAULT_TRIGGER))
         .start()
     )
-    return q_good, q_bad
 
 
 def run_to_end(*queries: StreamingQuery) -> None:

@@ -7,7 +7,10 @@ written to folders keyed by batch id, so a replayed batch overwrites its
 own output and state instead of adding to them.
 
 Batches must arrive in position order: a map record arriving after the
-events that needed it cannot correct output already written.
+events that needed it cannot correct output already written.  Each part of
+the state therefore keeps the highest event position so far, and a map
+record at or below it stops the stream.  A replay needs the part before its
+own batch only, so older parts are removed.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from changelake.operators.rowevents import MAP_KIND, lookup_table_map, row_events_only
+from changelake.sinks.lake import remove_path
 
 MAP_COLUMNS = ("position", "table_id", "database", "table")
 
@@ -44,6 +48,25 @@ def carry_map(maps: DataFrame) -> DataFrame:
     return latest.select("m.*")
 
 
+def _high_part(state: str, batch_id: int) -> str:
+    return f"{state.rstrip('/')}_high/batch_id={batch_id}"
+
+
+def _check_order(batch: DataFrame, state: str, batch_id: int) -> int | None:
+    """The highest event position up to this batch; raises when a map record comes too late."""
+    is_map = F.col("event_type") == MAP_KIND
+    first_map, high = batch.agg(F.min(F.when(is_map, F.col("position"))),
+                                F.max(F.when(is_map, None).otherwise(F.col("position")))).first()
+    if batch_id == 0:
+        return high
+    before = batch.sparkSession.read.schema("high long").parquet(_high_part(state, batch_id - 1)).first()["high"]
+    if before is None:
+        return high
+    if first_map is not None and first_map <= before:
+        raise ValueError(f"batch {batch_id}: a map record at position {first_map} came after events up to {before}")
+    return before if high is None else max(before, high)
+
+
 Sink = Callable[[DataFrame, int], None]
 
 
@@ -58,6 +81,7 @@ def table_map_batch(batch: DataFrame, batch_id: int, out: str | None, state: str
     batch.persist()
     try:
         carried = _latest_state(spark, state, batch_id)
+        high = _check_order(batch, state, batch_id)
         batch_maps = batch.filter(F.col("event_type") == MAP_KIND).select(*MAP_COLUMNS)
         maps = batch_maps if carried is None else carried.unionByName(batch_maps)
         events = row_events_only(batch).drop("database", "table")
@@ -67,6 +91,10 @@ def table_map_batch(batch: DataFrame, batch_id: int, out: str | None, state: str
         else:
             looked.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
         carry_map(maps).write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}")
+        spark.createDataFrame([(high,)], "high long").coalesce(1).write.mode("overwrite").parquet(_high_part(state, batch_id))
+        if batch_id > 1:
+            remove_path(spark, f"{state}/batch_id={batch_id - 2}")
+            remove_path(spark, _high_part(state, batch_id - 2))
     finally:
         batch.unpersist()
 

@@ -15,6 +15,7 @@ from changelake.operators.audit import (
     publish_records,
     unpublished,
 )
+from changelake.plans import fixtures as fx
 from changelake.session import scratch_path
 from changelake.sinks.ledger import publish_and_ack, read_ledger
 
@@ -213,3 +214,14 @@ def test_publish_detects_ntz_change_time(spark):
     a, b = publish_records(ntz).first(), publish_records(ltz).first()
     assert a.timestamp_epoch == b.timestamp_epoch == 1717200001
     assert a.data == b.data == "2024-06-01"
+
+
+def test_capture_run_again_appends_nothing(spark, sf_dir):
+    from changelake.plans.jobs import capture_job
+
+    root = scratch_path(spark, "t-rerun")
+    old, new = fx.order_versions(fx.table(spark, sf_dir, "orders"))
+    for _ in range(2):
+        capture_job(old, new, "o_orderkey", f"{root}/audit", db_name="tpch", table_name="orders", version="v2")
+    audit = spark.read.parquet(f"{root}/audit")
+    assert audit.count() == audit.select("audit_log_id").distinct().count() > 0

@@ -7,7 +7,8 @@ from changelake.plans import fixtures as fx
 from changelake.session import scratch_path
 from changelake.sources.files import read_row_events
 from changelake.streaming.dedup import drop_redelivered, drop_redelivered_stream
-from changelake.streaming.lake_stream import envelope_streams, run_to_end, write_lake_stream
+from changelake.plans.jobs import lake_consumer
+from changelake.streaming.lake_stream import run_to_end, write_lake_stream
 from changelake.streaming.publish import publish_stream
 from changelake.streaming.table_map import table_map_stream
 from changelake.operators.rowevents import lookup_table_map
@@ -22,31 +23,43 @@ def test_envelope_stream_equals_batch_and_restart_adds_nothing(spark, sf_dir):
     root = scratch_path(spark, "t-env-stream")
     msgs = fx.event_messages(fx.table(spark, sf_dir, "events"), truncate_type="error")
     msgs.write.parquet(f"{root}/in")
-    src = spark.readStream.schema(msgs.schema).parquet(f"{root}/in")
-    qs = envelope_streams(src, fx.EVENT_ENVELOPE_ROW, f"{root}/lake", f"{root}/bad", f"{root}/cp",
-                          trigger={"availableNow": True}, keep=("key",))
-    run_to_end(*qs)
+
+    def run():
+        src = spark.readStream.schema(msgs.schema).parquet(f"{root}/in")
+        run_to_end(*lake_consumer(src, f"{root}/lake", f"{root}/cp", quarantine=f"{root}/bad", row_schema=fx.EVENT_ENVELOPE_ROW,
+                                  aliases=None, trigger={"availableNow": True}, keep=("key",)))
+
+    run()
     good, bad = split_bad(spark.read.parquet(f"{root}/in"), fx.EVENT_ENVELOPE_ROW, keep=("key",))
     cols = ["key", "op", "ts_ms", "year", "month", "day"]
     lake = spark.read.parquet(f"{root}/lake")
     assert rows(lake, cols) == rows(add_date_parts(good), cols)
     assert rows(spark.read.parquet(f"{root}/bad"), ["key", "bad_reason"]) == rows(bad, ["key", "bad_reason"])
     # restart on the same checkpoint with no new input: nothing is repeated
-    qs = envelope_streams(spark.readStream.schema(msgs.schema).parquet(f"{root}/in"), fx.EVENT_ENVELOPE_ROW,
-                          f"{root}/lake", f"{root}/bad", f"{root}/cp", trigger={"availableNow": True},
-                          keep=("key",))
-    run_to_end(*qs)
+    run()
     assert spark.read.parquet(f"{root}/lake").count() == lake.count()
     # new input after restart is appended exactly once
     msgs.limit(5).write.mode("append").parquet(f"{root}/in")
-    qs = envelope_streams(spark.readStream.schema(msgs.schema).parquet(f"{root}/in"), fx.EVENT_ENVELOPE_ROW,
-                          f"{root}/lake", f"{root}/bad", f"{root}/cp", trigger={"availableNow": True},
-                          keep=("key",))
-    run_to_end(*qs)
+    run()
     total = spark.read.parquet(f"{root}/lake").count() + spark.read.parquet(f"{root}/bad").count()
     assert total == msgs.count() + 5
 
 
+def test_lake_batch_replay_overwrites_its_own_folders(spark, sf_dir):
+    from changelake.sinks.lake import register_lake, write_batch
+
+    root = scratch_path(spark, "t-replay")
+    good, bad = split_bad(fx.event_messages(fx.table(spark, sf_dir, "events"), truncate_type="error"),
+                          fx.EVENT_ENVELOPE_ROW, keep=("key",))
+    dated = add_date_parts(good)
+    for batch_id in (0, 1, 1, 0):
+        write_batch(dated, bad, batch_id, f"{root}/lake", f"{root}/bad")
+    assert spark.read.parquet(f"{root}/lake").count() == 2 * dated.count()
+    assert spark.read.parquet(f"{root}/bad").count() == 2 * bad.count()
+    register_lake(spark, "t_replayed_lake", f"{root}/lake")
+    assert spark.table("t_replayed_lake").where("batch_id = 1").count() == dated.count()
+
+
 def test_stream_lake_prunes_partitions(spark, sf_dir):
     root = scratch_path(spark, "t-prune")
     ev = fx.table(spark, sf_dir, "events").withColumns(
@@ -191,3 +204,25 @@ def test_one_publisher_serves_many_tables(spark, sf_dir):
     audit = spark.read.parquet(f"{root}/audit")
     expect = {f"kfk_stream_{r.table_name}": r["count"] for r in audit.groupBy("table_name").count().collect()}
     assert per_topic == expect and len(expect) == 2
+
+
+def test_table_map_state_is_pruned_and_late_maps_stop_the_stream(spark):
+    import pytest
+
+    from changelake.sinks.lake import path_exists
+    from changelake.streaming.table_map import table_map_batch
+
+    root = scratch_path(spark, "t-tmap-late")
+    schema = "position long, event_type string, table_id long, database string, table string"
+
+    def batch(*records):
+        return spark.createDataFrame([(p, k, 1, d, d) for p, k, d in records], schema)
+
+    parts = [batch((1, "TABLE_MAP", "a"), (2, "INSERT", None)), batch((3, "INSERT", None)), batch((5, "TABLE_MAP", "b"), (6, "INSERT", None))]
+    for i, part in enumerate(parts):
+        table_map_batch(part, i, f"{root}/out", f"{root}/state")
+    out = spark.read.parquet(f"{root}/out")
+    assert rows(out, ["position", "database"]) == [(2, "a"), (3, "a"), (6, "b")]
+    assert [path_exists(spark, f"{root}/state/batch_id={i}") for i in range(3)] == [False, True, True]
+    with pytest.raises(ValueError, match="position 4"):
+        table_map_batch(batch((4, "TABLE_MAP", "c"), (7, "INSERT", None)), 3, f"{root}/out", f"{root}/state")
