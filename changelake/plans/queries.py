@@ -305,7 +305,7 @@ def envelope_stream_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     msgs.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "value").write.parquet(f"{root}/in")
     src = spark.readStream.schema(msgs.schema).parquet(f"{root}/in")
     run_to_end(*lake_consumer(src, f"{root}/lake", f"{root}/checkpoint", row_schema=fx.ORDER_ENVELOPE_ROW,
-                              aliases=None, trigger={"availableNow": True}))
+                              aliases=None, trigger={"availableNow": True}, day_spread=2))
     names = fx.ORDER_ENVELOPE_ROW.fieldNames()
     return spark.read.parquet(f"{root}/lake").select(
         *_flat("before", "before", names), *_flat("after", "after", names), "op", "ts_ms", "year", "month", "day"
@@ -353,7 +353,7 @@ def lake_and_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.read.parquet(f"{root}/sent").where(F.col("_lot") == lot).drop("_lot").write.mode("append").parquet(f"{root}/in")
         src = spark.readStream.schema(msgs.schema).parquet(f"{root}/in")
         run_to_end(*lake_consumer(src, f"{root}/lake", f"{root}/checkpoint", row_schema=fx.ORDER_ENVELOPE_ROW, aliases=None,
-                                  trigger={"availableNow": True}, keep=("key",), day_spread=1))
+                                  trigger={"availableNow": True}, keep=("key",), day_spread=2))
     lake = spark.read.parquet(f"{root}/lake").select(
         "key", F.lit(None).cast("string").alias("reason"), "op", "ts_ms", F.col("after.o_totalprice").alias("after_totalprice"),
         "year", "month", "day")
