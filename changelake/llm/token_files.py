@@ -46,7 +46,7 @@ SHARD_IDS = 1 << 22
 END_ID = 0
 # A blank and a word; the pieces of this form are encoded together.
 WORD = re.compile(r" \S+")
-WORDS_AT_ONCE = 256
+WORDS_AT_ONCE = 2048
 BLANK = "\u0120"  # the character that stands for a blank in a byte-level vocabulary
 
 
