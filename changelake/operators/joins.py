@@ -79,7 +79,7 @@ def member_join(left: DataFrame, right: DataFrame, on: Sequence[str] | str,
 
 
 def asof_lookup(events: DataFrame, maps: DataFrame, key: str, pos: str,
-                values: Sequence[str], bucket_width: int = 1 << 20) -> DataFrame:
+                values: Sequence[str], bucket_width: int = 1 << 20, levels: int = 1) -> DataFrame:
     """For each event row, the ``values`` of the latest map row with the same
     ``key`` and ``map.pos <= event.pos`` (NULLs when none).
 
@@ -88,51 +88,46 @@ def asof_lookup(events: DataFrame, maps: DataFrame, key: str, pos: str,
     1. Events and map rows are shuffled once, by ``(key, pos div
        bucket_width)``; within each bucket a running ``last(ignorenulls)``
        finds the latest map row at or before every event.
-    2. From the same partitioning (the rows are shuffled once more for the lookup) one summary
-       row per bucket holds its latest map row and whether it has events.
-       The summaries are carried forward across buckets of a key; this
-       window sees one row per bucket, not per event.
+    2. The latest map row of every bucket, from the map rows alone, is carried
+       forward to the later buckets of its key that hold events.  This needs
+       the distinct buckets of the events, a scan of key and position with
+       map-side aggregation; its window sees one row per bucket, not per event.
     3. The carried value is equi-joined back on ``(key, bucket)``, reusing
-       the big side's partitioning.
+       the partitioning of step 1.
+
+    With ``levels`` above 1 the carrying of step 2 is itself such a scan, over
+    buckets of buckets, so a key with very many buckets is spread as well.
 
     Map rows sort before event rows at the same position.  A NULL key or
     position never matches.
     """
-    value_struct = F.struct(*[F.col(v) for v in values])
-    # exact integer division (monotonic in pos, which is all bucketing needs)
-    bucket = F.expr(f"CAST(`{pos}` AS BIGINT) div {int(bucket_width)}")
-
-    ev = events.withColumn("_bucket", bucket)
     # dropping map rows with a NULL key or position keeps the window from
     # pairing NULL keys with each other
-    mp = (
-        maps.filter(F.col(key).isNotNull() & F.col(pos).isNotNull())
-        .select(key, pos, value_struct.alias("_val"))
-        .withColumn("_bucket", bucket)
-    )
-    val_type = mp.schema["_val"].dataType
-
-    tagged = ev.withColumn("_kind", F.lit(1)).withColumn("_val", F.lit(None).cast(val_type))
-    tagged = tagged.unionByName(mp.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
-    w_in = (
-        Window.partitionBy(key, "_bucket")
-        .orderBy(F.col(pos), F.col("_kind"))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    scanned_all = tagged.withColumn("_in_bucket", F.last("_val", ignorenulls=True).over(w_in))
-    scanned = scanned_all.filter(F.col("_kind") == 1)
-
-    # One row per (key, bucket), aggregated where the rows already are.
-    summary = scanned_all.groupBy(key, "_bucket").agg(
-        F.max_by("_val", F.when(F.col("_kind") == 0, F.col(pos))).alias("_last"),
-        F.max("_kind").alias("_has_events"),
-    )
-    w_carry = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        summary.withColumn("_carried", F.last("_last", ignorenulls=True).over(w_carry))
-        .filter(F.col("_has_events") == 1)
-        .select(key, "_bucket", "_carried")
-    )
-    joined = scanned.join(carried, [key, "_bucket"], "left")
-    found = F.coalesce(F.col("_in_bucket"), F.col("_carried"))
-    return joined.select(*events.columns, *[found[v].alias(v) for v in values])
+    known = maps.filter(F.col(key).isNotNull() & F.col(pos).isNotNull()).select(
+        key, pos, F.struct(*[F.col(v) for v in values]).alias("_val"))
+    found = _latest(events, known, key, pos, int(bucket_width), levels, before=False)
+    return found.select(*events.columns, *[F.col(f"_val.{v}").alias(v) for v in values])
+
+
+def _latest(events: DataFrame, maps: DataFrame, key: str, pos: str, width: int, levels: int, before: bool) -> DataFrame:
+    """``events`` with ``_val`` of the latest ``maps(key, pos, _val)`` row at or before
+    each (``before``: strictly before), through ``levels`` levels of buckets."""
+    kind = F.col("_kind").desc() if before else F.col("_kind")
+    none = F.lit(None).cast(maps.schema["_val"].dataType)
+    tagged = events.withColumns({"_kind": F.lit(1), "_val": none}).unionByName(
+        maps.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
+    if levels < 1:
+        upto = Window.partitionBy(key).orderBy(F.col(pos), kind).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return tagged.withColumn("_val", F.last("_val", ignorenulls=True).over(upto)).filter("_kind = 1").drop("_kind")
+
+    # exact integer division (monotonic in pos, which is all bucketing needs)
+    slot = f"_bucket{levels}"
+    bucket = F.expr(f"CAST(`{pos}` AS BIGINT) div {width}")
+    inside = Window.partitionBy(key, slot).orderBy(F.col(pos), kind).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    scanned = tagged.withColumn(slot, bucket).withColumn("_val", F.last("_val", ignorenulls=True).over(inside)).filter("_kind = 1")
+
+    wanted = events.filter(F.col(key).isNotNull() & F.col(pos).isNotNull()).select(key, bucket.alias(slot)).distinct()
+    latest = maps.groupBy(key, bucket.alias(slot)).agg(F.max_by("_val", pos).alias("_val"))
+    carried = _latest(wanted, latest, key, slot, width, levels - 1, before=True).withColumnRenamed("_val", "_carried")
+    joined = scanned.join(carried, [key, slot], "left")
+    return joined.withColumn("_val", F.coalesce("_val", "_carried")).drop("_kind", "_carried", slot)

@@ -97,7 +97,8 @@ def row_event_json(df: DataFrame, raw: bool = False) -> Column:
     or ``{event, database, table, before, after}``.
 
     Default is valid JSON (values quoted, nulls kept inside arrays).
-    ``raw=True`` renders the arrays unquoted, as the listener's text does.
+    ``raw=True`` renders the arrays unquoted, as the listener's text does; a
+    NULL database or table shows as ``null`` there.
     """
     if not raw:
         return F.to_json(
@@ -111,8 +112,8 @@ def row_event_json(df: DataFrame, raw: bool = False) -> Column:
             )
         )
     head = F.concat(
-        F.lit('{"event":"'), F.col("event_type"), F.lit('","database":"'), F.col("database"),
-        F.lit('","table":"'), F.col("table"), F.lit('",'),
+        F.lit('{"event":"'), F.col("event_type"), F.lit('","database":"'), with_default("database", "null"),
+        F.lit('","table":"'), with_default("table", "null"), F.lit('",'),
     )
     body = F.when(
         F.col("event_type") == "UPDATE",
@@ -123,13 +124,13 @@ def row_event_json(df: DataFrame, raw: bool = False) -> Column:
 
 
 def lookup_table_map(events: DataFrame, maps: DataFrame, key: str = "table_id",
-                     pos: str = "position", bucket_width: int = 1 << 20) -> DataFrame:
+                     pos: str = "position", bucket_width: int = 1 << 20, levels: int = 1) -> DataFrame:
     """Attach ``database, table`` of the latest table-map record seen at or
     before each event (same table id), else ``unknown_db/unknown_table``.
 
     Skew-safe as-of (see :func:`changelake.operators.joins.asof_lookup`).
     """
-    looked = asof_lookup(events, maps, key, pos, ["database", "table"], bucket_width)
+    looked = asof_lookup(events, maps, key, pos, ["database", "table"], bucket_width, levels)
     return looked.withColumn("database", with_default("database", UNKNOWN_DB)).withColumn(
         "table", with_default("table", UNKNOWN_TABLE)
     )

@@ -278,6 +278,14 @@ def event_messages(events: DataFrame, truncate_type: str | None = None) -> DataF
                                                        text.alias("value"))
 
 
+def simple_messages(events: DataFrame) -> DataFrame:
+    """``key, value`` (bytes) of simple JSON messages: the props of events, cut
+    short for ``error`` events and missing for ``signup`` ones."""
+    et = F.col("event_type")
+    text = F.when(et == "error", F.expr("left(props, length(props) - 1)")).when(et == "signup", F.lit(None)).otherwise(F.col("props"))
+    return events.select(F.col("event_id").cast("string").alias("key"), text.cast("binary").alias("value"))
+
+
 def event_maps_and_rows(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(table-map records, row events) of the events table."""
     is_map = F.col("event_type") == "error"

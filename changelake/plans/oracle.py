@@ -163,6 +163,11 @@ def oracle_sql() -> dict[str, str]:
       FROM events"""
     sql["json_field"] = """
       SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"""
+    sql["json_topic"] = """
+      SELECT CAST(event_id AS VARCHAR) AS key,
+             CASE WHEN event_type NOT IN ('error', 'signup') THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k,
+             CASE event_type WHEN 'error' THEN 'corrupt' WHEN 'signup' THEN 'tombstone' END AS reason
+      FROM events"""
     sql["publish_keys"] = f"""
       WITH {_PUBLISH_FROM_INSERTS}
       SELECT record_id, operation, hash_id, hash_pk, hash_record, timestamp_epoch, data FROM pub"""
@@ -217,6 +222,19 @@ def oracle_sql() -> dict[str, str]:
                     || to_json({_line_values('l_linestatus')}) || '}}'
              END AS message
       FROM j"""
+    sql["row_event_raw"] = f"""
+      WITH j AS (
+        SELECT l.*, CASE o.o_orderstatus WHEN 'O' THEN 'INSERT' WHEN 'F' THEN 'UPDATE' ELSE 'DELETE' END AS event
+        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
+      SELECT event,
+             CASE WHEN event = 'UPDATE'
+               THEN '{{"event":"UPDATE","database":"tpch","table":"lineitem","before":['
+                    || array_to_string({_line_values("'O'")}, ',') || '],"after":['
+                    || array_to_string({_line_values('l_linestatus')}, ',') || ']}}'
+               ELSE '{{"event":"' || event || '","database":"' || CASE event WHEN 'DELETE' THEN 'null' ELSE 'tpch' END
+                    || '","table":"lineitem","values":[' || array_to_string({_line_values('l_linestatus')}, ',') || ']}}'
+             END AS message
+      FROM j"""
     ev_row = ("[CAST(event_id AS VARCHAR), CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR), props]")
     ev_row_after = ("[CAST(event_id AS VARCHAR), CAST(CAST(value + 1 AS DECIMAL(18,2)) AS VARCHAR), props]")
     sql["row_event_filter"] = f"""

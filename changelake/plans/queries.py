@@ -33,6 +33,7 @@ from changelake.session import scratch_path
 from changelake.sinks.lake import append_audit, ensure_table, register_lake, write_lake
 from changelake.sinks.ledger import publish_and_ack, read_ledger
 from changelake.sources.files import read_lake, read_row_events
+from changelake.sources.kafka import read_json_topic
 from changelake.sources.synth import synth_transactions
 from changelake.streaming.dedup import drop_redelivered_stream
 from changelake.streaming.lake_stream import run_to_end, write_lake_stream
@@ -118,6 +119,19 @@ def bad_message_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def json_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Simple JSON messages landed as topic records -> streamed decode; messages
+    without a value or cut short are flagged."""
+    msgs = fx.simple_messages(fx.table(spark, sf_dir, "events"))
+    root = scratch_path(spark, "json-topic")
+    msgs.write.parquet(f"{root}/in")
+    records = spark.readStream.schema(msgs.schema).parquet(f"{root}/in")
+    decoded = read_json_topic(records, T.StructType().add("k", "long"), keep=("key",), flag=True)
+    run_to_end(decoded.writeStream.format("parquet").option("path", f"{root}/out")
+               .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+    return spark.read.parquet(f"{root}/out").select("key", "k", F.col("bad_reason").alias("reason"))
+
+
 def json_field_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = fx.table(spark, sf_dir, "events")
     return ev.select("event_id", json_field("props", "k", "bigint").alias("k"))
@@ -221,6 +235,13 @@ def row_event_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("event_type").alias("event"), row_event_json(rows).alias("message"))
 
 
+def row_event_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unquoted message form; the database of DELETE events is unknown."""
+    events = fx.lineitem_row_events(fx.table(spark, sf_dir, "orders"), fx.table(spark, sf_dir, "lineitem"))
+    rows = explode_rows(events.withColumn("database", F.when(F.col("event_type") != "DELETE", F.col("database"))))
+    return rows.select(F.col("event_type").alias("event"), row_event_json(rows, raw=True).alias("message"))
+
+
 def row_event_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = classify_row_events(drop_no_event(fx.raw_event_feed(fx.table(spark, sf_dir, "events"))))
     return raw_stream_form(feed.filter(F.col("kind") == "row"), with_time=False)
@@ -428,6 +449,7 @@ QUERIES: dict[str, Query] = {
     "stream_append_lake": stream_append_lake,
     "bad_message_split": bad_message_split,
     "json_field": json_field_query,
+    "json_topic": json_topic,
     "publish_keys": publish_keys,
     "publish_envelope": publish_envelope_query,
     "pending_filter": pending_filter,
@@ -439,6 +461,7 @@ QUERIES: dict[str, Query] = {
     "table_map_lookup": table_map_lookup,
     "table_map_static": table_map_static,
     "row_event_explode": row_event_explode,
+    "row_event_raw": row_event_raw,
     "row_event_filter": row_event_filter,
     "changelog_union": changelog_union,
     "dedup_redelivered": dedup_redelivered,

@@ -31,10 +31,24 @@ def read_topic(spark: SparkSession, servers: str, topic: str, starting: str = "l
     return r.load()
 
 
-def read_json_topic(records: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Decode UTF-8 JSON values of topic records with ``schema``."""
-    parsed = records.select(*keep, F.from_json(F.col("value").cast("string"), schema).alias("_m"))
-    return parsed.select(*keep, "_m.*")
+CORRUPT = "_corrupt_record"
+
+
+def read_json_topic(records: DataFrame, schema: T.StructType, keep: tuple[str, ...] = (), flag: bool = False) -> DataFrame:
+    """Decode UTF-8 JSON values of topic records with ``schema``.
+
+    A value that is not such JSON gives NULL fields; with ``flag`` a column
+    ``bad_reason`` tells these rows apart: ``tombstone`` (no value),
+    ``corrupt`` (broken JSON or a field of another type), else NULL.
+    """
+    text = F.col("value").cast("string")
+    if not flag:
+        return records.select(*keep, F.from_json(text, schema).alias("_m")).select(*keep, "_m.*")
+    noted = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = records.select(*keep, "value", F.from_json(text, noted, {"columnNameOfCorruptRecord": CORRUPT}).alias("_m"))
+    reason = F.when(F.col("value").isNull(), "tombstone").when(
+        F.col("_m").isNull() | F.col(f"_m.{CORRUPT}").isNotNull(), "corrupt")
+    return parsed.select(*keep, *[F.col(f"_m.{f}") for f in schema.fieldNames()], reason.alias("bad_reason"))
 
 
 def write_topic(df: DataFrame, servers: str, topic: str | None = None, checkpoint: str | None = None,

@@ -179,11 +179,15 @@ def test_capture_refuses_duplicate_keys(spark):
 
     old = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "id long, v string")
     new = spark.createDataFrame([(1, "a"), (2, "c")], "id long, v string")
-    with pytest.raises(ValueError, match="not a primary key"):
-        capture_changes(old, new, "id", version="v1")
+    with pytest.raises(Exception, match="old: key .* is not a primary key"):
+        capture_changes(old, new, "id", version="v1").collect()
     nulls = spark.createDataFrame([(None, "a")], "id long, v string")
-    with pytest.raises(ValueError, match="null or repeated"):
-        capture_changes(new, nulls, "id", version="v1")
+    with pytest.raises(Exception, match="new: key .*null or repeated"):
+        capture_changes(new, nulls, "id", version="v1").collect()
+    same = capture_changes(new, new, "id", version="v1")
+    plan = same._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2  # the check shares the exchange of the join
+    assert same.collect() == []
 
 
 def test_check_key_aggregates_map_side(spark):

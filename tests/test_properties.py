@@ -17,15 +17,15 @@ records = st.lists(
 
 
 @SETTINGS
-@given(recs=records, width=st.sampled_from([1, 7, 50, 1 << 20]))
-def test_asof_equals_brute_force(spark, recs, width):
+@given(recs=records, width=st.sampled_from([1, 7, 50, 1 << 20]), levels=st.integers(0, 3))
+def test_asof_equals_brute_force(spark, recs, width, levels):
     maps = [(p, k, f"d{k}", f"t{p}") for p, k, is_map in recs if is_map]
     evs = [(p, k) for p, k, is_map in recs if not is_map]
     if not evs:
         return
     ev_df = spark.createDataFrame(evs, "position long, table_id long")
     mp_df = spark.createDataFrame(maps, "position long, table_id long, database string, table string")
-    got = {r.position: (r.database, r.table) for r in lookup_table_map(ev_df, mp_df, bucket_width=width).collect()}
+    got = {r.position: (r.database, r.table) for r in lookup_table_map(ev_df, mp_df, bucket_width=width, levels=levels).collect()}
     for p, k in evs:
         cands = [m for m in maps if m[1] == k and m[0] <= p]
         best = max(cands, key=lambda m: m[0]) if cands else None
