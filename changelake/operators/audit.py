@@ -19,14 +19,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changelake.functions.hashing import hash_id, hash_pk, hash_record
-from changelake.functions.jsoncols import KEEP_NULLS
+from changelake.functions.jsoncols import row_json
 from changelake.functions.timecols import date_text, epoch_millis, epoch_seconds
 
 # Fixed values of the publish side (defaults of the producer configuration).
 DEFAULT_DB_TYPE = "POSTGRESQL"
 DEFAULT_TOPIC_PREFIX = "kfk_stream_"
 DEFAULT_CONTROL_COLUMN = "is_in_kafka"
-AUDIT_TABLE_PATTERN = "audit_log_{table}_stream"
 
 PUBLISH_FIELDS = (
     "db_type", "db_name", "table_name", "record_id", "new_data", "hash_id",
@@ -52,15 +51,14 @@ def record_id(keys: Sequence[str]) -> Column:
 
 
 def _image_json(side: str, cols: Sequence[str]) -> Column:
-    return F.to_json(F.struct(*[F.col(f"{side}.{c}").alias(c) for c in cols]), KEEP_NULLS)
+    return row_json([F.col(f"{side}.{c}").alias(c) for c in cols])
 
 
 def _unique_row(df: DataFrame, keys: Sequence[str], label: str) -> Column:
     """The row as a struct; evaluating it fails where the key is NULL or was met before."""
     same_key = Window.partitionBy(*keys).orderBy(*keys)
     null_key = reduce(or_, [F.col(k).isNull() for k in keys])
-    shown = F.to_json(F.struct(*[F.col(k) for k in keys]), KEEP_NULLS)
-    broken = F.raise_error(F.concat(F.lit(f"{label}: key {keys} is not a primary key (null or repeated): "), shown))
+    broken = F.raise_error(F.concat(F.lit(f"{label}: key {keys} is not a primary key (null or repeated): "), row_json(keys)))
     return F.when(null_key | (F.row_number().over(same_key) > 1), broken).otherwise(F.struct(*[F.col(c) for c in df.columns]))
 
 
@@ -187,10 +185,6 @@ def topic_name(table: str | Column, prefix: str = DEFAULT_TOPIC_PREFIX) -> Colum
     return F.concat(F.lit(prefix), t)
 
 
-def audit_table_name(table: str) -> str:
-    return AUDIT_TABLE_PATTERN.format(table=table)
-
-
 def with_source(df: DataFrame, db_type: str, db_name: str | None = None,
                 table_name: str | None = None) -> DataFrame:
     """Constant enrichment columns (kept from the data when given as None)."""
@@ -249,6 +243,6 @@ def publish_envelope(audit: DataFrame, db_type: str = DEFAULT_DB_TYPE, tz: str =
     return rec.select(
         "audit_log_id",
         F.col("record_id").alias("key"),
-        F.to_json(F.struct(*[F.col(f) for f in PUBLISH_FIELDS]), KEEP_NULLS).alias("value"),
+        row_json(PUBLISH_FIELDS).alias("value"),
         topic_name(F.col("table_name"), prefix).alias("topic"),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changelake.functions.timecols import date_parts, ntz_from_millis
+from changelake.functions.timecols import date_parts
 from changelake.schemas import CORRUPT_COLUMN, envelope_schema
 
 PAYLOAD_FIELDS = ("before", "after", "op", "ts_ms")
@@ -167,8 +167,3 @@ def bad_rows(flagged: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 def add_date_parts(df: DataFrame, millis: str = "ts_ms", tz: str = "UTC") -> DataFrame:
     """Add ``year``, ``month``, ``day`` (INT) of epoch millis in zone ``tz``."""
     return df.withColumns(date_parts(millis, tz))
-
-
-def millis_to_timestamp(millis: str | Column) -> Column:
-    """Epoch millis -> UTC wall clock (TIMESTAMP_NTZ)."""
-    return ntz_from_millis(millis)

@@ -97,6 +97,7 @@ def row_event_json(df: DataFrame, raw: bool = False) -> Column:
     or ``{event, database, table, before, after}``.
 
     Default is valid JSON (values quoted, nulls kept inside arrays).
+    Field names and order are fixed values, the listener's message format.
     ``raw=True`` renders the arrays unquoted, as the listener's text does; a
     NULL database or table shows as ``null`` there.
     """

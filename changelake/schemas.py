@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Source table `transactions` as a before/after envelope carries it: the
+# Fixed values, the wire format: source table `transactions` as a before/after envelope carries it: the
 # time is epoch-based long and the amount is text.
 TRANSACTION_ROW = T.StructType(
     [
@@ -24,21 +24,6 @@ TRANSACTION_ROW = T.StructType(
 # reads affiliateid; JSON keys are case-sensitive, so both are accepted.
 TRANSACTION_ALIASES = {"affiliateid": ["affiliateId"]}
 
-# Same table as generated/stored (batch side).
-TRANSACTION_TABLE = T.StructType(
-    [
-        T.StructField("transaction_id", T.StringType(), False),
-        T.StructField("user_id", T.StringType()),
-        T.StructField("timestamp", T.TimestampNTZType()),
-        T.StructField("amount", T.DecimalType(18, 2)),
-        T.StructField("city", T.StringType()),
-        T.StructField("country", T.StringType()),
-        T.StructField("merchant_name", T.StringType()),
-        T.StructField("payment_method", T.StringType()),
-        T.StructField("affiliateId", T.StringType()),
-    ]
-)
-
 CORRUPT_COLUMN = "_corrupt_record"
 
 
