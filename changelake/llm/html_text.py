@@ -4,10 +4,11 @@ A page is cut into blocks of text, each with the path of block elements from
 the root to it.  Text length and punctuation are summed per path and divided
 by the path's blocks; both series are smoothed over the blocks in page order,
 fused with the share of text outside links, and paths whose score reaches a
-part of the best path's score are content.  Menus, headers, footers,
-sidebars, notices, adverts, forms and reader comments are named by elements,
-roles and class or id words, and never score.  Headings, lists and quotes
-inside the element that holds the content belong to it.
+part of the heaviest path's score, or the score of a short paragraph, are
+content wherever they stand.  Menus, headers, footers, sidebars, notices,
+adverts, forms and reader comments are named by elements, roles and class or
+id words, and never score.  Headings that open content, and short items and
+paragraphs next to it, belong to it.
 """
 
 from __future__ import annotations
@@ -46,6 +47,8 @@ CLOSES = {  # an opening tag -> open elements that it ends, up to the nearest of
 }
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 INSIDE = HEADINGS | {"li", "blockquote", "pre", "td", "th", "dd", "dt", "figcaption", "p"}
+PARTS = INSIDE | {"ul", "ol", "dl", "table", "thead", "tbody", "tfoot", "tr", "caption", "figure", "hgroup"}
+SECTIONS = {"section", "article", "main", "header"}
 ROOTS = {"html", "body"}
 
 # What is not content: elements, roles, and words of class or id.
@@ -61,6 +64,7 @@ COMMENT_WORDS = {"comment", "comments", "disqus", "replies", "respond"}
 PLAIN_TAGS = {"html", "body", "main", "article"}
 
 CONTENT_PART = 0.25
+PROSE_SCORE = 10.0  # about a paragraph of 90 characters with one mark: no path needs more
 LINK_PART = 0.5
 SMOOTH_RADIUS = 1
 
@@ -179,8 +183,8 @@ def _smooth(values: list[float], radius: int = SMOOTH_RADIUS) -> list[float]:
     return out
 
 
-def path_scores(found: list[Block]) -> dict[tuple, float]:
-    """Fused, smoothed score of each path."""
+def path_scores(found: list[Block]) -> tuple[dict[tuple, float], dict[tuple, float]]:
+    """Fused score of each path, smoothed and from its own blocks alone."""
     length, marks, links, count = defaultdict(int), defaultdict(int), defaultdict(int), defaultdict(int)
     for b in found:
         length[b.path] += len(b.text)
@@ -192,7 +196,8 @@ def path_scores(found: list[Block]) -> dict[tuple, float]:
     fused = defaultdict(float)
     for b, x, y in zip(found, by_length, by_marks):
         fused[b.path] += sqrt(x * y) / count[b.path] * (1 - links[b.path] / length[b.path])
-    return fused
+    own = {p: sqrt(length[p] * (marks[p] + 0.1)) / count[p] * (1 - links[p] / length[p]) for p in length}
+    return fused, own
 
 
 def main_text(page: str | None) -> str:
@@ -207,24 +212,57 @@ def main_text(page: str | None) -> str:
     found = [b for b in found if all(2 * mass[f] > total for f in b.flags)]
     if not found:
         return ""
-    scores = path_scores(found)
+    scores, own = path_scores(found)
     weight = defaultdict(float)
     for b in found:
         weight[b.path] += scores[b.path] * len(b.text)
     main = max(weight, key=lambda p: (weight[p], p))
-    limit = CONTENT_PART * scores[main]
-    chosen = {p for p in weight if scores[p] >= limit}
-    # the element that holds the content: the main path without its own last element
-    holder = main[:-1] if main and main[-1].split(".")[0] in INSIDE else main
-    rooted = not holder or holder[-1].split(".")[0] in ROOTS
-    out = []
-    for b in found:
-        inside = b.path[:len(holder)] == holder
-        if b.links > LINK_PART * len(b.text) and b.path != main:
-            continue
-        if b.path in chosen and (inside or rooted) or inside and (b.tag in HEADINGS or not rooted):
-            out.append(b.text)
-    return "\n".join(out)
+    limit = min(CONTENT_PART * scores[main], PROSE_SCORE)
+    # the smoothing alone must not carry a short block, such as a credit line, that stands beside long ones
+    paths = {p for p in weight if scores[p] >= limit and own[p] >= limit} | {main}
+    chosen = [b.path in paths and (b.links <= LINK_PART * len(b.text) or b.path == main) and b.tag not in HEADINGS for b in found]
+    if not any(chosen):
+        chosen = [b.path == main for b in found]
+    return "\n".join(b.text for b, keep in zip(found, _with_near(found, chosen)) if keep)
+
+
+def _container(path: tuple) -> tuple:
+    """The path without the paragraph, list, quote, table or heading that it ends in."""
+    end = len(path)
+    while end and path[end - 1].split(".")[0] in PARTS:
+        end -= 1
+    return path[:end]
+
+
+def _rooted(path: tuple) -> bool:
+    return not path or path[-1].split(".")[0] in ROOTS
+
+
+def _belongs(block: Block, content: Block, beside: bool) -> bool:
+    """Whether a block that does not score on its own goes with the nearest one that is kept."""
+    own, other = _container(block.path), _container(content.path)
+    heading = block.tag in HEADINGS
+    if own == other or own == content.path[:len(own)] and (heading or not _rooted(own)):
+        return True
+    shared = next((i for i, (x, y) in enumerate(zip(own, other)) if x != y), min(len(own), len(other)))
+    if shared < len(other) and _rooted(own[:shared]):
+        return False
+    return heading and beside or all(label.split(".")[0] in SECTIONS for label in own[shared:] + other[shared:])
+
+
+def _with_near(found: list[Block], chosen: list[bool]) -> list[bool]:
+    """``chosen`` with the headings before kept blocks, and the short items and paragraphs next to them."""
+    keep = list(chosen)
+    near = [b.tag in INSIDE and b.links <= LINK_PART * len(b.text) for b in found]
+    forward, back = range(len(found)), range(len(found) - 1, -1, -1)
+    for order, headings in ((forward, False), (back, True), (forward, False)):
+        last = None
+        for i in order:
+            if last is not None and not keep[i] and near[i] and (headings or found[i].tag not in HEADINGS):
+                keep[i] = _belongs(found[i], found[last], abs(i - last) == 1)
+            if keep[i]:
+                last = i
+    return keep
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
