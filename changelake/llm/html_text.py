@@ -5,10 +5,17 @@ the root to it.  Text length and punctuation are summed per path and divided
 by the path's blocks; both series are smoothed over the blocks in page order,
 fused with the share of text outside links, and paths whose score reaches a
 part of the heaviest path's score, or the score of a short paragraph, are
-content wherever they stand.  Menus, headers, footers, sidebars, notices,
-adverts, forms and reader comments are named by elements, roles and class or
-id words, and never score.  Headings that open content, and short items and
-paragraphs next to it, belong to it.
+content wherever they stand.  Headings that open content, and short items
+and paragraphs next to it, belong to it.
+
+Before the scores, menus, headers, footers, sidebars, notices, adverts, forms
+and reader comments are left out by element, role and class or id words.  A
+form or a word rules nothing out where the element holds more than half of
+the page's text (comments excepted).  Inside the content, which is an article
+or main element or the innermost element with more than half of the text,
+words rule out no heading, paragraph, section, quote or table (a section of
+comments excepted), and other elements only where a whole class or id is made
+of such words ("share", "related-posts", not "social-structure").
 """
 
 from __future__ import annotations
@@ -52,8 +59,9 @@ SECTIONS = {"section", "article", "main", "header"}
 ROOTS = {"html", "body"}
 
 # What is not content: elements, roles, and words of class or id.
-BOILER_TAGS = {"nav", "footer", "aside", "form", "button", "select", "fieldset", "menu", "dialog", "input", "option"}
-BOILER_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "form", "menu", "menubar"}
+BOILER_TAGS = {"nav", "footer", "aside", "button", "select", "menu", "dialog", "input", "option"}
+BOILER_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar"}
+FORMS = {"form", "fieldset"}
 BOILER_WORDS = {
     "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "consent", "cookie",
     "cookies", "footer", "gdpr", "header", "login", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice",
@@ -61,7 +69,12 @@ BOILER_WORDS = {
     "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 }
 COMMENT_WORDS = {"comment", "comments", "disqus", "replies", "respond"}
+NEUTRAL_WORDS = {
+    "area", "bar", "block", "box", "button", "buttons", "container", "content", "form", "group", "icons", "inner", "item", "items", "links",
+    "list", "main", "outer", "panel", "post", "posts", "section", "site", "top", "bottom", "left", "right", "widget", "wrap", "wrapper",
+}
 PLAIN_TAGS = {"html", "body", "main", "article"}
+TEXT_TAGS = HEADINGS | {"p", "section", "blockquote", "pre", "figure", "figcaption", "table", "tbody", "thead", "tr", "td", "th", "dl", "dt", "dd"}
 
 CONTENT_PART = 0.25
 PROSE_SCORE = 10.0  # about a paragraph of 90 characters with one mark: no path needs more
@@ -70,17 +83,23 @@ SMOOTH_RADIUS = 1
 
 
 class Block:
-    __slots__ = ("text", "path", "tag", "links", "boiler", "flags")
+    __slots__ = ("text", "path", "tag", "links", "boiler", "flags", "above")
 
-    def __init__(self, text, path, tag, links, boiler, flags):
-        self.text, self.path, self.tag, self.links, self.boiler, self.flags = text, path, tag, links, boiler, flags
+    def __init__(self, text, path, tag, links, boiler, flags, above):
+        self.text, self.path, self.tag, self.links, self.boiler, self.flags, self.above = text, path, tag, links, boiler, flags, above
 
 
 class Element:
-    __slots__ = ("tag", "label", "boiler", "flag")
+    """An open element; ``boiler`` rules it out, ``flag`` does so under conditions:
+    by its mass (MASS), by mass and place (PLACE), or by place alone (COMMENT)."""
+
+    __slots__ = ("tag", "label", "number", "boiler", "flag")
+
+    def __init__(self, tag, label="", number=0, boiler=False, flag=0):
+        self.tag, self.label, self.number, self.boiler, self.flag = tag, label, number, boiler, flag
 
-    def __init__(self, tag, label="", boiler=False, flag=0):
-        self.tag, self.label, self.boiler, self.flag = tag, label, boiler, flag
+
+MASS, PLACE, COMMENT = 1, 2, 3
 
 
 def _describe(tag: str, attrs: str, stack: list[Element], number: int) -> Element:
@@ -88,17 +107,30 @@ def _describe(tag: str, attrs: str, stack: list[Element], number: int) -> Elemen
     found = {m[1].lower(): (m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attrs)} if attrs.strip(" /") else {}
     names = html.unescape(f"{found.get('class', '')} {found.get('id', '')}")
     words = {w.lower() for w in WORD.findall(names)}
-    in_article = any(e.tag == "article" for e in stack)
-    boiler = (tag in BOILER_TAGS or found.get("role", "").lower() in BOILER_ROLES or "hidden" in found
+    role = found.get("role", "").lower()
+    in_content = any(e.tag in ("article", "main") for e in stack)
+    boiler = (tag in BOILER_TAGS or role in BOILER_ROLES or "hidden" in found
               or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
-              or (tag == "header" and not in_article))
+              or (tag == "header" and not in_content))
     flag = 0
-    if tag not in PLAIN_TAGS:
-        boiler = boiler or bool(words & COMMENT_WORDS)
-        named = words & BOILER_WORDS
-        if named and not (in_article and named == {"header"}):
-            flag = number
-    return Element(tag, ".".join([tag, *sorted(names.split())]), boiler, flag)
+    if tag in FORMS or role == "form":
+        flag = MASS
+    if tag not in PLAIN_TAGS and words & (BOILER_WORDS | COMMENT_WORDS):
+        free = _is_free(tag, names)
+        if words & COMMENT_WORDS and not (free and in_content):
+            flag, boiler = COMMENT, boiler or not free
+        elif words & BOILER_WORDS and not (in_content and (free or words & BOILER_WORDS == {"header"})):
+            flag = PLACE if free and not flag else MASS
+    return Element(tag, ".".join([tag, *sorted(names.split())]), number, boiler, flag)
+
+
+def _is_free(tag: str, names: str) -> bool:
+    """Whether words of its class and id say nothing about an element inside the content."""
+    tokens = [{w.lower() for w in WORD.findall(t)} for t in names.split()]
+    if tag in TEXT_TAGS:
+        return tag != "section" or not any(t & COMMENT_WORDS and t <= COMMENT_WORDS | NEUTRAL_WORDS for t in tokens)
+    named = BOILER_WORDS | COMMENT_WORDS
+    return not any(t & named and t <= named | NEUTRAL_WORDS for t in tokens)
 
 
 def blocks(page: str) -> list[Block]:
@@ -114,7 +146,8 @@ def blocks(page: str) -> list[Block]:
         if text:
             block = [e for e in stack if e.tag not in INLINE]
             out.append(Block(text, tuple(e.label for e in block), block[-1].tag if block else "", min(linked, len(text)),
-                             any(e.boiler for e in stack), tuple(e.flag for e in stack if e.flag)))
+                             any(e.boiler for e in stack), tuple((e.number, e.flag) for e in stack if e.flag),
+                             tuple(e.number for e in block if e.tag not in ROOTS)))
         pieces.clear()
         linked = 0
 
@@ -200,16 +233,26 @@ def path_scores(found: list[Block]) -> tuple[dict[tuple, float], dict[tuple, flo
     return fused, own
 
 
-def main_text(page: str | None) -> str:
-    """The article of a page: its content blocks, joined by newlines (none: empty)."""
-    found = [b for b in blocks(page or "") if not b.boiler]
+def _outside_boilerplate(found: list[Block]) -> list[Block]:
+    """The blocks that no flagged element rules out."""
+    if not any(b.flags for b in found):
+        return found
     mass = defaultdict(int)
+    total = 0
     for b in found:
-        for flag in b.flags:
-            mass[flag] += len(b.text)
-    total = sum(len(b.text) for b in found)
-    # a word such as "sidebar" on an element that holds most of the page says something else
-    found = [b for b in found if all(2 * mass[f] > total for f in b.flags)]
+        if all(kind != COMMENT for _, kind in b.flags):
+            total += len(b.text)
+            for number in {*b.above, *(n for n, _ in b.flags)}:
+                mass[number] += len(b.text)
+    # the innermost element with more than half of the text: the numbers rise inwards (0: the page itself)
+    core = max((n for b in found for n in b.above if 2 * mass[n] > total), default=0)
+    return [b for b in found if all(
+        kind != COMMENT and 2 * mass[n] > total or kind != MASS and n > core and (not core or core in b.above) for n, kind in b.flags)]
+
+
+def main_text(page: str | None) -> str:
+    """The article of a page: its content blocks, joined by newlines (none: empty)."""
+    found = _outside_boilerplate([b for b in blocks(page or "") if not b.boiler])
     if not found:
         return ""
     scores, own = path_scores(found)

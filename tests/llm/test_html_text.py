@@ -45,3 +45,18 @@ def test_items_after_a_dropped_link_stay_and_what_follows_the_article_does_not()
     page = (f"<p>A tagline</p><div class='text'><h1>Title</h1>{P[0]}{P[1]}<ul><li>short</li><li><a href='x'>a link</a></li><li>item</li></ul>"
             f"<h2>Next</h2>{P[2]}</div><p>Made by X</p>")
     assert texts(page) == ["Title", *TEXTS[:2], "short", "item", "Next", TEXTS[2]]
+
+
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<main>{}</main>", "<div id='page'><div class='text'>{}</div><div>By X</div></div>"])
+def test_words_of_class_and_id_leave_the_content_whole(wrap):
+    page = (f"<h1 class='header'>Title</h1>{P[0]}<h2 id='related-work'>Related work</h2>{P[1]}<section id='social-structure'>{P[2]}</section>"
+            f"<p class='notice-period'>{TEXTS[3]}</p><div class='search-methods'>{P[4]}</div><section id='replies-to-critics'>{P[5]}</section>"
+            f"<div class='related-posts'><p>Another page, about something else, that is good to read.</p></div>{P[6]}"
+            "<section id='comments'><p>A reader says this, at some length, and it is no part of the text.</p></section>")
+    assert texts("<div class='cookie-notice'><p>We use cookies, of course, as all do.</p></div>" + wrap.format(page)) == [
+        "Title", TEXTS[0], "Related work", *TEXTS[1:7]]
+
+
+def test_a_form_around_the_page_is_no_form():
+    page = f"<nav><p>A menu, of a kind, with words.</p></nav><article><h1>Title</h1>{P[0]}{P[1]}</article><form><p>Your name, please.</p></form>"
+    assert texts(f"<form id='aspnet'>{page.replace('form', 'fieldset')}</form>") == texts(page) == ["Title", *TEXTS[:2]]
