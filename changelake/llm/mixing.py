@@ -9,8 +9,11 @@ deadline is met, so after any t slots each component that still has blocks
 has run within one block of t*q/Q.
 
 The schedule repeats every Q slots, so it is folded once over one period (a
-table whose size is the parameter Q) and every block's slot follows from its
-number.  A component that has no blocks left leaves its slots empty; reading
+table of Q rows) and every block's slot follows from its number.  Components
+of equal q have equal windows and take turns, so the fold holds one entry for
+each distinct q, of which there are fewer than sqrt(2Q).  With more sources
+than the period has slots the period is doubled until it has two a source.
+A component that has no blocks left leaves its slots empty; reading
 in (slot, offset) order then interleaves the others in their proportions.
 
 DataFrame and SQL functions only.
@@ -25,16 +28,18 @@ from changelake.llm.common import materialize
 
 PERIOD = 1024
 BLOCK_ROWS = 64
-MAX_COMPONENTS = 256
 BUCKET_ROWS = 8192
+FOLD_SLOTS = 512
+BROADCAST_ROWS = 200_000
 
 
-def _targets(counts: DataFrame, weights: dict[str, float] | None, max_components: int) -> DataFrame:
-    """``counts(source, n)`` -> named components ``(source, n, w)``: the largest
-    sources with weight sqrt(n), or the sources that ``weights`` names."""
+def _targets(counts: DataFrame, weights: dict[str, float] | None, max_components: int | None) -> DataFrame:
+    """``counts(source, n)`` -> named components ``(source, n, w)``: all sources (or the largest, where the
+    caller bounds them) with weight sqrt(n), or the sources that ``weights`` names."""
     if weights is None:
-        top = counts.orderBy(F.desc("n"), F.asc_nulls_last("source")).limit(max_components - 1)
-        return top.withColumn("w", _root_weight("n"))
+        if max_components is not None:
+            counts = counts.orderBy(F.desc("n"), F.asc_nulls_last("source")).limit(max_components - 1)
+        return counts.withColumn("w", _root_weight("n"))
     given = F.create_map(*[x for s, w in weights.items() for x in (F.lit(s), F.lit(max(1, round(w * 1_000_000))).cast("long"))])
     return (counts.where(F.col("source").isin(list(weights)))
             .withColumn("w", F.element_at(given, F.col("source"))))
@@ -45,7 +50,7 @@ def _root_weight(n: str) -> Column:
 
 
 def quotas(counts: DataFrame, weights: dict[str, float] | None = None, other_weight: float | None = None,
-           period: int = PERIOD, max_components: int = MAX_COMPONENTS) -> DataFrame:
+           period: int = PERIOD, max_components: int | None = None) -> DataFrame:
     """``(component, source, is_other, q)``, q summing to ``period``: one slot each, the rest
     in proportion to the weights by largest remainder (ties: the lower component).
 
@@ -60,7 +65,7 @@ def quotas(counts: DataFrame, weights: dict[str, float] | None = None, other_wei
                     (_root_weight("n") if other_weight is None
                      else F.lit(max(1, round(other_weight * 1_000_000))).cast("long")).alias("w"),
                     F.lit(True).alias("is_other")))
-    # at most max_components rows from here on: one task is right for them
+    # one row a source from here on
     all_of = named.withColumn("is_other", F.lit(False)).unionByName(rest)
     order = Window.orderBy("is_other", F.desc("n"), F.asc_nulls_last("source"))
     whole = Window.partitionBy()
@@ -76,24 +81,31 @@ def quotas(counts: DataFrame, weights: dict[str, float] | None = None, other_wei
 
 def period_schedule(quota: DataFrame, period: int = PERIOD) -> DataFrame:
     """Earliest-deadline-first over one period: ``(component, j, slot_in_period)`` for block j of each period."""
-    one = quota.agg(F.transform(F.array_sort(F.collect_list(F.struct("component", "q"))), lambda x: x["q"]).alias("q")).where(F.size("q") > 0)
+    alike = quota.groupBy("q").agg(F.array_sort(F.collect_list("component")).alias("members"))
+    one = alike.agg(F.array_sort(F.collect_list(F.struct("q", "members"))).alias("k")).where(F.size("k") > 0)
+    # entry i has run done[i] blocks: its members in turn, block done[i] div members of each
+    step = f"""
+        transform(array(array_min(filter(
+              transform(k, (x, i) -> IF((u.done[i] div size(x.members)) * {period} div x.q <= t,
+                  named_struct('deadline', ((u.done[i] div size(x.members) + 1) * {period} + x.q - 1) div x.q,
+                               'component', x.members[cast(u.done[i] % size(x.members) as int)], 'i', i), NULL)),
+              y -> y IS NOT NULL))),
+            pick -> named_struct('done', transform(u.done, (d, i) -> IF(i = pick.i, d + 1, d)),
+                                 'slots', array_append(u.slots, pick.component)))[0]"""
     fold = f"""
-        aggregate(sequence(0L, {period - 1}L),
-          named_struct('done', transform(q, x -> 0L), 'slots', cast(array() as array<int>)),
-          (s, t) -> transform(array(array_min(filter(
-              transform(q, (x, i) -> IF(s.done[i] * {period} div x <= t,
-                  named_struct('deadline', ((s.done[i] + 1) * {period} + x - 1) div x, 'i', i), NULL)),
-              y -> y IS NOT NULL)).i),
-            pick -> named_struct('done', transform(s.done, (d, i) -> IF(i = pick, d + 1, d)),
-                                 'slots', array_append(s.slots, pick)))[0],
-          s -> s.slots)"""
+        aggregate(sequence(0L, {(period - 1) // FOLD_SLOTS}L),
+          named_struct('done', transform(k, x -> 0L), 'parts', cast(array() as array<array<int>>)),
+          (s, c) -> transform(array(aggregate(sequence(c * {FOLD_SLOTS}, least((c + 1) * {FOLD_SLOTS}, {period}L) - 1),
+              named_struct('done', s.done, 'slots', cast(array() as array<int>)), (u, t) -> {step})),
+            r -> named_struct('done', r.done, 'parts', array_append(s.parts, r.slots)))[0],
+          s -> flatten(s.parts))"""
     slots = one.select(F.posexplode(F.expr(fold)).alias("slot_in_period", "component"))
     nth = Window.partitionBy("component").orderBy("slot_in_period")
     return slots.select("component", (F.row_number().over(nth) - 1).cast("long").alias("j"), F.col("slot_in_period").cast("long"))
 
 
 def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, other_weight: float | None = None,
-                period: int = PERIOD, block_rows: int = BLOCK_ROWS, max_components: int = MAX_COMPONENTS,
+                period: int = PERIOD, block_rows: int = BLOCK_ROWS, max_components: int | None = None,
                 bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """``docs(doc_id, source, ...)`` -> ``(doc, component, q, block, release, deadline, slot, offset)``.
 
@@ -103,19 +115,27 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, other_
     * without ``weights`` the target weight of a source is the root of its
       document count; with it, the named sources have the given weights and
       the others share ``other_weight`` (None: the root of their count);
-    * beyond ``max_components - 1`` sources, the smaller ones share one component;
+    * every source is a component of its own, unless the caller gives ``max_components``: then
+      beyond ``max_components - 1`` sources the smaller ones share one;
+    * with more components than ``period`` the period, which q, release, deadline and slot count in,
+      is doubled until it has two slots a component;
     * NULL is a source like any other;
     * within a source the order is md5(doc_id as text), then doc_id (NULL as
       empty text); repeated rows stay, next to each other;
     * an empty table gives an empty result.
     """
-    if len(weights or ()) >= max_components or max_components > period:
+    if max_components is not None and (len(weights or ()) >= max_components or max_components > period):
         raise ValueError("max_components must exceed the number of weights and not exceed the period")
     counts = materialize(docs.groupBy(F.col("source").cast("string").alias("source")).agg(F.count("*").alias("n")), "mixing-counts")
-    total = counts.agg(F.sum("n")).first()[0] or 0
+    total, sources = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    components = min(sources, len(weights) + 1 if weights is not None else max_components or sources)
+    if components > period:
+        while period < 2 * components:
+            period *= 2
+    small = F.broadcast if max(components, period) <= BROADCAST_ROWS else lambda df: df
     buckets = max(1, -(-total // bucket_rows))
     quota = materialize(quotas(counts, weights, other_weight, period, max_components), "mixing-quotas")
-    named = F.broadcast(quota.where("not is_other").select(F.col("source").alias("named"), "component"))
+    named = small(quota.where("not is_other").select(F.col("source").alias("named"), "component"))
     other = F.broadcast(quota.where("is_other").agg(F.max("component").alias("other")))
     digest = F.md5(F.coalesce(F.col("doc.doc_id").cast("string"), F.lit("")).cast("binary"))
     rows = (docs.select(F.struct("*").alias("doc"))
@@ -130,11 +150,11 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, other_
     inside = Window.partitionBy(*place).orderBy("digest", "doc.doc_id")
     numbered = (rows.withColumn("rn", F.row_number().over(inside) - 1).drop("digest")
                 .join(starts, place)
-                .join(F.broadcast(quota.select("component", "q")), "component")
+                .join(small(quota.select("component", "q")), "component")
                 .withColumn("rn", F.col("rn") + F.col("start"))
                 .withColumn("block", F.expr(f"rn div {block_rows}"))
                 .withColumn("j", F.expr("block % q")))
-    plan = F.broadcast(period_schedule(quota, period))
+    plan = small(period_schedule(quota, period))
     return numbered.join(plan, ["component", "j"]).select(
         "doc", "component", "q", "block",
         F.expr(f"block * {period} div q").alias("release"),
