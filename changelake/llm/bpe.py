@@ -119,9 +119,10 @@ def _codec(model: bytes, pattern: str) -> PieceCodec:
     return _codecs[key]
 
 
-def bpe_round_trip(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool = False) -> DataFrame:
+def bpe_round_trip(docs: DataFrame, ranks_path: str, pattern: str, with_ids: bool = False,
+                   keep: tuple[str, ...] = ()) -> DataFrame:
     """``docs(doc_id, text, ...)`` -> ``(doc_id, n_tokens, ids_sha256, decoded_sha256)``,
-    with ``with_ids`` also ``ids array<int>`` and ``decoded binary``.
+    with ``with_ids`` also ``ids array<int>`` and ``decoded binary``; ``keep`` names long columns that are returned too.
 
     NULL counts as an empty text (no ids); one row per input row; other
     columns are ignored; an empty table gives an empty result.  The rank file
@@ -144,9 +145,12 @@ def bpe_round_trip(docs: DataFrame, ranks_path: str, pattern: str, with_ids: boo
             columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(back_sha, pa.string())]
             if with_ids:
                 columns += [pa.array(ids, pa.list_(pa.int32())), pa.array(back, pa.binary())]
-            yield pa.record_batch(columns, schema.names)
+            yield pa.record_batch(columns + [batch.column(2 + i) for i in range(len(keep))], schema.names)
 
     schema = T.StructType().add("doc_id", "long").add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     if with_ids:
         schema = schema.add("ids", T.ArrayType(T.IntegerType())).add("decoded", "binary")
-    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, schema)
+    for name in keep:
+        schema = schema.add(name, "long")
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"),
+                                 *[F.col(c).cast("long") for c in keep]), run, schema)

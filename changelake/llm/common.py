@@ -8,7 +8,8 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from changelake.session import scratch_path
@@ -34,6 +35,30 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``(doc, position)``: each row as a struct and its place from 0 in the table as written, by the
+    files' part numbers and the rows' places in them.  A read back packs files by size, so the order of
+    the rows read says nothing.  What is not a table of files is written first, in the order of its rows.
+    """
+    if not docs._jdf.queryExecution().analyzed().children().isEmpty():  # noqa: SLF001
+        docs = materialize(docs, name)
+    try:
+        meta = docs.metadataColumn("_metadata")
+        docs.select(meta)
+    except AnalysisException:
+        docs = materialize(docs, name)
+        meta = docs.metadataColumn("_metadata")
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("doc"),
+                       meta["file_path"].alias("file"), meta["row_index"].alias("row"))
+    place = [F.regexp_extract("file", r"part-(\d+)[^/]*$", 1).try_cast("long"),
+             F.regexp_extract("file", r"-c(\d+)[^/]*$", 1).try_cast("long"), F.col("file")]
+    # one row per file
+    before = Window.orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("file").agg(F.count("*").alias("n")).select(
+        "file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return rows.join(F.broadcast(starts), "file").select("doc", (F.col("start") + F.col("row")).alias("position"))
+
+
 _shipped: set[str] = set()
 
 

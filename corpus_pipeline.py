@@ -2,7 +2,7 @@
 
 quality classifier -> line dedup -> SimHash near-dedup -> mixing -> BPE.
 The first four return the columns of ``documents``; the last one returns the
-token ids of each document.
+token ids of each document and its position in the mixture.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from changelake.llm import quality_model
 from changelake.llm.bpe import bpe_round_trip
-from changelake.llm.common import materialize, table
+from changelake.llm.common import materialize, numbered, table
 from changelake.llm.line_dedup import line_dedup
 from changelake.llm.mixing import mixed_rows
 from changelake.llm.simhash import simhash_dedup
@@ -53,8 +53,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with digests of ids and of the decoded text."""
-    encoded = bpe_round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, with_ids=True)
+    """Token ids of every document, with digests of ids and of the decoded text, and its ``position``
+    from 0 in the order that the stage before wrote: the order in which training reads the corpus."""
+    placed = numbered(docs, "pipeline-ordered").select("doc.doc_id", "doc.text", "position")
+    encoded = bpe_round_trip(placed, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN,
+                             with_ids=True, keep=("position",))
     return encoded.drop("decoded")
 
 
