@@ -38,12 +38,16 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group: the one with the smallest id (one row of a repeated id).
+    """One document of each SimHash group: the one with the smallest id (of a repeated id, the row written first).
     Rows without an id, which no result can name, all stay."""
-    named = docs.where("doc_id is not null")
-    found = simhash_dedup(named, shingle=3, radius=3)
-    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("first_id")).distinct()
-    kept = named.join(first, named.doc_id == first.first_id, "left_semi").dropDuplicates(["doc_id"])
+    rows = numbered(docs, "pipeline-rows")
+    named = rows.where("doc.doc_id is not null")
+    # a row's position stands for its id, which need not be unique, so a group is never taken for another
+    found = simhash_dedup(named.select(F.col("position").alias("doc_id"), "doc.text"), shingle=3, radius=3)
+    ids = named.select("position", F.col("doc.doc_id").alias("own_id"))
+    first = (found.join(ids, found.doc_id == ids.position).groupBy("component_id")
+             .agg(F.min(F.struct("own_id", "position"))["position"].alias("first")).select("first"))
+    kept = named.join(first, named.position == first["first"], "left_semi").select("doc.*")
     return kept.unionByName(docs.where("doc_id is null"))
 
 

@@ -39,3 +39,11 @@ def test_numbered_follows_the_written_order(spark):
         got = numbered(table, "t-numbered").select("doc.*", "position").orderBy("position").collect()
         assert [r.position for r in got] == list(range(1000)) and sum(a.id > b.id for a, b in zip(got, got[1:])) <= 4
     assert numbered(written.limit(0), "t-numbered").collect() == []
+
+
+def test_near_copies_keeps_a_row_of_each_group_of_a_repeated_id(spark, docs_of, sf_dir):
+    import corpus_pipeline as cp
+    one, two, three = (" ".join(f"{w}{i}" for i in range(200)) for w in ("apple", "stone", "river"))
+    docs = docs_of([(1, one), (1, two), (2, two), (2, three), (3, one), (3, three), (3, three), (None, one), (None, one)], parts=2)
+    out = cp.near_copies(spark, docs, sf_dir).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in out) == sorted([(0, one), (0, one), (1, one), (1, two), (2, three)])
