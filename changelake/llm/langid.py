@@ -27,7 +27,6 @@ WIDTHS = (2, 3, 4)
 FILTERS = 16
 DOCS_PER_LANG = 300
 WINDOWS_PER_DOC = 4
-MAX_LANGS = 200
 EPOCHS = 8
 BATCH = 64
 RATE = 0.01
@@ -133,7 +132,7 @@ def training_sample(docs: DataFrame, docs_per_lang: int, windows_per_doc: int) -
     known = docs.where(learnable() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"),
         F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << 20)).alias("draw"))
-    counts = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS)
+    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
     # twice the wanted number by hash, so that the window below sees few rows of a language
     likely = (known.join(F.broadcast(counts), "lang")
               .where(F.col("draw") * F.col("n") < F.lit((1 << 20) * (2 * docs_per_lang + 50))))
