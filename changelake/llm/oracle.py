@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from changelake.llm.collocations import COVER_PCT, MIN_COUNT, NO_LANG, SCALE, TOP
 from changelake.llm.line_dedup import MIN_CHARS, MIN_DOCS
 from changelake.llm.mixing import BLOCK_ROWS, PERIOD
 from changelake.llm.quality_rules import (
@@ -91,9 +92,31 @@ SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS
 FROM v JOIN least USING (vec_id) LEFT JOIN links USING (vec_id)
 """
 
+PHRASES = rf"""
+WITH p AS (SELECT coalesce(lang, '{NO_LANG}') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+g AS (SELECT lang, n, array_to_string(ws[i : i + n - 1], ' ') AS phrase, ws[i : i + n - 1] AS words
+      FROM (SELECT lang, n, ws, unnest(range(1, len(ws) - n + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS n) WHERE len(ws) >= n)),
+f AS (SELECT lang, n, phrase, any_value(words) AS words, count(*) AS f FROM g GROUP BY lang, n, phrase),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS total FROM f WHERE n = 1 GROUP BY lang),
+cand AS (SELECT lang, n, phrase, words, f AS a FROM f WHERE n > 1 AND f >= {MIN_COUNT}),
+cuts AS (SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, CAST({SCALE}::HUGEINT * a * a // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+         FROM (SELECT *, unnest(range(1, n)) AS k FROM cand) c
+         JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.words[1 : k], ' ')
+         JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.words[k + 1 : c.n], ' ')),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+covers AS (SELECT lang, phrase, max(f) AS longer FROM (
+             SELECT lang, a AS f, unnest([array_to_string(words[1 : 2], ' '), array_to_string(words[2 : 3], ' ')]) AS phrase FROM cand WHERE n = 3) GROUP BY lang, phrase),
+kept AS (SELECT s.* FROM scored s LEFT JOIN covers v ON v.lang = s.lang AND v.phrase = s.phrase WHERE coalesce(100 * longer < {COVER_PCT} * a, true))
+SELECT k.lang, rank, phrase, a, l, r, total AS n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) k JOIN totals t ON t.lang = k.lang
+WHERE rank <= {TOP}
+"""
+
 ORACLES: dict[str, str] = {
     "op2_mix_sources": MIX,
     "op5_quality_rules": RULES,
     "op9_line_dedup": LINES,
     "op10_embedding_dedup": VECTORS,
+    "op12_collocations": PHRASES,
 }

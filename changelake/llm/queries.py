@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changelake.llm import langid, quality_model
+from changelake.llm.ann_search import nearest_neighbours
 from changelake.llm.bpe import bpe_round_trip
+from changelake.llm.collocations import collocations
 from changelake.llm.common import held_out, table
 from changelake.llm.embedding_dedup import embedding_dedup
 from changelake.llm.html_text import extract_text
@@ -18,6 +20,7 @@ from changelake.llm.mixing import mix_sources
 from changelake.llm.oracle import ORACLES
 from changelake.llm.quality_rules import clean_lines
 from changelake.llm.simhash import simhash_dedup
+from changelake.llm.token_align import align_tokenizers
 from changelake.llm.token_files import token_output
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -73,8 +76,23 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup(table(spark, sf_dir, "embeddings"))
 
 
+def op11_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest_neighbours(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                            public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash_dedup, op2_mix_sources, op3_token_files, op4_quality_model, op5_quality_rules,
-        op6_byte_bpe, op7_language_id, op8_html_text, op9_line_dedup, op10_embedding_dedup)
+        op6_byte_bpe, op7_language_id, op8_html_text, op9_line_dedup, op10_embedding_dedup, op11_ann_search,
+        op12_collocations, op13_token_alignment)
 }
