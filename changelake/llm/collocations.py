@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from changelake.llm.common import map_arrow, materialize
+from changelake.llm.common import map_arrow, materialize, slices
 
 MAX_WORDS = 3
 MIN_COUNT = 10
@@ -42,7 +42,9 @@ CHUNK_WORDS = 16
 CHUNKS_AT_ONCE = 1 << 18
 WORDS_AT_ONCE = 1 << 18
 BLOCK_BYTES = 1 << 22
-HASHES_AT_ONCE = 1 << 22
+HASHES_AT_ONCE = 1 << 21
+WINDOW_CHUNKS = 1 << 15
+PHRASES_AT_ONCE = 1 << 18
 MEMORY_WORDS = 1 << 19
 SEGMENT_CHUNKS = 1 << 16
 MIN_SEGMENTS = 64
@@ -121,7 +123,8 @@ def _cut(words: list[bytes], memory: Words, w: int, every: int) -> tuple[list[by
 
 
 def parse(docs: DataFrame, max_words: int = MAX_WORDS, every: int = CHUNK_WORDS) -> DataFrame:
-    """``docs(lang, text)`` -> the dictionary ``(lang, last, chunk, n)``: distinct chunks and how often each occurs."""
+    """``docs(lang, text)`` -> the dictionary ``(lang, last, chunk, n, owned)``: distinct chunks, how often each occurs, and of how many n-grams
+    of each length it holds the first word."""
     w = max_words - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,9 +134,10 @@ def parse(docs: DataFrame, max_words: int = MAX_WORDS, every: int = CHUNK_WORDS)
         def flush() -> Iterator[pa.RecordBatch]:
             for (lang, last), chunks in held.items():
                 if chunks:
-                    n = len(chunks)
+                    n, more = len(chunks), 1 if last else 1 - w
                     yield pa.record_batch([pa.array([lang] * n, pa.string()), pa.array([last] * n), pa.array(list(chunks), pa.binary()),
-                                           pa.array(list(chunks.values()), pa.int64())], ["lang", "last", "chunk", "n"])
+                                           pa.array(list(chunks.values()), pa.int64()), pa.array([c.count(b" ") + more for c in chunks], pa.int64())],
+                                          ["lang", "last", "chunk", "n", "owned"])
             held.clear()
 
         for batch in batches:
@@ -155,7 +159,8 @@ def parse(docs: DataFrame, max_words: int = MAX_WORDS, every: int = CHUNK_WORDS)
         yield from flush()
 
     narrow = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"), F.col("text").cast("string").alias("text"))
-    return map_arrow(narrow, run, "lang string, last boolean, chunk binary, n long").groupBy("lang", "last", "chunk").agg(F.sum("n").alias("n"))
+    cut = map_arrow(narrow, run, "lang string, last boolean, chunk binary, n long, owned long")
+    return cut.groupBy("lang", "last", "chunk").agg(F.sum("n").alias("n"), F.first("owned").alias("owned"))
 
 
 def _blocks_of(texts: pa.Array) -> Iterator[list[bytes]]:
@@ -172,17 +177,16 @@ def _count(block: list[bytes], lang: str, memory: Words, held: dict, w: int, eve
 class Grams:
     """The n-grams of a batch of chunks: ids, first words owned, weights."""
 
-    def __init__(self, batch: pa.RecordBatch, memory: Words, w: int):
-        self.words = b" ".join(batch.column("chunk").to_pylist()).split(b" ")
+    def __init__(self, chunks: pa.Table, memory: Words):
+        texts = chunks["chunk"].to_pylist()
+        self.words = b" ".join(texts).split(b" ")
         self.ids = memory.numbers(self.words)
-        sizes = np.array([c.count(b" ") for c in batch.column("chunk").to_pylist()], np.int64) + 1
-        last = batch.column("last").to_numpy(zero_copy_only=False)
-        self.langs, lang = np.unique(batch.column("lang").to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
-        ends = np.cumsum(sizes)
-        place = np.arange(len(self.ids)) - np.repeat(ends - sizes, sizes)
+        sizes = np.fromiter((c.count(b" ") for c in texts), np.int64, len(texts)) + 1
+        self.langs, lang = np.unique(chunks["lang"].to_numpy().astype(str), return_inverse=True)
+        place = np.arange(len(self.ids)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         self.left = np.repeat(sizes, sizes) - place
-        self.owned = place < np.repeat(np.where(last, sizes, sizes - w), sizes)
-        self.weight = np.repeat(batch.column("n").to_numpy(), sizes)
+        self.owned = place < np.repeat(chunks["owned"].to_numpy(), sizes)
+        self.weight = np.repeat(chunks["n"].to_numpy(), sizes)
         self.lang = np.repeat(lang, sizes)
         seeds = np.array([xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass"), SEED) for x in self.langs], np.uint64)
         self.seed, self.memory = seeds[self.lang], memory
@@ -198,6 +202,29 @@ class Grams:
             yield n, at, h[at]
 
 
+    def distinct(self, places: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of the n-grams at ``places``, the first place of each different one, by its words, and its weight."""
+        key = self.lang[places] << 32 | self.ids[places]
+        for k in range(1, n):
+            key = np.unique(key, return_inverse=True)[1] << 32 | self.ids[places + k]
+        _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+        counts = np.zeros(len(first), np.int64)
+        np.add.at(counts, inverse, self.weight[places])
+        return places[first], counts
+
+
+def _windows(batches: Iterator[pa.RecordBatch], chunks: int) -> Iterator[pa.Table]:
+    """Batches gathered to tables of about ``chunks`` rows."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(map(len, held)) >= chunks:
+            yield pa.Table.from_batches(held)
+            held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _split(h: np.ndarray, n: int, segments: int) -> tuple[np.ndarray, np.ndarray]:
     """A hash's segment and the 32 bits kept in it."""
     h = _mix(h, np.full(len(h), n, np.uint64))
@@ -206,7 +233,7 @@ def _split(h: np.ndarray, n: int, segments: int) -> tuple[np.ndarray, np.ndarray
 
 def _repeats(chunks: DataFrame, max_words: int, min_count: int, segments: int, bits: int) -> DataFrame:
     """``(n, segment, marked)``: bits of the hashes that reach ``min_count``; a segment has ``bits / segments`` of them for each n."""
-    w, own = max_words - 1, bits // segments
+    own = bits // segments
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = Words()
@@ -222,16 +249,15 @@ def _repeats(chunks: DataFrame, max_words: int, min_count: int, segments: int, b
                                     pa.array([low[a:b].tobytes() for a, b in zip(at.tolist(), stops)], pa.binary()),
                                     pa.array([counts[a:b].tobytes() for a, b in zip(at.tolist(), stops)], pa.binary())], ["n", "segment", "low", "counts"])
 
-        for batch in batches:
-            for at in range(0, len(batch), 1 << 14):
-                grams = Grams(batch.slice(at, 1 << 14), memory, w)
-                for n, places, h in grams.hashes(max_words):
-                    segment, low = _split(h, n, segments)
-                    held[n].append(_sums(segment << np.uint64(32) | low, np.minimum(grams.weight[places], min_count), min_count))
-                    if sum(len(k) for k, _ in held[n]) > HASHES_AT_ONCE:
-                        yield flush(n)
-                if len(memory) > MEMORY_WORDS:
-                    memory = Words()
+        for window in _windows(batches, 1):
+            grams = Grams(window, memory)
+            for n, places, h in grams.hashes(max_words):
+                segment, low = _split(h, n, segments)
+                held[n].append(_sums(segment << np.uint64(32) | low, np.minimum(grams.weight[places], min_count), min_count))
+                if sum(len(k) for k, _ in held[n]) > HASHES_AT_ONCE:
+                    yield flush(n)
+            if len(memory) > MEMORY_WORDS:
+                memory = Words()
         for n in held:
             if held[n]:
                 yield flush(n)
@@ -264,7 +290,7 @@ def _sums(keys: np.ndarray, counts: np.ndarray, most: int) -> tuple[np.ndarray,
 
 def frequent_phrases(chunks: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, table_bits: int = TABLE_BITS) -> DataFrame:
     """The dictionary -> ``(lang, n, phrase, f)``: all phrases of 1 to ``max_words`` words found ``min_count`` times, with exact counts."""
-    spark, w = chunks.sparkSession, max_words - 1
+    spark = chunks.sparkSession
     most = min(min_count, 255)
     n_chunks = chunks.count()
     segments = max(MIN_SEGMENTS, 1 << (n_chunks // SEGMENT_CHUNKS).bit_length())
@@ -276,45 +302,57 @@ def frequent_phrases(chunks: DataFrame, max_words: int = MAX_WORDS, min_count: i
         tables[row["n"]][row["segment"]] = np.frombuffer(row["marked"], np.uint8)
     shared = spark.sparkContext.broadcast(tables)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = shared.value
         memory = Words()
-        held: dict[tuple, int] = {}
+        held: dict[tuple[str, int], dict[bytes, int]] = {}
 
-        def flush() -> pa.RecordBatch:
-            rows = [pa.array(col, kind) for col, kind in zip(zip(*held), (pa.string(), pa.int32(), pa.binary()))]
-            out = pa.record_batch([*rows, pa.array(list(held.values()), pa.int64())], ["lang", "n", "phrase", "f"])
+        def flush() -> Iterator[pa.RecordBatch]:
+            for (lang, n), counts in held.items():
+                dealt: dict[int, list[bytes]] = {}
+                for phrase in counts:
+                    dealt.setdefault(xxhash.xxh32_intdigest(phrase) % segments, []).append(phrase)
+                k = len(dealt)
+                yield pa.record_batch([pa.array([lang] * k, pa.string()), pa.array([n] * k, pa.int32()), pa.array(list(dealt), pa.int32()),
+                                       pa.array([b"\n".join(p) for p in dealt.values()], pa.binary()),
+                                       pa.array([np.array([counts[x] for x in p], "<i8").tobytes() for p in dealt.values()], pa.binary())],
+                                      ["lang", "n", "segment", "phrases", "counts"])
             held.clear()
-            return out
 
-        for batch in batches:
-            for at in range(0, len(batch), 1 << 14):
-                grams = Grams(batch.slice(at, 1 << 14), memory, w)
-                rank = grams.lang
-                for n, places, h in grams.hashes(max_words):
-                    # equal n-grams, by their words, get one number in this batch
-                    key = rank[:len(rank) - (n > 1)] << 32 | grams.ids[n - 1:]
-                    segment, low = _split(h, n, segments)
-                    bit = (low * np.uint64(own)) >> np.uint64(32)
-                    hit = tables[n][segment, bit >> np.uint64(3)] >> (np.uint8(7) - (bit & np.uint64(7)).astype(np.uint8)) & 1
-                    places = places[hit.astype(bool)]
-                    distinct, first, inverse = np.unique(key[places], return_index=True, return_inverse=True)
-                    counts = np.zeros(len(distinct), np.int64)
-                    np.add.at(counts, inverse, grams.weight[places])
-                    for i, f in zip(places[first].tolist(), counts.tolist()):
-                        k = (grams.langs[grams.lang[i]], n, b" ".join(grams.words[i:i + n]))
-                        held[k] = held.get(k, 0) + f
-                    if n < max_words:
-                        _, rank = np.unique(key, return_inverse=True)
-                if len(held) > CHUNKS_AT_ONCE:
-                    yield flush()
-                if len(memory) > MEMORY_WORDS:
-                    memory = Words()
-        if held:
-            yield flush()
+        for window in _windows(batches, WINDOW_CHUNKS):
+            grams = Grams(window, memory)
+            words = grams.words
+            for n, places, h in grams.hashes(max_words):
+                segment, low = _split(h, n, segments)
+                bit = (low * np.uint64(own)) >> np.uint64(32)
+                hit = tables[n][segment, bit >> np.uint64(3)] >> (np.uint8(7) - (bit & np.uint64(7)).astype(np.uint8)) & 1
+                places, counts = grams.distinct(places[hit.astype(bool)], n)
+                mine = [held.setdefault((lang, n), {}) for lang in grams.langs.tolist()]
+                for i, lang, f in zip(places.tolist(), grams.lang[places].tolist(), counts.tolist()):
+                    phrase, sums = words[i] if n == 1 else b" ".join(words[i:i + n]), mine[lang]
+                    sums[phrase] = sums.get(phrase, 0) + f
+            if sum(map(len, held.values())) > PHRASES_AT_ONCE:
+                yield from flush()
+            if len(memory) > MEMORY_WORDS:
+                memory = Words()
+        yield from flush()
 
-    return (map_arrow(chunks, run, "lang string, n int, phrase binary, f long").groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f"))
-            .where(F.col("f") >= min_count).withColumn("phrase", F.col("phrase").cast("string")))
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1):
+            row = batch.to_pylist()[0]
+            sums: dict[bytes, int] = {}
+            for phrases, counts in zip(row["phrases"], row["counts"]):
+                for phrase, f in zip(phrases.split(b"\n"), np.frombuffer(counts, "<i8").tolist()):
+                    sums[phrase] = sums.get(phrase, 0) + f
+            kept = [p for p, f in sums.items() if f >= min_count]
+            yield pa.record_batch([pa.array([row["lang"]] * len(kept), pa.string()), pa.array([row["n"]] * len(kept), pa.int32()),
+                                   pa.array(kept, pa.binary()), pa.array([sums[p] for p in kept], pa.int64())], ["lang", "n", "phrase", "f"])
+
+    dealt = map_arrow(chunks, count, "lang string, n int, segment int, phrases binary, counts binary")
+    # as above, a phrase is told once a flush
+    grouped = dealt.groupBy("lang", "n", "segment").agg(F.collect_list(F.struct("phrases", "counts")).alias("rows"))
+    counted = map_arrow(grouped.select("lang", "n", "rows.phrases", "rows.counts"), total, "lang string, n int, phrase binary, f long")
+    return counted.withColumn("phrase", F.col("phrase").cast("string"))
 
 
 def collocations(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT, cover_pct: int = COVER_PCT,
@@ -330,10 +368,8 @@ def collocations(docs: DataFrame, max_words: int = MAX_WORDS, min_count: int = M
     * a NULL language counts as ``und``, a NULL text as empty; repeated rows count as rows; other columns are ignored;
       an empty table gives an empty result.
     """
-    w = max_words - 1
     chunks = materialize(parse(docs, max_words, every), "phrase-chunks")
-    size = F.size(F.split(F.decode("chunk", "UTF-8"), " "))
-    totals = chunks.groupBy("lang").agg(F.sum(F.col("n") * F.when(F.col("last"), size).otherwise(size - w)).cast("long").alias("total"))
+    totals = chunks.groupBy("lang").agg(F.sum(F.col("n") * F.col("owned")).alias("total"))
     counts = materialize(frequent_phrases(chunks, max_words, min_count, table_bits), "phrase-counts")
     found = counts.where("n > 1").withColumn("words", F.split("phrase", " "))
     cuts = found.select("lang", "phrase", F.col("f").alias("a"), F.explode(F.sequence(F.lit(1), F.col("n") - 1)).alias("k"), "n", "words").select(

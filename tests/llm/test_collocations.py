@@ -87,8 +87,8 @@ def test_large_products_are_exact(spark):
     """Counts whose products pass 64 bits."""
     from changelake.llm import collocations as module
     big = 3_000_000_017
-    chunks = spark.createDataFrame([("en", True, bytearray(b"a b"), big), ("en", True, bytearray(b"a"), 5 * big), ("en", True, bytearray(b"b"), 7)],
-                                   "lang string, last boolean, chunk binary, n long")
+    chunks = spark.createDataFrame([("en", True, bytearray(b"a b"), big, 2), ("en", True, bytearray(b"a"), 5 * big, 1), ("en", True, bytearray(b"b"), 7, 1)],
+                                   "lang string, last boolean, chunk binary, n long, owned long")
     found = {(r["n"], r["phrase"]): r["f"] for r in module.frequent_phrases(chunks).collect()}
     assert found == {(1, "a"): 6 * big, (1, "b"): big + 7, (2, "a b"): big}
 
