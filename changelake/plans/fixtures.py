@@ -150,6 +150,22 @@ def order_third_version(new: DataFrame) -> DataFrame:
     return new.withColumn("o_totalprice", dearer.cast("decimal(18,2)"))
 
 
+RARE_WIDTH = 256  # keys of a range in the versions with few changes
+
+
+def order_rare_versions(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(old, new) versions that differ in few ranges of the key: in every 16th range of 256 keys,
+    one key in 50 is new, one has gone and one costs 1 more."""
+    rows = order_rows(orders)
+    key = F.col("o_orderkey")
+    ranged = F.pmod(F.expr(f"o_orderkey div {RARE_WIDTH}"), F.lit(16)) == 3
+    kind = F.pmod(key, F.lit(50))
+    old = rows.filter(~(ranged & (kind == 1)))
+    dearer = F.when(ranged & (kind == 3), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    new = rows.filter(~(ranged & (kind == 2))).withColumn("o_totalprice", dearer.cast("decimal(18,2)"))
+    return old, new
+
+
 def customer_versions(customer: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(old, new) versions of the customers: nation 1 comes in, nation 2 goes."""
     rows = customer.select("c_custkey", "c_name", "c_nationkey")

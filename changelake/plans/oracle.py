@@ -31,10 +31,19 @@ _ALL = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate
 _VALUES = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
-def _audit(cols: list[str]) -> str:
+_RARE_VERSIONS = f"""
+  rows_ AS (SELECT *, (o_orderkey // 256) % 16 = 3 AS ranged, o_orderkey % 50 AS kind FROM ({_ORDER_ROWS})),
+  old_v AS (SELECT * EXCLUDE (ranged, kind) FROM rows_ WHERE NOT (ranged AND kind = 1)),
+  new_v AS (
+    SELECT * EXCLUDE (ranged, kind)
+             REPLACE (CAST(CASE WHEN ranged AND kind = 3 THEN o_totalprice + 1 ELSE o_totalprice END AS DECIMAL(18,2)) AS o_totalprice)
+    FROM rows_ WHERE NOT (ranged AND kind = 2))"""
+
+
+def _audit(cols: list[str], versions: str = _VERSIONS) -> str:
     changed = " OR ".join(f"o.{c} IS DISTINCT FROM n.{c}" for c in _VALUES)
     return f"""
-  {_VERSIONS},
+  {versions},
   joined AS (
     SELECT COALESCE(n.o_orderkey, o.o_orderkey) AS k,
            CASE WHEN o.o_orderkey IS NULL THEN 'I' WHEN n.o_orderkey IS NULL THEN 'D' ELSE 'U' END AS operation,
@@ -188,6 +197,7 @@ def oracle_sql() -> dict[str, str]:
                  AS is_in_kafka
         FROM events) WHERE is_in_kafka = false"""
     sql["audit_capture_full"] = f"WITH {_audit(_ALL)} SELECT * FROM audit"
+    sql["audit_capture_ranges"] = f"WITH {_audit(_ALL, _RARE_VERSIONS)} SELECT * FROM audit"
     sql["audit_capture_subset"] = f"WITH {_audit(['o_orderstatus', 'o_totalprice'])} SELECT * FROM audit"
     sql["unpublished_antijoin"] = f"""
       WITH {_audit(_ALL)}

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from changelake.functions.jsoncols import json_field
 from changelake.operators import changelog as cl
 from changelake.operators.audit import check_key, pending, publish_envelope, publish_records, unpublished
+from changelake.operators.digests import TreeShape, capture_by_ranges, write_digests
 from changelake.operators.envelope import add_date_parts, decode_envelope, flag_bad
 from changelake.operators.joins import member_join
 from changelake.operators.rowevents import (
@@ -175,6 +176,16 @@ def audit_capture_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.order_audit(fx.table(spark, sf_dir, "orders"), cols=cols).select(*_AUDIT_OUT)
 
 
+def audit_capture_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Capture of versions that differ in few key ranges: digest trees find the ranges, the rest is not joined."""
+    root = scratch_path(spark, "range-capture")
+    old, new = fx.order_rare_versions(fx.table(spark, sf_dir, "orders"))
+    shape = TreeShape.of(new, "o_orderkey", width=fx.RARE_WIDTH)
+    write_digests(old, shape, f"{root}/old")
+    return capture_by_ranges(old, new, "o_orderkey", f"{root}/old", f"{root}/new", shape, db_name=fx.DB_NAME,
+                             table_name=fx.ORDERS_TABLE, captured_at=fx.captured_at(), version=fx.VERSION).select(*_AUDIT_OUT)
+
+
 def unpublished_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append the audit rows to the audit table (written once, in the shared
     folder), publish those of fulfilled orders (acknowledged into a ledger),
@@ -455,6 +466,7 @@ QUERIES: dict[str, Query] = {
     "pending_filter": pending_filter,
     "audit_capture_full": audit_capture_full,
     "audit_capture_subset": audit_capture_subset,
+    "audit_capture_ranges": audit_capture_ranges,
     "unpublished_antijoin": unpublished_antijoin,
     "key_violations": key_violations,
     "member_join": member_join_query,
