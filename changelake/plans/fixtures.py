@@ -150,6 +150,7 @@ def order_third_version(new: DataFrame) -> DataFrame:
     return new.withColumn("o_totalprice", dearer.cast("decimal(18,2)"))
 
 
+LAKE_RANGE_MS = (820454400000, 825551999999)  # 1996-01-01 to 1996-02-28, the range read from the lake of snapshots
 RARE_WIDTH = 256  # keys of a range in the versions with few changes
 
 

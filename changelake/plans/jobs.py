@@ -29,12 +29,14 @@ from changelake.operators.envelope import add_date_parts, bad_rows, flag_bad, go
 from changelake.operators.rowevents import explode_rows, raw_stream_form, row_event_json
 from changelake.schemas import AUDIT, TRANSACTION_ALIASES, TRANSACTION_ROW
 from changelake.session import apply_recommended
-from changelake.sinks.lake import append_audit, write_console
+from changelake.sinks.lake import append_audit, write_console, write_quarantine
 from changelake.sinks.ledger import next_batch_id, publish_and_ack, read_ledger
+from changelake.sinks.runs import RunLedger, publish_once
+from changelake.sinks.snapshots import SnapshotLake
 from changelake.sources.files import read_row_events
 from changelake.sources.jdbc import read_audit
 from changelake.sources.kafka import read_topic, write_topic
-from changelake.streaming.lake_stream import split_lake_stream
+from changelake.streaming.lake_stream import DEFAULT_TRIGGER, split_lake_stream
 from changelake.streaming.publish import publish_stream
 from changelake.streaming.table_map import table_map_stream
 
@@ -105,6 +107,35 @@ def poll_audit_once(audit: DataFrame, send: Callable[[DataFrame], None], ledger:
     publish_and_ack(publish_envelope(todo, **kw), tick, send, ledger)
 
 
+def poll_audit_runs(audit: DataFrame, send: Callable[[DataFrame], None], ledger: RunLedger, tick: int | None = None, **kw) -> bool:
+    """One poll as above with a ledger of sorted runs; False if nothing was pending or the tick was acknowledged before."""
+    tick = ledger.next_batch() if tick is None else tick
+    todo = ledger.absent(pending(audit))
+    records = publish_envelope(todo, **kw)
+    return not records.isEmpty() and publish_once(records, tick, send, ledger)
+
+
+def snapshot_lake_consumer(records: DataFrame, lake: SnapshotLake, quarantine: str, checkpoint: str,
+                           row_schema: T.StructType = TRANSACTION_ROW, aliases=TRANSACTION_ALIASES, tz: str = "UTC",
+                           trigger: dict | None = None, keep: tuple[str, ...] = (), compact_every: int = 16) -> StreamingQuery:
+    """:func:`lake_consumer` into a lake of snapshots: a batch is one commit, and every ``compact_every``
+    batches small files are rewritten.  A replayed batch adds nothing to the lake and overwrites its own quarantine part."""
+    flagged = flag_bad(records, row_schema, keep=keep, aliases=aliases)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            write_quarantine(bad_rows(batch, keep), batch_id, quarantine)
+            lake.append(add_date_parts(good_rows(batch, keep), "ts_ms", tz), batch_id)
+        finally:
+            batch.unpersist()
+        if batch_id % compact_every == compact_every - 1:
+            lake.compact()
+
+    return (flagged.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or DEFAULT_TRIGGER)).start())
+
+
 def jdbc_audit_poll(spark: SparkSession, url: str, table: str, properties: dict[str, str], servers: str,
                     ledger: str, tick: int | None = None) -> None:
     """One poll of a database audit table; the pending filter runs in the database."""

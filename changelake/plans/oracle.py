@@ -315,6 +315,15 @@ def oracle_sql() -> dict[str, str]:
              CASE WHEN reason IS NULL THEN CAST(month(o_orderdate) AS INTEGER) END AS month,
              CASE WHEN reason IS NULL THEN CAST(day(o_orderdate) AS INTEGER) END AS day
       FROM m"""
+    sql["lake_snapshots"] = f"""
+      SELECT CAST(o_orderkey AS VARCHAR) AS key, op, ts_ms,
+             CASE WHEN o_orderstatus IN ('O', 'F') THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS after_totalprice,
+             CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+             CAST(day(o_orderdate) AS INTEGER) AS day
+      FROM ({env_rows}) WHERE o_orderstatus <> 'P' AND ts_ms BETWEEN 820454400000 AND 825551999999"""
+    sql["audit_ledger_runs"] = f"""
+      WITH {_audit(_ALL)}
+      SELECT audit_log_id, record_id AS key, CAST(CAST(record_id AS BIGINT) % 6 AS INTEGER) AS poll FROM audit"""
     sql["lake_sql_table"] = """
       WITH e AS (
         SELECT event_type, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,

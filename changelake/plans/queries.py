@@ -28,11 +28,15 @@ from changelake.operators.rowevents import (
     row_event_json,
 )
 from changelake.plans import fixtures as fx
-from changelake.plans.jobs import audit_publisher, capture_job, lake_consumer, poll_audit_once, row_log_publisher
+from changelake.plans.jobs import (
+    audit_publisher, capture_job, lake_consumer, poll_audit_once, poll_audit_runs, row_log_publisher, snapshot_lake_consumer,
+)
 from changelake.schemas import PUBLISH, ROW_EVENT_MESSAGE
 from changelake.session import scratch_path
 from changelake.sinks.lake import append_audit, ensure_table, register_lake, write_lake
 from changelake.sinks.ledger import publish_and_ack, read_ledger
+from changelake.sinks.runs import RunLedger
+from changelake.sinks.snapshots import SnapshotLake
 from changelake.sources.files import read_lake, read_row_events
 from changelake.sources.kafka import read_json_topic
 from changelake.sources.synth import synth_transactions
@@ -448,6 +452,66 @@ def audit_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "audit_log_id", "record_id", "operation", "new_data", "poll")
 
 
+LEDGER_POLLS = 6
+
+
+def audit_ledger_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polls of an audit table that grows between them, against a ledger of sorted runs: each poll sees all rows
+    so far and sends those no run holds; runs are merged on the way, one merge is lost before its commit and one
+    tick is polled twice.  Every change with the poll that sent it."""
+    root = scratch_path(spark, "ledger-runs")
+    fx.order_audit(fx.table(spark, sf_dir, "orders")).write.parquet(f"{root}/audit")
+    audit = spark.read.parquet(f"{root}/audit")
+    ledger = RunLedger(spark, f"{root}/ledger", fanout=2)
+
+    def lost() -> None:
+        raise OSError("lost before the commit")
+
+    for poll in range(LEDGER_POLLS):
+        def send(batch: DataFrame, poll: int = poll) -> None:
+            batch.withColumn("poll", F.lit(poll)).write.mode("append").parquet(f"{root}/topic")
+
+        so_far = audit.where(F.col("record_id").cast("long") % LEDGER_POLLS <= poll)
+        poll_audit_runs(so_far, send, ledger, tick=poll)
+        if poll == 2:
+            poll_audit_runs(so_far, send, ledger, tick=poll)
+        if poll == 3:
+            ledger.append(ledger.ids().limit(0), LEDGER_POLLS + 100, merge=False)
+            ledger.append(ledger.ids().limit(0), LEDGER_POLLS + 101, merge=False)
+            try:
+                ledger.merge(lost)
+            except OSError:
+                ledger.vacuum()
+    sent = spark.read.parquet(f"{root}/topic").select("audit_log_id", "key", "poll")
+    return sent.join(ledger.ids(), "audit_log_id")
+
+
+def lake_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order messages streamed into a lake of snapshots in three landings with restarts; compactions between, one
+    of them lost before its commit; a two-month range of ``ts_ms`` read back through the zone maps."""
+    msgs = fx.order_messages(fx.table(spark, sf_dir, "orders"))
+    root = scratch_path(spark, "lake-snapshots")
+    msgs.withColumn("_lot", F.pmod(F.xxhash64("key"), F.lit(3))).write.partitionBy("_lot").parquet(f"{root}/sent")
+    rows = decode_envelope(msgs, fx.ORDER_ENVELOPE_ROW, keep=("key",))
+    lake = SnapshotLake(spark, f"{root}/lake", add_date_parts(rows, "ts_ms").schema, zones=("ts_ms",))
+
+    def lost() -> None:
+        raise OSError("lost before the swap")
+
+    for lot in range(3):
+        spark.read.parquet(f"{root}/sent").where(F.col("_lot") == lot).drop("_lot").write.mode("append").parquet(f"{root}/in")
+        src = spark.readStream.schema(msgs.schema).parquet(f"{root}/in")
+        run_to_end(snapshot_lake_consumer(src, lake, f"{root}/bad", f"{root}/checkpoint", row_schema=fx.ORDER_ENVELOPE_ROW, aliases=None,
+                                          trigger={"availableNow": True}, keep=("key",)))
+        if lot:
+            try:
+                lake.compact(lost if lot == 1 else None)
+            except OSError:
+                lake.vacuum()
+    return lake.read(within={"ts_ms": fx.LAKE_RANGE_MS}).select(
+        "key", "op", "ts_ms", F.col("after.o_totalprice").alias("after_totalprice"), "year", "month", "day")
+
+
 def synth_transactions_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = fx.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
     return synth_transactions(ids, "id", seed=42)
@@ -486,4 +550,6 @@ QUERIES: dict[str, Query] = {
     "lake_sql_table": lake_sql_table,
     "audit_publish_many": audit_publish_many,
     "audit_versions": audit_versions,
+    "audit_ledger_runs": audit_ledger_runs,
+    "lake_snapshots": lake_snapshots,
 }

@@ -94,6 +94,12 @@ def write_batch(good: DataFrame, bad: DataFrame, batch_id: int, lake: str, quara
         w.parquet(path)
 
 
+def write_quarantine(bad: DataFrame, batch_id: int, quarantine: str) -> None:
+    """Write one micro-batch's unusable messages to a folder of the batch; a replay overwrites it."""
+    (bad.withColumn(BATCH_COLUMN, F.lit(batch_id).cast("long")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COLUMN).parquet(quarantine))
+
+
 def write_console(sdf: DataFrame, truncate: bool = False, trigger: dict | None = None) -> StreamingQuery:
     """Print a stream in append mode (debugging)."""
     w = sdf.writeStream.format("console").outputMode("append").option("truncate", str(truncate).lower())
