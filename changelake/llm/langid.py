@@ -37,6 +37,11 @@ LETTER = re.compile(r"[^\W\d_]")
 SPAN = WINDOW - max(WIDTHS) + 1
 
 
+def has_letter(text: str) -> bool:
+    """Whether a text has a letter; numerals such as a half or a circled one are none."""
+    return any(m[0].isalpha() for m in LETTER.finditer(text))
+
+
 def windows(text: str) -> np.ndarray:
     """All bytes of a text as rows of WINDOW bytes, the last padded with zeros."""
     raw = np.frombuffer(text.lower().encode("utf-8", "replace"), np.uint8)
@@ -143,7 +148,7 @@ def training_sample(docs: DataFrame, docs_per_lang: int, windows_per_doc: int) -
         for batch in slices(batches):
             langs, rows = [], []
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if LETTER.search(text):
+                if has_letter(text):
                     w = windows(text)
                     for i in np.unique(np.linspace(0, len(w) - 1, windows_per_doc).astype(int)):
                         langs.append(lang)
@@ -180,7 +185,7 @@ def identify(docs: DataFrame, net: ByteNet | None) -> DataFrame:
         for batch in slices(batches):
             langs, scores = [], []
             for text in batch.column(1).to_pylist():
-                if frozen is None or not text or not LETTER.search(text):
+                if frozen is None or not text or not has_letter(text):
                     langs.append(UNDETERMINED)
                     scores.append(0.0)
                     continue

@@ -162,8 +162,10 @@ def _sample(docs: DataFrame, labels: DataFrame, docs_per_class: int) -> tuple[Da
             grams = [sorted(map(_name, indicators(t or ""))) for t in batch.column(2).to_pylist()]
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(grams, pa.list_(pa.string()))], ["doc_id", "y", "grams"])
 
-    texts = docs.where(learnable()).join(F.broadcast(chosen), F.col("doc_id").cast("long") == F.col("label_id"))
-    sample = map_arrow(texts.select(F.col("label_id"), F.col("y").cast("int"), F.col("text").cast("string")), run,
+    # the table's other columns may have the names used here
+    own = docs.where(learnable()).select(F.col("doc_id").cast("long").alias("own_id"), F.col("text").cast("string").alias("own_text"))
+    texts = own.join(F.broadcast(chosen), F.col("own_id") == F.col("label_id"))
+    sample = map_arrow(texts.select(F.col("label_id"), F.col("y").cast("int"), F.col("own_text")), run,
                        "doc_id long, y int, grams array<string>")
     return materialize(sample, "quality-sample"), float(share[0])
 

@@ -103,7 +103,10 @@ class EliasFano:
 
 def pack(doc_ids: list[int | None], lengths: list[int], ids: bytes, width: int) -> bytes:
     """A file of documents in ascending id order (NULLs first); ``ids``: u32 of all of them."""
-    values = np.frombuffer(ids, "<u4").astype("<u2" if width == 2 else "<u4")
+    values = np.frombuffer(ids, "<u4")
+    if width == 2 and len(values) and values.max() > 0xFFFF:
+        raise ValueError(f"id {values.max()} does not fit 2 bytes: use id_width=4")
+    values = values.astype("<u2" if width == 2 else "<u4")
     ends = np.cumsum(np.array(lengths, np.int64))
     ef = EliasFano.of(ends, len(values))
     nulls = sum(d is None for d in doc_ids)
@@ -129,6 +132,12 @@ def unpack(data: bytes) -> tuple[list[int | None], EliasFano, np.ndarray]:
     return doc_ids, EliasFano(n, low_bits, low, high, samples), np.frombuffer(data, f"<u{width}", n_ids, at)
 
 
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the file system that Spark takes it to be on, so that tasks write where Spark reads."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)  # noqa: SLF001
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()  # noqa: SLF001
+
+
 def _filesystem(folder: str) -> tuple[pa.fs.FileSystem, str]:
     if folder.startswith("file:"):
         return pa.fs.LocalFileSystem(), "/" + folder[5:].lstrip("/")
@@ -177,6 +186,8 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, folder: str, end_id:
     """Encode ``docs(doc_id, text)`` in ascending doc_id order into files under
     ``folder``; returns their list ``(file, part, seq, n_docs, n_ids, start)``,
     start being the number of ids in all files before."""
+    folder = _qualified(docs.sparkSession, folder)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -220,7 +231,7 @@ def read_token_files(spark: SparkSession, folder: str, files: DataFrame) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
             doc_ids, ends, ids = unpack(batch.column(1)[0].as_py())
-            stops = ends.values().astype(np.int64)
+            stops = np.fromiter(map(ends.select, range(ends.n)), np.int64, ends.n)
             starts = np.concatenate([[0], stops[:-1]])
             crcs = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(starts.tolist(), stops.tolist())]
             yield pa.record_batch([pa.array([batch.column(0)[0].as_py()] * len(doc_ids)), pa.array(doc_ids, pa.int64()), pa.array(starts),
