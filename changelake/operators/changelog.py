@@ -53,10 +53,11 @@ def from_publish(records: DataFrame) -> DataFrame:
     )
 
 
-def from_row_events(messages: DataFrame, key_index: int = 1) -> DataFrame:
+def from_row_events(messages: DataFrame, key_index: int = 1, ts_ms: str | None = None) -> DataFrame:
     """Parsed row-event messages (``event, database, table, values/before/after``).
 
-    ``record_key`` is the value at position ``key_index`` (1-based).
+    ``record_key`` is the value at position ``key_index`` (1-based); ``ts_ms`` names
+    a column with the event's time, if the messages carry one.
     """
     is_upd = F.col("event") == "UPDATE"
     key_arr = F.when(is_upd, F.col("after")).otherwise(F.col("values"))
@@ -70,7 +71,7 @@ def from_row_events(messages: DataFrame, key_index: int = 1) -> DataFrame:
         .when(F.col("event") == "DELETE", F.to_json("values")).alias("before"),
         F.when(is_upd, F.to_json("after"))
         .when(F.col("event") == "INSERT", F.to_json("values")).alias("after"),
-        F.lit(None).cast("long").alias("ts_ms"),
+        (F.col(ts_ms) if ts_ms else F.lit(None)).cast("long").alias("ts_ms"),
     )
 
 

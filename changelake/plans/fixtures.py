@@ -353,3 +353,44 @@ def raw_event_feed(events: DataFrame) -> DataFrame:
         F.array(row).alias("rows"),
         F.when(kind == "UPDATE", F.array(row_after)).alias("rows_after"),
     )
+
+
+def event_change_forms(events: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Events as changes of records in the three forms (decoded envelopes, publish records, row-event messages), by
+    event_id mod 5.  The record is the user, but ``hot`` for every third event; the operation goes through insert,
+    two updates and a delete by event_id div 2, whatever came before, and the time is event_id seconds."""
+    record = F.when(F.col("event_id") % 3 == 0, F.lit("hot")).otherwise(F.col("user_id").cast("string"))
+    turn = F.expr("(event_id div 2) % 4")
+    op = F.when(turn == 0, F.lit("I")).when(turn == 3, F.lit("D")).otherwise(F.lit("U"))
+    rows = events.select("event_id", record.alias("k"), op.alias("op"), (F.col("event_id") % 5).alias("form"))
+
+    def image(side: str):
+        return F.struct(F.col("k"), F.concat(F.lit(side), F.col("event_id").cast("string")).alias("v"))
+
+    before = F.when(F.col("op") != "I", image("b"))
+    after = F.when(F.col("op") != "D", image("a"))
+    letter = F.when(F.col("op") == "I", F.lit("c")).when(F.col("op") == "U", F.lit("u")).otherwise(F.lit("d"))
+    envelopes = rows.where("form < 2").select(before.alias("before"), after.alias("after"), letter.alias("op"),
+                                              (F.col("event_id") * 1000).alias("ts_ms"))
+    published = rows.where("form in (2, 3)").select(
+        F.lit(DB_NAME).alias("db_name"), F.lit("records").alias("table_name"), F.col("k").alias("record_id"), F.col("op").alias("operation"),
+        F.to_json(after).alias("new_data"), F.col("event_id").alias("timestamp_epoch"))
+    event = F.when(F.col("op") == "I", F.lit("INSERT")).when(F.col("op") == "U", F.lit("UPDATE")).otherwise(F.lit("DELETE"))
+
+    def values(side: str):
+        return F.array(F.col("k"), F.concat(F.lit(side), F.col("event_id").cast("string")))
+
+    row_events = rows.where("form = 4").select(
+        event.alias("event"), F.lit(DB_NAME).alias("database"), F.lit("records").alias("table"),
+        F.when(F.col("op") == "I", values("a")).when(F.col("op") == "D", values("b")).alias("values"),
+        F.when(F.col("op") == "U", values("b")).alias("before"), F.when(F.col("op") == "U", values("a")).alias("after"),
+        (F.col("event_id") * 1000).alias("at_ms"))
+    return envelopes, published, row_events
+
+
+def event_offsets(events: DataFrame) -> DataFrame:
+    """Events as records of a topic of three partitions (event_id mod 3), offset event_id div 3: offsets 500 to 504
+    of every thousand never landed, those with offset mod 777 below 3 landed twice."""
+    rows = events.select(F.lit("t").alias("topic"), F.expr("event_id % 3").cast("int").alias("partition"), F.expr("event_id div 3").alias("offset"))
+    landed = rows.where("offset % 1000 not between 500 and 504")
+    return landed.unionByName(landed.where("offset % 777 < 3"))

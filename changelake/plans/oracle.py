@@ -324,6 +324,49 @@ def oracle_sql() -> dict[str, str]:
     sql["audit_ledger_runs"] = f"""
       WITH {_audit(_ALL)}
       SELECT audit_log_id, record_id AS key, CAST(CAST(record_id AS BIGINT) % 6 AS INTEGER) AS poll FROM audit"""
+    sql["table_map_late"] = _ASOF
+    sql["row_event_counts"] = """
+      SELECT kind, count(*) AS n FROM (
+        SELECT CASE WHEN event_type = 'click' AND event_id % 10 = 0 THEN 'bad'
+                    WHEN event_type IN ('purchase', 'click', 'signup') THEN 'row'
+                    WHEN event_type = 'view' THEN 'unhandled' ELSE 'ignored' END AS kind
+        FROM events) GROUP BY kind"""
+    sql["offset_coverage"] = """
+      WITH o AS (SELECT event_id % 3 AS p, event_id // 3 AS off FROM events),
+      landed AS (SELECT * FROM o WHERE off % 1000 NOT BETWEEN 500 AND 504),
+      each AS (SELECT p, off, sum(CASE WHEN off % 777 < 3 THEN 2 ELSE 1 END) AS n FROM landed GROUP BY p, off),
+      runs AS (SELECT p, off, n, off - row_number() OVER (PARTITION BY p ORDER BY off) AS run FROM each),
+      r AS (SELECT p, min(off) AS lo, max(off) AS hi, CAST(sum(n) AS BIGINT) AS n_records FROM runs GROUP BY p, run),
+      g AS (SELECT p, coalesce(lag(hi) OVER (PARTITION BY p ORDER BY lo), -1) + 1 AS lo, lo - 1 AS hi FROM r),
+      c AS (SELECT p, CASE WHEN min(lo) <= 0 THEN arg_min(hi, lo) + 1 ELSE 0 END AS committed FROM r GROUP BY p)
+      SELECT 't' AS topic, CAST(p AS INTEGER) AS partition, kind, lo, hi, n_records, n_repeated, committed FROM (
+        SELECT p, 'landed' AS kind, lo, hi, n_records, n_records - (hi - lo + 1) AS n_repeated FROM r
+        UNION ALL SELECT p, 'gap', lo, hi, NULL, NULL FROM g WHERE hi >= lo) JOIN c USING (p)"""
+    sql["net_change"] = """
+      WITH e AS (
+        SELECT event_id, event_id % 5 AS form, CASE WHEN event_id % 3 = 0 THEN 'hot' ELSE CAST(user_id AS VARCHAR) END AS k,
+               CASE (event_id // 2) % 4 WHEN 0 THEN 'I' WHEN 3 THEN 'D' ELSE 'U' END AS op FROM events),
+      c AS (
+        SELECT event_id * 1000 AS pos, k, op,
+               CASE WHEN op = 'I' OR form IN (2, 3) THEN NULL
+                    WHEN form < 2 THEN json_object('k', k, 'v', 'b' || event_id)::VARCHAR
+                    ELSE to_json([k, 'b' || event_id])::VARCHAR END AS before,
+               CASE WHEN op = 'D' THEN NULL
+                    WHEN form < 4 THEN json_object('k', k, 'v', 'a' || event_id)::VARCHAR
+                    ELSE to_json([k, 'a' || event_id])::VARCHAR END AS after
+        FROM e WHERE k IS NOT NULL),
+      l AS (SELECT *, lag(op) OVER (PARTITION BY k ORDER BY pos) AS prev FROM c),
+      f AS (
+        SELECT k, arg_min(op, pos) AS first_op, arg_max(op, pos) AS last_op, min(pos) AS lo, max(pos) AS hi,
+               arg_min({'x': before}, pos).x AS before, arg_max({'x': after}, pos).x AS after, count(*) AS n_changes,
+               count(*) FILTER ((prev = 'D' AND op <> 'I') OR (prev IN ('I', 'U') AND op = 'I')) AS n_impossible
+        FROM l GROUP BY k)
+      SELECT k AS record_key,
+             CASE WHEN first_op = 'I' AND last_op <> 'D' THEN 'I' WHEN first_op <> 'I' AND last_op <> 'D' THEN 'U'
+                  WHEN first_op <> 'I' THEN 'D' END AS op,
+             CASE WHEN first_op <> 'I' THEN before END AS before, CASE WHEN last_op <> 'D' THEN after END AS after,
+             lo AS first_position, hi AS last_position, n_changes, n_impossible
+      FROM f"""
     sql["lake_sql_table"] = """
       WITH e AS (
         SELECT event_type, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,

@@ -18,6 +18,8 @@ from changelake.operators.audit import check_key, pending, publish_envelope, pub
 from changelake.operators.digests import TreeShape, capture_by_ranges, write_digests
 from changelake.operators.envelope import add_date_parts, decode_envelope, flag_bad
 from changelake.operators.joins import member_join
+from changelake.operators.netchange import net_changes
+from changelake.operators.offsets import PARTITION, committed_offsets, offset_gaps, offset_ranges
 from changelake.operators.rowevents import (
     classify_row_events,
     drop_no_event,
@@ -42,7 +44,9 @@ from changelake.sources.kafka import read_json_topic
 from changelake.sources.synth import synth_transactions
 from changelake.streaming.dedup import drop_redelivered_stream
 from changelake.streaming.lake_stream import run_to_end, write_lake_stream
+from changelake.streaming.metrics import counted_batches, read_counts
 from changelake.streaming.table_map import table_map_stream
+from changelake.streaming.table_map_late import current_answers, late_map_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -512,6 +516,59 @@ def lake_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         "key", "op", "ts_ms", F.col("after.o_totalprice").alias("after_totalprice"), "year", "month", "day")
 
 
+def net_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Net change of each record over a changelog of three message forms, a third of it on one record."""
+    envelopes, published, row_events = fx.event_change_forms(fx.table(spark, sf_dir, "events"))
+    log = cl.to_changelog(cl.from_envelope(envelopes, fx.DB_NAME, "records", "k"), cl.from_publish(published),
+                          cl.from_row_events(row_events, ts_ms="at_ms"))
+    return net_changes(log, "record_key", "ts_ms", width=1 << 20, keep_nothing=True)
+
+
+def offset_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ranges, gaps, repeats and committed offset of a topic's landed records, with planted gaps and replays."""
+    ranges = offset_ranges(fx.event_offsets(fx.table(spark, sf_dir, "events")), width=4096)
+    path = scratch_path(spark, "offset-ranges")
+    ranges.write.parquet(path)
+    ranges = spark.read.schema(ranges.schema).parquet(path)
+    gaps = offset_gaps(ranges, begin=0).select(*PARTITION, F.lit("gap").alias("kind"), "lo", "hi")
+    full = ranges.select(*PARTITION, F.lit("landed").alias("kind"), "lo", "hi", "n_records", "n_repeated")
+    return full.unionByName(gaps, allowMissingColumns=True).join(committed_offsets(ranges, begin=0), list(PARTITION))
+
+
+def row_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw row-log records streamed in two lots with a restart; rows, ignored, unhandled and bad ones counted while they
+    are written, the stored counts summed up."""
+    feed = classify_row_events(fx.raw_event_feed(fx.table(spark, sf_dir, "events")))
+    # updates without their after-image
+    broken = (F.col("event_type") == "UPDATE") & (F.col("position") % 10 == 0)
+    feed = feed.withColumn("rows_after", F.when(~broken, F.col("rows_after"))).withColumn("kind", F.when(broken, F.lit("bad")).otherwise(F.col("kind")))
+    root = scratch_path(spark, "event-counts")
+    feed.withColumn("_lot", F.pmod(F.xxhash64("position"), F.lit(2))).write.partitionBy("_lot").parquet(f"{root}/sent")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
+
+    run = counted_batches(write, f"{root}/counts", "kind", ("row", "map", "ignored", "unhandled", "bad"))
+    for lot in (0, 1):
+        spark.read.parquet(f"{root}/sent").where(F.col("_lot") == lot).drop("_lot").write.mode("append").parquet(f"{root}/in")
+        src = spark.readStream.schema(feed.schema).parquet(f"{root}/in")
+        run_to_end(src.writeStream.foreachBatch(run).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start())
+    return read_counts(spark, f"{root}/counts").groupBy("kind").agg(F.sum("n").alias("n")).where("n > 0")
+
+
+def table_map_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed records in three lots without regard to position: late map records take answers back and give them anew."""
+    records = fx.event_landed_records(fx.table(spark, sf_dir, "events"))
+    root = scratch_path(spark, "table-map-late")
+    records.withColumn("_lot", F.pmod(F.xxhash64("position"), F.lit(3))).write.partitionBy("_lot").parquet(f"{root}/sent")
+    for lot in range(3):
+        spark.read.parquet(f"{root}/sent").where(F.col("_lot") == lot).drop("_lot").write.mode("append").parquet(f"{root}/in")
+        run_to_end(late_map_stream(read_row_events(spark, f"{root}/in", stream=True), f"{root}/state", f"{root}/checkpoint",
+                                   bucket_width=ASOF_BUCKET_WIDTH, trigger={"availableNow": True}))
+    return current_answers(spark, f"{root}/state").select("position", "table_id", F.col("database").alias("db_name"),
+                                                          F.col("table").alias("table_name"))
+
+
 def synth_transactions_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = fx.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
     return synth_transactions(ids, "id", seed=42)
@@ -552,4 +609,8 @@ QUERIES: dict[str, Query] = {
     "audit_versions": audit_versions,
     "audit_ledger_runs": audit_ledger_runs,
     "lake_snapshots": lake_snapshots,
+    "net_change": net_change,
+    "offset_coverage": offset_coverage,
+    "row_event_counts": row_event_counts,
+    "table_map_late": table_map_late,
 }
