@@ -151,6 +151,11 @@ def order_third_version(new: DataFrame) -> DataFrame:
 
 
 LAKE_RANGE_MS = (820454400000, 825551999999)  # 1996-01-01 to 1996-02-28, the range read from the lake of snapshots
+KEY_TABLES = {  # tables whose keys are looked for, with their columns
+    "lineitem": ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                 "l_returnflag", "l_linestatus", "l_shipdate"),
+    "events": ("event_id", "ts", "user_id", "event_type", "value", "props"),
+}
 RARE_WIDTH = 256  # keys of a range in the versions with few changes
 
 

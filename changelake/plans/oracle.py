@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
+from changelake.plans.fixtures import KEY_TABLES
+
 # Order image as the fixtures render it: money DECIMAL(18,2), date as text.
 _ORDER_ROWS = """
   SELECT o_orderkey, o_custkey, o_orderstatus,
@@ -40,6 +44,18 @@ _RARE_VERSIONS = f"""
     FROM rows_ WHERE NOT (ranged AND kind = 2))"""
 
 
+def _minimal_keys(size: int = 3) -> str:
+    """Every set of columns counted; unique ones without a smaller one inside."""
+    sets = [(t, c) for t, columns in KEY_TABLES.items() for k in range(1, size + 1) for c in combinations(columns, k)]
+    counted = " UNION ALL ".join(
+        f"SELECT '{t}' AS t, {list(c)} AS cols, (SELECT count(*) FROM (SELECT DISTINCT {', '.join(c)} FROM {t})) = count(*) "
+        f"AND {' AND '.join(f'count({x}) = count(*)' for x in c)} AS is_key FROM {t}" for t, c in sets)
+    return f"""
+      WITH k AS (SELECT t, cols FROM ({counted}) WHERE is_key)
+      SELECT t AS table_name, array_to_string(cols, ',') AS key_columns, CAST(len(cols) AS INTEGER) AS n_columns FROM k
+      WHERE NOT EXISTS (SELECT 1 FROM k s WHERE s.t = k.t AND len(s.cols) < len(k.cols) AND list_has_all(k.cols, s.cols))"""
+
+
 def _audit(cols: list[str], versions: str = _VERSIONS) -> str:
     changed = " OR ".join(f"o.{c} IS DISTINCT FROM n.{c}" for c in _VALUES)
     return f"""
@@ -367,6 +383,10 @@ def oracle_sql() -> dict[str, str]:
              CASE WHEN first_op <> 'I' THEN before END AS before, CASE WHEN last_op <> 'D' THEN after END AS after,
              lo AS first_position, hi AS last_position, n_changes, n_impossible
       FROM f"""
+    sql["key_discovery"] = _minimal_keys()
+    sql["member_index"] = """
+      SELECT s_nationkey AS nation, s_suppkey, c_custkey, c_name FROM supplier
+      LEFT JOIN customer ON c_nationkey = s_nationkey AND c_custkey BETWEEN s_suppkey AND s_suppkey + 999"""
     sql["lake_sql_table"] = """
       WITH e AS (
         SELECT event_type, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,

@@ -18,6 +18,8 @@ from changelake.operators.audit import check_key, pending, publish_envelope, pub
 from changelake.operators.digests import TreeShape, capture_by_ranges, write_digests
 from changelake.operators.envelope import add_date_parts, decode_envelope, flag_bad
 from changelake.operators.joins import member_join
+from changelake.operators.keys import key_table
+from changelake.operators.member_index import member_index_join
 from changelake.operators.netchange import net_changes
 from changelake.operators.offsets import PARTITION, committed_offsets, offset_gaps, offset_ranges
 from changelake.operators.rowevents import (
@@ -569,6 +571,20 @@ def table_map_late(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                           F.col("table").alias("table_name"))
 
 
+def key_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All minimal keys of up to three columns of two tables that name none."""
+    lines, events = (key_table(fx.table(spark, sf_dir, t), t) for t in fx.KEY_TABLES)
+    return lines.unionByName(events)
+
+
+def member_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers, many of one nation, with a list of a thousand customer keys each; customers of the nation that are in it."""
+    suppliers = fx.table(spark, sf_dir, "supplier").select(
+        F.col("s_nationkey").alias("nation"), "s_suppkey", F.sequence(F.col("s_suppkey"), F.col("s_suppkey") + 999).alias("members"))
+    customers = fx.table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("nation"), "c_custkey", "c_name")
+    return member_index_join(suppliers, customers, "nation", "c_custkey", "members", "left").drop("members")
+
+
 def synth_transactions_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = fx.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
     return synth_transactions(ids, "id", seed=42)
@@ -610,6 +626,8 @@ QUERIES: dict[str, Query] = {
     "audit_ledger_runs": audit_ledger_runs,
     "lake_snapshots": lake_snapshots,
     "net_change": net_change,
+    "key_discovery": key_discovery,
+    "member_index": member_index,
     "offset_coverage": offset_coverage,
     "row_event_counts": row_event_counts,
     "table_map_late": table_map_late,

@@ -11,7 +11,7 @@ from __spark_entry__ import entry, queries
 from changelake.plans.oracle import oracle_sql
 from changelake.plans.queries import QUERIES
 
-TABLES = ["customer", "orders", "lineitem", "events"]
+TABLES = ["customer", "orders", "lineitem", "events", "supplier"]
 
 
 def norm(v):
