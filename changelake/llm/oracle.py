@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from changelake.llm.collocations import COVER_PCT, MIN_COUNT, NO_LANG, SCALE, TOP
 from changelake.llm.line_dedup import MIN_CHARS, MIN_DOCS
-from changelake.llm.mixing import BLOCK_ROWS, PERIOD
+from changelake.llm.mixing import BLOCK_ROWS, PERIOD, SLOTS_EACH
 from changelake.llm.quality_rules import (
     BOILERPLATE, BOILERPLATE_WORDS, MARKED_PCT, MARKED_WORD, MAX_LOST_PCT, MAX_REPEAT_PCT, MIN_SEPARATORS, MIN_WORDS, SEPARATOR_PCT, SEPARATORS,
 )
@@ -14,32 +14,36 @@ BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 WORDS = r"list_filter(string_split_regex({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 PLACES = ", ".join(f"'{s}'" for s in SEPARATORS)
 
+# One node: up to FAN_OUT sources.
 MIX = f"""
 WITH RECURSIVE counts AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
 weights AS (SELECT *, row_number() OVER (ORDER BY n DESC, source NULLS LAST) - 1 AS component,
                    CAST(floor(sqrt(CAST(n AS DOUBLE)) * 1024) AS BIGINT) AS w FROM counts),
-shares AS (SELECT *, ({PERIOD} - count(*) OVER ()) * w AS num, sum(w) OVER () AS sum_w FROM weights),
-bases AS (SELECT *, CAST(1 + num // sum_w AS BIGINT) AS base, num % sum_w AS left_over FROM shares),
-quota AS (SELECT component, source,
-                 CAST(base + CASE WHEN row_number() OVER (ORDER BY left_over DESC, component) <= {PERIOD} - sum(base) OVER () THEN 1 ELSE 0 END AS BIGINT) AS q
+sized AS (SELECT *, count(*) OVER () AS c, sum(w) OVER () AS sum_w, (count(*) OVER () * {SLOTS_EACH} + {PERIOD - 1}) // {PERIOD} AS times FROM weights),
+beyonds AS (SELECT *, greatest(CAST(period AS HUGEINT) * w - sum_w, 0) AS beyond FROM (
+             SELECT *, CAST({PERIOD} * CASE WHEN times <= 1 THEN 1 ELSE 1 << length(bin(times - 1)) END AS BIGINT) AS period FROM sized)),
+bases AS (SELECT *, CAST(1 + (period - c) * beyond // all_beyond AS BIGINT) AS base, (period - c) * beyond % all_beyond AS left_over
+          FROM (SELECT *, CAST(sum(beyond) OVER () AS HUGEINT) AS all_beyond FROM beyonds)),
+quota AS (SELECT component, source, period,
+                 CAST(base + CASE WHEN row_number() OVER (ORDER BY left_over DESC, component) <= period - sum(base) OVER () THEN 1 ELSE 0 END AS BIGINT) AS q
           FROM bases),
-lists AS (SELECT list(q ORDER BY component) AS qs FROM quota),
+lists AS (SELECT list(q ORDER BY component) AS qs, max(period) AS period FROM quota),
 edf(t, done, pick) AS (
   SELECT CAST(-1 AS BIGINT), list_transform(qs, lambda x: CAST(0 AS BIGINT)), CAST(0 AS BIGINT) FROM lists
   UNION ALL
   SELECT t, list_transform(done, lambda d, i: CASE WHEN i = pick THEN d + 1 ELSE d END), pick FROM (
     SELECT t + 1 AS t, done, CAST(list_min(list_filter(list_transform(qs, lambda x, i:
-             CASE WHEN (done[i] * {PERIOD}) // x <= t + 1 THEN {{'deadline': ((done[i] + 1) * {PERIOD} + x - 1) // x, 'i': i}} END),
+             CASE WHEN (done[i] * period) // x <= t + 1 THEN {{'deadline': ((done[i] + 1) * period + x - 1) // x, 'i': i}} END),
              lambda y: y IS NOT NULL)).i AS BIGINT) AS pick
-    FROM edf, lists WHERE t < {PERIOD - 1})),
+    FROM edf, lists WHERE t < period - 1)),
 slots AS (SELECT t, pick - 1 AS component, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS j FROM edf WHERE t >= 0),
 numbered AS (
-  SELECT d.doc_id, d.source, component, q,
+  SELECT d.doc_id, d.source, component, q, period,
          row_number() OVER (PARTITION BY component ORDER BY md5(coalesce(CAST(d.doc_id AS VARCHAR), '')), d.doc_id) - 1 AS rn
   FROM documents d JOIN quota ON d.source IS NOT DISTINCT FROM quota.source)
 SELECT doc_id, source, n.component, q, rn // {BLOCK_ROWS} AS block,
-       (rn // {BLOCK_ROWS}) * {PERIOD} // q AS release, ((rn // {BLOCK_ROWS} + 1) * {PERIOD} + q - 1) // q AS deadline,
-       ((rn // {BLOCK_ROWS}) // q) * {PERIOD} + t AS slot, rn % {BLOCK_ROWS} AS "offset"
+       (rn // {BLOCK_ROWS}) * period // q AS release, ((rn // {BLOCK_ROWS} + 1) * period + q - 1) // q AS deadline,
+       ((rn // {BLOCK_ROWS}) // q) * period + t AS slot, rn % {BLOCK_ROWS} AS "offset"
 FROM numbered n JOIN slots s ON s.component = n.component AND s.j = (rn // {BLOCK_ROWS}) % q
 """
 

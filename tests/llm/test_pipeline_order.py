@@ -22,7 +22,9 @@ def test_run_returns_the_mixture_position(spark, sf_dir, monkeypatch):
     rows = out.select("doc_id", "position").join(docs, "doc_id").orderBy("position").collect()
     assert [r.position for r in rows] == list(range(docs.count()))
     counts = docs.groupBy("source").agg(F.count("*").alias("n"))
-    target = {r.source: r.q / 64 for r in mixing.quotas(counts, period=64).collect()}
+    parts = mixing.components_of(counts)
+    [level] = mixing.quota_levels(parts, parts.count(), period=64)
+    target = {r.source: r.q / r.period for r in level.join(parts, level.member == parts.component).collect()}
     left, run = Counter({r.source: r.n for r in counts.collect()}), Counter()
     for t, r in enumerate(rows):  # until the first source has no documents left
         run[r.source] += 1
