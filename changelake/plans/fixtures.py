@@ -126,6 +126,20 @@ def order_messages(orders: DataFrame) -> DataFrame:
     return order_envelopes(orders, "o_orderstatus", "o_orderpriority").select("key", value.alias("value"))
 
 
+def order_messages_by_version(orders: DataFrame) -> DataFrame:
+    """:func:`order_messages` whose updates (status F) are of later schemas: urgent ones below ``change`` instead of
+    ``payload``, the others with new names; of these the ones of high priority hold a customer that is no number."""
+    value = F.col("value")
+    renamed = value
+    for old, new in (('"before":', '"old":'), ('"after":', '"new":'), ('"op":', '"kind":'), ('"ts_ms":', '"at":'), ('"o_totalprice":', '"price":')):
+        renamed = F.replace(renamed, F.lit(old), F.lit(new))
+    pr = F.col("o_orderpriority")
+    later = (F.when(pr == "1-URGENT", F.replace(value, F.lit('{"payload":'), F.lit('{"change":')))
+             .when(pr == "2-HIGH", F.regexp_replace(renamed, r'"o_custkey":-?\d+', '"o_custkey":"none"')).otherwise(renamed))
+    updates = order_envelopes(orders, "o_orderstatus", "o_orderpriority").where("o_orderstatus = 'F'")
+    return order_messages(orders.where("o_orderstatus <> 'F'")).unionByName(updates.select("key", later.alias("value")))
+
+
 def order_versions(orders: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(old, new) versions of the orders table."""
     rows = order_rows(orders)
@@ -279,9 +293,10 @@ def order_row_events(orders: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ events ---
 
-def event_messages(events: DataFrame, truncate_type: str | None = None) -> DataFrame:
+def event_messages(events: DataFrame, truncate_type: str | None = None, spoil_type: str | None = None) -> DataFrame:
     """``key, value`` insert envelopes of events; messages of ``truncate_type``
-    are cut to half their length (broken JSON)."""
+    are cut to half their length (broken JSON), those of ``spoil_type`` have, by
+    ``event_id`` mod 4, no text, no payload, no time, or a time without a date."""
     after = F.struct(
         F.col("event_id"),
         epoch_millis("ts", ntz=True).alias("ts"),
@@ -296,6 +311,11 @@ def event_messages(events: DataFrame, truncate_type: str | None = None) -> DataF
     if truncate_type is not None:
         cut = F.substring(text, F.lit(1), (F.length(text) / 2).cast("int"))
         text = F.when(F.col("event_type") == truncate_type, cut).otherwise(text)
+    if spoil_type is not None:
+        way = F.col("event_id") % 4
+        spoilt = (F.when(way == 1, F.lit('{"payload":null}')).when(way == 2, F.regexp_replace(text, r',"ts_ms":-?\d+', ""))
+                  .when(way == 3, F.regexp_replace(text, r'"ts_ms":-?\d+', '"ts_ms":9223372036854775807')))
+        text = F.when(F.col("event_type") == spoil_type, spoilt).otherwise(text)
     return events.select(F.col("event_id").cast("string").alias("key"),
                                                        text.alias("value"))
 

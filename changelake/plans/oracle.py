@@ -182,9 +182,10 @@ def oracle_sql() -> dict[str, str]:
       FROM events"""
     sql["bad_message_split"] = """
       SELECT CAST(event_id AS VARCHAR) AS key,
-             CASE WHEN event_type = 'error' THEN 'bad' ELSE 'good' END AS status,
-             CASE WHEN event_type = 'error' THEN 'corrupt' END AS reason,
-             CASE WHEN event_type = 'error' THEN NULL ELSE event_type END AS event_type
+             CASE WHEN event_type IN ('error', 'signup') THEN 'bad' ELSE 'good' END AS status,
+             CASE event_type WHEN 'error' THEN 'corrupt' WHEN 'signup' THEN
+               CASE event_id % 4 WHEN 0 THEN 'tombstone' WHEN 1 THEN 'no_payload' WHEN 2 THEN 'no_ts_ms' ELSE 'ts_ms_out_of_range' END END AS reason,
+             CASE WHEN event_type NOT IN ('error', 'signup') THEN event_type END AS event_type
       FROM events"""
     sql["json_field"] = """
       SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"""
@@ -225,7 +226,8 @@ def oracle_sql() -> dict[str, str]:
     sql["key_violations"] = """
       SELECT l_orderkey, COUNT(*) AS n,
              CASE WHEN l_orderkey IS NULL THEN 'null_key' ELSE 'duplicate_key' END AS violation
-      FROM lineitem GROUP BY l_orderkey HAVING COUNT(*) > 1 OR l_orderkey IS NULL"""
+      FROM (SELECT CASE WHEN l_linenumber <> 7 THEN l_orderkey END AS l_orderkey FROM lineitem)
+      GROUP BY l_orderkey HAVING COUNT(*) > 1 OR l_orderkey IS NULL"""
     sql["member_join"] = """
       SELECT o.o_orderkey AS orderkey, o.o_orderpriority, l.l_linenumber, l.l_partkey
       FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
@@ -235,7 +237,7 @@ def oracle_sql() -> dict[str, str]:
     sql["table_map_static"] = """
       SELECT e.event_id, e.user_id AS table_id, COALESCE(c.c_mktsegment, 'unknown_db') AS db_name,
              COALESCE(c.c_name, 'unknown_table') AS table_name
-      FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey"""
+      FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey AND c.c_mktsegment <> 'BUILDING'"""
     sql["row_event_explode"] = f"""
       WITH j AS (
         SELECT l.*, CASE o.o_orderstatus WHEN 'O' THEN 'INSERT' WHEN 'F' THEN 'UPDATE' ELSE 'DELETE' END AS event
@@ -331,6 +333,24 @@ def oracle_sql() -> dict[str, str]:
              CASE WHEN reason IS NULL THEN CAST(month(o_orderdate) AS INTEGER) END AS month,
              CASE WHEN reason IS NULL THEN CAST(day(o_orderdate) AS INTEGER) END AS day
       FROM m"""
+    sql["quarantine_redrive"] = f"""
+      WITH m AS (
+        SELECT *, CASE WHEN o_orderstatus = 'P' THEN
+                    CASE o_orderpriority WHEN '1-URGENT' THEN 'tombstone' WHEN '2-HIGH' THEN 'corrupt'
+                      WHEN '3-MEDIUM' THEN 'no_payload' WHEN '4-NOT SPECIFIED' THEN 'no_ts_ms'
+                      ELSE 'ts_ms_out_of_range' END
+                  WHEN o_orderstatus = 'F' AND o_orderpriority = '2-HIGH' THEN 'no_ts_ms' END AS reason
+        FROM ({env_rows}))
+      SELECT CAST(o_orderkey AS VARCHAR) AS key, reason,
+             CASE WHEN reason IS NULL THEN op END AS op,
+             CASE WHEN reason IS NULL THEN ts_ms END AS ts_ms,
+             CASE WHEN reason IS NULL AND o_orderstatus = 'F' THEN o_custkey END AS before_custkey,
+             CASE WHEN reason IS NULL AND o_orderstatus IN ('O', 'F')
+               THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS after_totalprice,
+             CASE WHEN reason IS NULL THEN CAST(year(o_orderdate) AS INTEGER) END AS year,
+             CASE WHEN reason IS NULL THEN CAST(month(o_orderdate) AS INTEGER) END AS month,
+             CASE WHEN reason IS NULL THEN CAST(day(o_orderdate) AS INTEGER) END AS day
+      FROM m"""
     sql["lake_snapshots"] = f"""
       SELECT CAST(o_orderkey AS VARCHAR) AS key, op, ts_ms,
              CASE WHEN o_orderstatus IN ('O', 'F') THEN CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS after_totalprice,
