@@ -4,6 +4,7 @@
 * :func:`capture_job`        two table versions -> appended audit rows
 * :func:`audit_publisher`    audit rows (streamed from the audit folder) -> topic, with ledger
 * :func:`poll_audit_once`    one poll of a database audit table -> topic, with ledger
+* :func:`poll_audit_runs`    the same with a ledger of sorted runs
 * :func:`row_log_publisher`  landed row-log events -> one JSON message per row -> topic
 * :func:`row_log_console`    landed row-log events -> console (raw whole-event form)
 
@@ -29,7 +30,7 @@ from changelake.operators.envelope import add_date_parts, bad_rows, flag_bad, go
 from changelake.operators.rowevents import explode_rows, raw_stream_form, row_event_json
 from changelake.schemas import AUDIT, TRANSACTION_ALIASES, TRANSACTION_ROW
 from changelake.session import apply_recommended
-from changelake.sinks.lake import append_audit, write_console, write_quarantine
+from changelake.sinks.lake import append_audit, append_capture, write_console, write_quarantine
 from changelake.sinks.ledger import next_batch_id, publish_and_ack, read_ledger
 from changelake.sinks.runs import RunLedger, publish_once
 from changelake.sinks.snapshots import SnapshotLake
@@ -71,11 +72,19 @@ def kafka_lake_consumer(spark: SparkSession, servers: str, topic: str, lake: str
 
 def capture_job(old: DataFrame, new: DataFrame, key: str | list[str], audit_path: str,
                 cols: list[str] | None = None, db_name: str = "db", table_name: str = "table",
-                captured_at: Column | None = None, version: str | None = None) -> None:
-    """Append the audit rows between two versions of a table."""
+                captured_at: Column | None = None, version: str | None = None, own_folder: bool = False) -> None:
+    """Append the audit rows between two versions of a table.
+
+    With ``own_folder`` they go to a folder of their table and ``version``, and a capture that is run again reads nothing
+    of the audit table (see :func:`append_capture`)."""
     audit = capture_changes(old, new, key, cols=cols, db_name=db_name, table_name=table_name,
                             captured_at=captured_at, version=version)
-    append_audit(audit, audit_path)
+    if own_folder:
+        if version is None:
+            raise ValueError("a capture's own folder is named by its version")
+        append_capture(audit, audit_path, f"{db_name}.{table_name}.{version}")
+    else:
+        append_audit(audit, audit_path)
 
 
 def topic_sender(servers: str) -> Callable[[DataFrame], None]:
@@ -96,6 +105,11 @@ def audit_publisher(spark: SparkSession, audit_path: str, send: Callable[[DataFr
     return publish_stream(r.parquet(audit_path), send, ledger, checkpoint, trigger=trigger, **kw)
 
 
+def read_audit_folder(spark: SparkSession, path: str) -> DataFrame:
+    """The audit rows of a folder, whether or not captures have folders of their own."""
+    return spark.read.schema(AUDIT).parquet(path).select(*AUDIT.fieldNames())
+
+
 def poll_audit_once(audit: DataFrame, send: Callable[[DataFrame], None], ledger: str, tick: int | None = None,
                     **kw) -> None:
     """One poll of an audit table (e.g. ``sources.jdbc.read_audit``): pending
@@ -185,8 +199,36 @@ def main(argv: list[str] | None = None) -> None:
     rl.add_argument("--checkpoint", required=True)
     rl.add_argument("--max-files-per-trigger", type=int, default=100)
     rl.add_argument("--raw", action="store_true", help="unquoted values, as the listener renders them")
+    cp = sub.add_parser("capture", help="two versions of a table -> audit rows, once")
+    cp.add_argument("--old", required=True, help="folder of the old version (parquet)")
+    cp.add_argument("--new", required=True)
+    cp.add_argument("--key", required=True, help="key columns, comma-separated")
+    cp.add_argument("--audit", required=True)
+    cp.add_argument("--db", required=True)
+    cp.add_argument("--table", required=True)
+    cp.add_argument("--version", required=True, help="names the capture; one that is complete is not run again")
+    cp.add_argument("--cols", help="captured columns, comma-separated (default: all)")
+    ap = sub.add_parser("audit-poll", help="one poll of an audit table -> topics, acknowledged in a ledger of runs")
+    ap.add_argument("--servers", required=True)
+    ap.add_argument("--ledger", required=True)
+    ap.add_argument("--audit", help="audit folder")
+    ap.add_argument("--url", help="database of the audit table")
+    ap.add_argument("--table", help="audit table of the database")
+    ap.add_argument("--property", action="append", default=[], help="name=value for the database reader")
     args = p.parse_args(argv)
+    if args.job == "audit-poll" and (args.audit is None) == (args.url is None or args.table is None):
+        p.error("audit-poll needs --audit, or --url and --table")
     spark = apply_recommended(SparkSession.builder.appName(f"changelake-{args.job}").getOrCreate())
+    if args.job == "capture":
+        capture_job(spark.read.parquet(args.old), spark.read.parquet(args.new), args.key.split(","), args.audit,
+                    cols=args.cols.split(",") if args.cols else None, db_name=args.db, table_name=args.table,
+                    version=args.version, own_folder=True)
+        return
+    if args.job == "audit-poll":
+        audit = (read_audit_folder(spark, args.audit) if args.audit else
+                 read_audit(spark, args.url, args.table, dict(x.split("=", 1) for x in args.property)))
+        poll_audit_runs(audit, topic_sender(args.servers), RunLedger(spark, args.ledger))
+        return
     if args.job == "lake-consumer":
         qs = kafka_lake_consumer(spark, args.servers, args.topic, args.lake, args.checkpoint, tz=args.tz,
                                  max_offsets_per_trigger=args.max_offsets_per_trigger)

@@ -296,6 +296,10 @@ def oracle_sql() -> dict[str, str]:
       FROM orders"""
     sql["dedup_redelivered"] = """
       SELECT CAST(event_id AS VARCHAR) AS audit_log_id, event_type, value FROM events"""
+    sql["dedup_ledger"] = """
+      SELECT CASE WHEN event_type <> 'signup' THEN CAST(event_id AS VARCHAR) END AS audit_log_id, event_type, value,
+             CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day
+      FROM events"""
     sql["table_map_stream"] = _ASOF
     sql["envelope_stream_lake"] = f"""
       SELECT {before_cols}, {after_cols}, op, ts_ms, CAST(year(o_orderdate) AS INTEGER) AS year,
@@ -435,6 +439,15 @@ def oracle_sql() -> dict[str, str]:
       SELECT sha256('tpch|orders|' || CAST(o_orderkey AS VARCHAR) || '|U|v3'), CAST(o_orderkey AS VARCHAR), 'U',
              {_json_image('third', _ALL)}, 1
       FROM third"""
+    sql["audit_capture_once"] = f"""
+      WITH {_audit(_ALL)},
+      third AS (SELECT * REPLACE (CAST(o_totalprice + 2 AS DECIMAL(18,2)) AS o_totalprice)
+                FROM new_v WHERE o_orderpriority = '2-HIGH')
+      SELECT audit_log_id, record_id, operation, new_data, 0 AS poll FROM audit
+      UNION ALL
+      SELECT sha256('tpch|orders|' || CAST(o_orderkey AS VARCHAR) || '|U|v3'), CAST(o_orderkey AS VARCHAR), 'U',
+             {_json_image('third', _ALL)}, CASE WHEN o_orderkey % 3 = 0 THEN 1 ELSE 2 END
+      FROM third"""
     sql["synth_transactions"] = f"""
       SELECT {_uuid('txn')} AS transaction_id,
              'user_' || CAST({_H.format(salt='user')} % 100000 AS VARCHAR) AS user_id,

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from changelake.functions.jsoncols import json_field
 from changelake.operators import changelog as cl
-from changelake.operators.audit import check_key, pending, publish_envelope, publish_records, unpublished
+from changelake.operators.audit import capture_changes, check_key, pending, publish_envelope, publish_records, unpublished
 from changelake.operators.digests import TreeShape, capture_by_ranges, write_digests
 from changelake.operators.envelope import add_date_parts, decode_envelope, flag_bad
 from changelake.operators.joins import member_join
@@ -33,11 +34,12 @@ from changelake.operators.rowevents import (
 )
 from changelake.plans import fixtures as fx
 from changelake.plans.jobs import (
-    audit_publisher, capture_job, lake_consumer, poll_audit_once, poll_audit_runs, row_log_publisher, snapshot_lake_consumer,
+    audit_publisher, capture_job, lake_consumer, poll_audit_once, poll_audit_runs, read_audit_folder, row_log_publisher,
+    snapshot_lake_consumer,
 )
 from changelake.schemas import PUBLISH, ROW_EVENT_MESSAGE
 from changelake.session import scratch_path
-from changelake.sinks.lake import append_audit, ensure_table, register_lake, write_lake
+from changelake.sinks.lake import CAPTURE_COLUMN, append_audit, ensure_table, register_lake, remove_path, write_lake
 from changelake.sinks.ledger import publish_and_ack, read_ledger
 from changelake.sinks.redrive import MessageVersion, Redrive
 from changelake.sinks.runs import RunLedger
@@ -45,7 +47,7 @@ from changelake.sinks.snapshots import SnapshotLake
 from changelake.sources.files import read_lake, read_row_events
 from changelake.sources.kafka import read_json_topic
 from changelake.sources.synth import synth_transactions
-from changelake.streaming.dedup import drop_redelivered_stream
+from changelake.streaming.dedup import drop_redelivered_ledger, drop_redelivered_stream
 from changelake.streaming.lake_stream import run_to_end, write_lake_stream
 from changelake.streaming.metrics import counted_batches, read_counts
 from changelake.streaming.table_map import table_map_stream
@@ -56,6 +58,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 ASOF_BUCKET_WIDTH = 4096   # positions per as-of scan bucket in the registered queries
 ORDERED_LANDINGS = 4  # landings of the ordered streams
 REDELIVERED_LOTS = 3  # landings of the re-delivered messages
+LANDED_LOTS = 3  # lots of files in each landing of the ledger's messages
 ORDER_MESSAGE_VERSIONS = (
     MessageVersion("renamed", "$.payload.old", "$.payload.new", "$.payload.kind", "$.payload.at", {"o_totalprice": "price"}),
     MessageVersion("change", "$.change.before", "$.change.after", "$.change.op", "$.change.ts_ms"),
@@ -318,6 +321,44 @@ def dedup_redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out").select("audit_log_id", "event_type", "value")
 
 
+def dedup_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same messages, some without an id, in two landings of files, streamed by a processing-time trigger with a
+    bounded number of files a batch; a ledger of runs is the memory and a lake of snapshots the target.  The first
+    run after each landing is lost between the two."""
+    ev = fx.table(spark, sf_dir, "events")
+    has_id = F.col("event_type") != "signup"
+    msgs = ev.select(F.when(has_id, F.col("event_id").cast("string")).alias("audit_log_id"), "event_type", "value",
+                     F.year("ts").alias("year"), F.month("ts").alias("month"), F.dayofmonth("ts").alias("day"))
+    copies = F.when(F.col("event_type") == "purchase", F.array(F.lit(0), F.lit(1), F.lit(2))).otherwise(F.array(F.lit(0)))
+    root = scratch_path(spark, "dedup-ledger")
+    lot = F.pmod(F.xxhash64("audit_log_id", "value") + F.col("_copy"), F.lit(2 * LANDED_LOTS))
+    sent = msgs.withColumn("_copy", F.explode(copies)).withColumn("_lot", lot).drop("_copy")
+    sent.write.partitionBy("_lot").parquet(f"{root}/sent")
+    lake, ledger = SnapshotLake(spark, f"{root}/lake", msgs.schema), RunLedger(spark, f"{root}/ledger", fanout=2)
+    lost: list[int] = []
+
+    def sink(rows: DataFrame, batch_id: int) -> None:
+        lake.append(rows, batch_id)
+        if len(lost) < landing + 1:
+            lost.append(batch_id)
+            raise OSError("lost between lake and ledger")
+
+    for landing in (0, 1):
+        spark.read.parquet(f"{root}/sent").where(F.floor(F.col("_lot") / LANDED_LOTS) == landing).drop("_lot").write.mode("append").parquet(f"{root}/in")
+        files = len(spark.read.schema(msgs.schema).parquet(f"{root}/in").inputFiles())
+        src = spark.readStream.schema(msgs.schema).option("maxFilesPerTrigger", str(-(-files // 3))).parquet(f"{root}/in")
+        for _ in range(2):
+            q = drop_redelivered_ledger(src, sink, ledger, f"{root}/checkpoint", trigger={"processingTime": "0 seconds"})
+            try:
+                q.processAllAvailable()
+            except StreamingQueryException:
+                if "lost between lake and ledger" not in str(q.exception()):
+                    raise
+            finally:
+                q.stop()
+    return lake.read()
+
+
 def _stream_in_order(records: DataFrame, dest: str, stream: Callable[[], StreamingQuery]) -> None:
     """Land records in ``ORDERED_LANDINGS`` ranges of position, each in one job
     with as many files as it has tasks, and run the stream up to the end after
@@ -493,6 +534,37 @@ def audit_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "audit_log_id", "record_id", "operation", "new_data", "poll")
 
 
+def audit_capture_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same versions, each capture in a folder of its own and polled into a ledger of runs: a third of the last
+    capture's rows lie there from a run lost before its mark when it is polled, then it runs whole, and again."""
+    root = scratch_path(spark, "capture-once")
+    first, second = fx.order_versions(fx.table(spark, sf_dir, "orders"))
+    third = fx.order_third_version(second)
+    shape = {"db_name": fx.DB_NAME, "table_name": fx.ORDERS_TABLE, "captured_at": fx.captured_at()}
+    ledger = RunLedger(spark, f"{root}/ledger")
+
+    def lost_run() -> None:
+        part = capture_changes(second, third, "o_orderkey", version="v3", **shape).where(F.col("record_id").cast("long") % 3 == 0)
+        at = f"{root}/audit/{CAPTURE_COLUMN}={fx.DB_NAME}.{fx.ORDERS_TABLE}.v3"
+        part.write.parquet(at)
+        remove_path(spark, f"{at}/_SUCCESS")
+
+    def capture(old: DataFrame, new: DataFrame, version: str) -> None:
+        capture_job(old, new, "o_orderkey", f"{root}/audit", version=version, own_folder=True, **shape)
+
+    steps = (lambda: capture(first, second, "v2"), lost_run, lambda: capture(second, third, "v3"), lambda: capture(second, third, "v3"))
+    for poll, step in enumerate(steps):
+        step()
+
+        def send(batch: DataFrame, poll: int = poll) -> None:
+            batch.withColumn("poll", F.lit(poll)).write.mode("append").parquet(f"{root}/topic")
+
+        poll_audit_runs(read_audit_folder(spark, f"{root}/audit"), send, ledger, tick=poll)
+    sent = spark.read.parquet(f"{root}/topic").select("audit_log_id", "poll")
+    return read_audit_folder(spark, f"{root}/audit").join(sent, "audit_log_id", "left").select(
+        "audit_log_id", "record_id", "operation", "new_data", "poll")
+
+
 LEDGER_POLLS = 6
 
 
@@ -649,6 +721,7 @@ QUERIES: dict[str, Query] = {
     "row_event_filter": row_event_filter,
     "changelog_union": changelog_union,
     "dedup_redelivered": dedup_redelivered,
+    "dedup_ledger": dedup_ledger,
     "table_map_stream": table_map_stream_query,
     "synth_transactions": synth_transactions_query,
     "envelope_stream_lake": envelope_stream_lake,
@@ -659,6 +732,7 @@ QUERIES: dict[str, Query] = {
     "lake_sql_table": lake_sql_table,
     "audit_publish_many": audit_publish_many,
     "audit_versions": audit_versions,
+    "audit_capture_once": audit_capture_once,
     "audit_ledger_runs": audit_ledger_runs,
     "lake_snapshots": lake_snapshots,
     "net_change": net_change,

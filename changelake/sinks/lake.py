@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 LAKE_PARTITIONS = ("year", "month", "day")
 BATCH_COLUMN = "batch_id"
+CAPTURE_COLUMN = "capture_version"
 
 
 # Adaptive execution may merge small dates down to this size, so that a write of many small dates keeps its cores busy.
@@ -55,6 +57,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at))  # noqa: SLF001
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders of a folder (none where there is no folder)."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Remove a folder (nothing happens where there is none)."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
@@ -78,6 +87,21 @@ def append_audit(audit: DataFrame, path: str, by: Sequence[str] = (), id_col: st
     w.parquet(path)
 
 
+def append_capture(audit: DataFrame, path: str, version: str) -> bool:
+    """Write one capture's audit rows to the folder of its version; False if that version is complete already.
+
+    Nothing that is there is read: a complete folder carries the writer's mark, and one that a lost run left
+    without it is written anew.  Tables with and without such folders do not mix.
+    """
+    spark, at = audit.sparkSession, f"{path.rstrip('/')}/{CAPTURE_COLUMN}={quote(version, safe='')}"
+    if path_exists(spark, f"{at}/_SUCCESS"):
+        return False
+    if any(not name.startswith((f"{CAPTURE_COLUMN}=", "_", ".")) for name in child_names(spark, path)):
+        raise ValueError(f"{path} holds rows outside folders of a capture: append with append_audit")
+    audit.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(at)
+    return True
+
+
 def write_batch(good: DataFrame, bad: DataFrame, batch_id: int, lake: str, quarantine: str,
                 by: Sequence[str] = LAKE_PARTITIONS, max_records_per_file: int | None = None) -> None:
     """Write one micro-batch: ``good`` below its dates, ``bad`` to the quarantine.
