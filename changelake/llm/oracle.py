@@ -75,14 +75,16 @@ FROM counted
 """
 
 LINES = f"""
-WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-                  generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
+l AS (SELECT rid, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+             generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM d),
 k AS (SELECT *, translate(trim(line, {BLANKS}), '{UPPER}', '{LOWER}') AS key FROM l),
-f AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= {MIN_CHARS} GROUP BY key HAVING count(DISTINCT doc_id) >= {MIN_DOCS}),
-m AS (SELECT k.doc_id, i, line, coalesce(k.doc_id <> keeper, false) AS gone FROM k LEFT JOIN f USING (key))
-SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+f AS (SELECT key, max(doc_id) AS keeper, true AS repeated FROM k WHERE length(key) >= {MIN_CHARS}
+      GROUP BY key HAVING count(DISTINCT rid) >= {MIN_DOCS}),
+m AS (SELECT k.rid, k.doc_id, i, line, coalesce(repeated AND k.doc_id IS DISTINCT FROM keeper, false) AS gone FROM k LEFT JOIN f USING (key))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
-FROM m GROUP BY doc_id
+FROM m GROUP BY rid
 """
 
 VECTORS = """
