@@ -110,21 +110,30 @@ def twice_seen(hashes: DataFrame, n: int, twice_bits: int) -> tuple[int, int, Da
     twice = max(64, min(TWICE_BITS_PER_LINE * each, twice_bits // segments))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, Seen] = {}
+        # the rows come segment by segment: one pair of filters is held at a time
+        current, seen = -1, None
+
+        def made() -> pa.RecordBatch:
+            return pa.record_batch([pa.array([current]), pa.array([np.packbits(seen.twice).tobytes()], pa.binary())], ["segment", "bits"])
+
         for batch in batches:
             h = batch.column(0).to_numpy().view(np.uint64)
             known = batch.column(1).to_numpy(zero_copy_only=False)
             h, where, counts = np.unique(h, return_inverse=True, return_counts=True)
             repeated = (counts > 1) | (np.bincount(where, known, len(h)) > 0)
             segment = _segment(h, segments)
-            for s in np.unique(segment):
+            for s in sorted(map(int, np.unique(segment))):
+                if s != current:
+                    if seen is not None:
+                        yield made()
+                    current, seen = s, Seen(once, twice)
                 mine = segment == s
-                held.setdefault(int(s), Seen(once, twice)).add(h[mine], repeated[mine])
-        for s, seen in held.items():
-            yield pa.record_batch([pa.array([s]), pa.array([np.packbits(seen.twice).tobytes()], pa.binary())], ["segment", "bits"])
+                seen.add(h[mine], repeated[mine])
+        if seen is not None:
+            yield made()
 
     segment = F.expr(f"shiftrightunsigned(h, 40) % {segments}")
-    dealt = hashes.repartition(segment)
+    dealt = hashes.repartition(segment).sortWithinPartitions(segment)
     return segments, twice, map_arrow(dealt, run, "segment long, bits binary")
 
 
