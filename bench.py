@@ -2,13 +2,15 @@
 
 Each query is built and fully executed (``noop`` sink, every row and
 column computed); queries that write a lake or run a stream include that
-work.  Prints one JSON line.
+work.  A query's time is the median of $BENCH_REPEATS runs (3).  Prints
+one JSON line.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import time
 
@@ -43,6 +45,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
+    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     spark = get_session(
         f"local[{cpus}]",
         spark_sql_shuffle_partitions=os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, int(cpus) * 2))),
@@ -61,10 +64,13 @@ def main() -> None:
     times: dict[str, float | None] = {}
     errors: dict[str, str] = {}
     for name in names:
-        t0 = time.perf_counter()
+        runs = []
         try:
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            times[name] = round(time.perf_counter() - t0, 3)
+            for _ in range(repeats):
+                t0 = time.perf_counter()
+                QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                runs.append(time.perf_counter() - t0)
+            times[name] = round(statistics.median(runs), 3)
         except Exception as exc:  # noqa: BLE001 - keep the one-line report whole
             times[name] = None
             errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
@@ -76,6 +82,7 @@ def main() -> None:
         "queries": times,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": int(cpus),
+        "median_of": repeats,
         "warmed_on": warm_dir if os.path.isdir(warm_dir) else None,
         **({"errors": errors} if errors else {}),
     }))
