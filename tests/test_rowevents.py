@@ -173,3 +173,22 @@ def test_asof_null_key_or_position_gets_defaults(spark):
     assert got == {((1, None), ("unknown_db", "unknown_table")),
                    ((None, 5), ("unknown_db", "unknown_table")),
                    ((3, 5), ("d", "t"))}
+
+
+def test_table_map_static_looks_up_the_whole_map(spark, tmp_path):
+    """Every segment's tables are found, a user without one gets the defaults; the SQL gives the same."""
+    import duckdb
+
+    from changelake.plans.oracle import oracle_sql
+    from changelake.plans.queries import table_map_static
+
+    spark.createDataFrame([(1, 7), (2, 8), (3, 9), (4, None)], "event_id long, user_id long").write.parquet(f"{tmp_path}/events.parquet")
+    customers = [(7, "seven", "BUILDING"), (8, "eight", "MACHINERY")]
+    spark.createDataFrame(customers, "c_custkey long, c_name string, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    found = [(1, 7, "BUILDING", "seven"), (2, 8, "MACHINERY", "eight"), (3, 9, "unknown_db", "unknown_table"),
+             (4, None, "unknown_db", "unknown_table")]
+    assert sorted(tuple(r) for r in table_map_static(spark, str(tmp_path)).collect()) == found
+    con = duckdb.connect()
+    for t in ("customer", "events"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    assert sorted(con.execute(oracle_sql()["table_map_static"]).fetchall()) == found
