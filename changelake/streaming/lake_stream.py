@@ -57,6 +57,14 @@ def write_lake_stream(sdf: DataFrame, path: str, checkpoint: str,
     return w.start()
 
 
+def held_batch(batch: DataFrame) -> DataFrame:
+    """A backfill's batch of flagged rows, persisted; usable rows leave their raw message behind.
+
+    The source has as many splits as cores however large they are; a rebalance bounds what a task keeps and reads back."""
+    message = F.when(F.col("bad_reason").isNotNull(), F.col("message"))
+    return batch.withColumn("message", message).hint("rebalance").persist()
+
+
 def split_lake_stream(flagged: DataFrame, good: Callable[[DataFrame], DataFrame], bad: Callable[[DataFrame], DataFrame],
                       lake: str, quarantine: str, checkpoint: str, trigger: dict | None = None,
                       by: Sequence[str] = LAKE_PARTITIONS, day_spread: int | None = None,
@@ -65,7 +73,7 @@ def split_lake_stream(flagged: DataFrame, good: Callable[[DataFrame], DataFrame]
     parsed once, then ``good(rows)`` goes to the lake and ``bad(rows)`` to the quarantine,
     both keyed by batch id (:func:`changelake.sinks.lake.write_batch`)."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        batch = held_batch(batch) if day_spread else batch.persist()
         try:
             rows = good(batch)
             write_batch(cluster_by_day(rows, by, day_spread) if day_spread else rows, bad(batch), batch_id,

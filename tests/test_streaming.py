@@ -226,3 +226,20 @@ def test_table_map_state_is_pruned_and_late_maps_stop_the_stream(spark):
     assert [path_exists(spark, f"{root}/state/batch_id={i}") for i in range(3)] == [False, True, True]
     with pytest.raises(ValueError, match="position 4"):
         table_map_batch(batch((4, "TABLE_MAP", "c"), (7, "INSERT", None)), 3, f"{root}/out", f"{root}/state")
+
+
+def test_a_held_batch_is_cut_by_size_and_keeps_only_bad_messages(spark):
+    from changelake.streaming.lake_stream import held_batch
+
+    reason = F.when(F.col("id") % 10 == 0, F.lit("corrupt"))
+    one = spark.range(20000, numPartitions=1).select("id", F.sha2(F.col("id").cast("string"), 256).alias("message"), reason.alias("bad_reason"))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "128KB")
+    try:
+        held = held_batch(one)
+        assert held.count() == 20000 and held.rdd.getNumPartitions() > 3
+        assert held.where("(message is null) != (bad_reason is null)").isEmpty()
+        held.unpersist()
+    finally:
+        spark.conf.set(size, before)
