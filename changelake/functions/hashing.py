@@ -59,3 +59,16 @@ def hash_pk(db_type: ColumnOrName, db_name: ColumnOrName, table_name: ColumnOrNa
 def hash_record(new_data: ColumnOrName) -> Column:
     """Content key: hash of the new row image text; NULL for deletes."""
     return sha256_hex(new_data)
+
+
+def packed_id(col: Column) -> Column:
+    """A text id as bytes, half as long where it is a SHA-256 in lowercase hex; different ids stay different."""
+    text = col.cast("string")
+    return F.when(text.rlike("^[0-9a-f]{64}\\z"), F.concat(F.lit(bytearray([1])), F.unhex(text))).otherwise(
+        F.concat(F.lit(bytearray([0])), text.cast("binary")))
+
+
+def unpacked_id(col: Column) -> Column:
+    """The text of :func:`packed_id`."""
+    rest = F.substring(col, 2, 2147483647)
+    return F.when(F.substring(col, 1, 1) == F.lit(bytearray([1])), F.lower(F.hex(rest))).otherwise(rest.cast("string"))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changelake.functions.hashing import hash_id, hash_pk, hash_record
+from changelake.functions.hashing import hash_id, hash_pk, hash_record, packed_id, unpacked_id
 from changelake.functions.jsoncols import row_json
 from changelake.functions.timecols import date_text, epoch_millis, epoch_seconds
 
@@ -146,8 +146,17 @@ def pending(df: DataFrame, control: str = DEFAULT_CONTROL_COLUMN) -> DataFrame:
 
 
 def unpublished(audit: DataFrame, ledger: DataFrame, id_col: str = "audit_log_id") -> DataFrame:
-    """Audit rows whose id is not in the acknowledgement ledger (anti-join)."""
-    return audit.join(ledger.select(id_col), id_col, "left_anti")
+    """Audit rows whose id is not in the acknowledgement ledger (anti-join on packed ids, which both sides shuffle)."""
+    if not isinstance(audit.schema[id_col].dataType, T.StringType):
+        return audit.join(ledger.select(id_col), id_col, "left_anti")
+    known = ledger.select(packed_id(F.col(id_col)).alias(id_col))
+    left = audit.withColumn(id_col, packed_id(F.col(id_col))).join(known, id_col, "left_anti")
+    return left.withColumn(id_col, unpacked_id(F.col(id_col)))
+
+
+def publish_source(audit: DataFrame, ts_col: str = "timestamp") -> DataFrame:
+    """The columns of audit rows that :func:`publish_envelope` reads."""
+    return audit.select("audit_log_id", "db_name", "table_name", "record_id", "new_data", "operation", ts_col)
 
 
 def check_key(df: DataFrame, key: str | Sequence[str]) -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from changelake.operators.audit import unpublished
+
 LAKE_PARTITIONS = ("year", "month", "day")
 BATCH_COLUMN = "batch_id"
 CAPTURE_COLUMN = "capture_version"
@@ -80,8 +82,8 @@ def append_audit(audit: DataFrame, path: str, by: Sequence[str] = (), id_col: st
     spark = audit.sparkSession
     if path_exists(spark, path):
         known = spark.read.schema(audit.select(id_col).schema).parquet(path)
-        audit = audit.join(known, id_col, "left_anti").select(audit.columns)
-    w = audit.write.mode("append")
+        audit = unpublished(audit, known, id_col).select(audit.columns)
+    w = audit.write.mode("append").option("compression", "zstd")
     if by:
         w = w.partitionBy(*by)
     w.parquet(path)
@@ -98,7 +100,8 @@ def append_capture(audit: DataFrame, path: str, version: str) -> bool:
         return False
     if any(not name.startswith((f"{CAPTURE_COLUMN}=", "_", ".")) for name in child_names(spark, path)):
         raise ValueError(f"{path} holds rows outside folders of a capture: append with append_audit")
-    audit.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(at)
+    (audit.write.mode("overwrite").option("compression", "zstd")
+     .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(at))
     return True
 
 

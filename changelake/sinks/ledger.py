@@ -41,7 +41,7 @@ def publish_and_ack(batch: DataFrame, batch_id: int, sink: Callable[[DataFrame],
     """
     spark = batch.sparkSession
     outbox, part = outbox_part(ledger_path, batch_id), ledger_part(ledger_path, batch_id)
-    batch.write.mode("overwrite").parquet(outbox)
+    batch.write.mode("overwrite").option("compression", "zstd").parquet(outbox)
     copy = spark.read.schema(batch.schema).parquet(outbox)
     ids = copy.select(F.col(id_col).cast("string").alias(id_col))
     try:
@@ -53,7 +53,7 @@ def publish_and_ack(batch: DataFrame, batch_id: int, sink: Callable[[DataFrame],
         if not known.join(ids, id_col, "left_anti").isEmpty():
             raise ValueError(f"batch id {batch_id} was used for other ids: {part}")
     sink(copy)
-    ids.write.mode("overwrite").parquet(part)
+    ids.write.mode("overwrite").option("compression", "zstd").parquet(part)
 
 
 def read_ledger(spark: SparkSession, ledger_path: str, id_col: str = "audit_log_id") -> DataFrame:

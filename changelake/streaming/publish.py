@@ -15,15 +15,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from changelake.operators.audit import publish_envelope
+from changelake.operators.audit import publish_envelope, publish_source
 from changelake.sinks.ledger import publish_and_ack
 
 
 def publish_batch(batch: DataFrame, batch_id: int, send: Callable[[DataFrame], None],
                   ledger: str, db_type: str = "POSTGRESQL", tz: str = "UTC") -> None:
-    """Publish the rows of one batch and acknowledge them."""
-    records = publish_envelope(batch, db_type=db_type, tz=tz)
-    publish_and_ack(records, batch_id, send, ledger)
+    """Publish the rows of one batch and acknowledge them; messages are rendered from the outbox's copy of the rows."""
+    publish_and_ack(publish_source(batch), batch_id, lambda rows: send(publish_envelope(rows, db_type=db_type, tz=tz)), ledger)
 
 
 def publish_stream(audit: DataFrame, send: Callable[[DataFrame], None], ledger: str,
