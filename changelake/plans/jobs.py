@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from changelake.operators.audit import capture_changes, pending, publish_envelope, unpublished
+from changelake.operators.audit import capture_changes, pending, publish_envelope, publish_source, unpublished
 from changelake.operators.envelope import add_date_parts, bad_rows, flag_bad, good_rows
 from changelake.operators.rowevents import explode_rows, raw_stream_form, row_event_json
 from changelake.schemas import AUDIT, TRANSACTION_ALIASES, TRANSACTION_ROW
@@ -37,7 +37,7 @@ from changelake.sinks.snapshots import SnapshotLake
 from changelake.sources.files import read_row_events
 from changelake.sources.jdbc import read_audit
 from changelake.sources.kafka import read_topic, write_topic
-from changelake.streaming.lake_stream import DEFAULT_TRIGGER, split_lake_stream
+from changelake.streaming.lake_stream import DEFAULT_TRIGGER, held_batch, split_lake_stream
 from changelake.streaming.publish import publish_stream
 from changelake.streaming.table_map import table_map_stream
 
@@ -117,16 +117,15 @@ def poll_audit_once(audit: DataFrame, send: Callable[[DataFrame], None], ledger:
     (the ledger's next one when None; a used one is refused)."""
     spark = audit.sparkSession
     tick = next_batch_id(spark, ledger) if tick is None else tick
-    todo = unpublished(pending(audit), read_ledger(spark, ledger))
-    publish_and_ack(publish_envelope(todo, **kw), tick, send, ledger)
+    todo = unpublished(publish_source(pending(audit), kw.get("ts_col", "timestamp")), read_ledger(spark, ledger))
+    publish_and_ack(todo, tick, lambda rows: send(publish_envelope(rows, **kw)), ledger)
 
 
 def poll_audit_runs(audit: DataFrame, send: Callable[[DataFrame], None], ledger: RunLedger, tick: int | None = None, **kw) -> bool:
     """One poll as above with a ledger of sorted runs; False if nothing was pending or the tick was acknowledged before."""
     tick = ledger.next_batch() if tick is None else tick
-    todo = ledger.absent(pending(audit))
-    records = publish_envelope(todo, **kw)
-    return not records.isEmpty() and publish_once(records, tick, send, ledger)
+    todo = ledger.absent(publish_source(pending(audit), kw.get("ts_col", "timestamp")))
+    return publish_once(todo, tick, lambda rows: send(publish_envelope(rows, **kw)), ledger, skip_empty=True)
 
 
 def snapshot_lake_consumer(records: DataFrame, lake: SnapshotLake, quarantine: str, checkpoint: str,
@@ -137,7 +136,7 @@ def snapshot_lake_consumer(records: DataFrame, lake: SnapshotLake, quarantine: s
     flagged = flag_bad(records, row_schema, keep=keep, aliases=aliases)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        batch = held_batch(batch)
         try:
             write_quarantine(bad_rows(batch, keep), batch_id, quarantine)
             lake.append(add_date_parts(good_rows(batch, keep), "ts_ms", tz), batch_id)

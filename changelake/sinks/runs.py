@@ -9,7 +9,9 @@ but an unlisted folder.
 
 ``absent`` keeps the rows whose id no run holds.  The filters are asked
 first; only runs that some id may be in are opened, and of those, when few
-ids are asked, only the row groups whose range has one.
+ids are asked, only the row groups whose range has one.  When most of very
+many ids asked pass the filters, or neither the ids nor the filters can be
+sent to all tasks, the runs themselves are asked in one join.
 """
 
 from __future__ import annotations
@@ -20,8 +22,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changelake.operators.joins import checked_broadcast
+from changelake.functions.hashing import packed_id, unpacked_id
+from changelake.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast, measured_size
 from changelake.session import scratch_path
+from changelake.operators.audit import unpublished
 from changelake.sinks.lake import remove_path
 from changelake.sinks.ledger import outbox_part
 from changelake.sinks.manifest import ManifestConflict, ManifestLog, covered, joined
@@ -32,13 +36,18 @@ FANOUT = 4
 BITS_PER_ID = 16
 # At most so many asked ids become a pushed filter.
 MAX_PUSHED = 1000
+# Bytes of a filter's block in a broadcast.
+BLOCK_ROW_BYTES = 128
 IDS_SCHEMA = "run string, id string"
 BLOOM_SCHEMA = "run string, block long, " + ", ".join(f"w{i} long" for i in range(WORDS))
 
 
 def _bits() -> list[Column]:
     """The bit of an id in each word of its block."""
-    second = F.xxhash64(F.lit(1), F.col("id"))
+    return _bits_of(F.xxhash64(F.lit(1), F.col("id")))
+
+
+def _bits_of(second: Column) -> list[Column]:
     return [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(second, 6 * i).bitwiseAND(F.lit(63)).cast("int"))
             for i in range(WORDS)]
 
@@ -80,14 +89,18 @@ class RunLedger:
         """A run of ``ids(id)``, not yet listed."""
         run = f"l{level}-{uuid.uuid4().hex[:12]}"
         at = f"{self.path}/runs/{run}"
-        (ids.distinct().select(F.lit(run).alias("run"), "id").repartitionByRange("id").sortWithinPartitions("id").write.parquet(f"{at}/ids"))
+        # equal ids meet in one range: no further exchange tells them apart
+        ranged = ids.select(packed_id(F.col("id")).alias("id")).repartitionByRange("id").distinct()
+        (ranged.select(F.lit(run).alias("run"), unpacked_id(F.col("id")).alias("id")).sortWithinPartitions("id")
+         .write.option("compression", "zstd").parquet(f"{at}/ids"))
         entry = {"run": run, "level": level, "batches": joined(batches)}
         written = self._ids([entry])
         n, lo, hi = written.agg(F.count(F.lit(1)), F.min("id"), F.max("id")).first()
         entry |= {"n": n, "lo": lo, "hi": hi, "blocks": max(1, -(-n * self.bits_per_id // BLOCK_BITS))}
         block = F.pmod(F.xxhash64("id"), F.lit(entry["blocks"])).alias("block")
-        masks = written.select(block, *[bit.alias(f"w{i}") for i, bit in enumerate(_bits())])
-        blocks = masks.groupBy("block").agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(WORDS)])
+        # two numbers an id are dealt, the words of a block are built where they meet
+        hashes = written.select(block, F.xxhash64(F.lit(1), F.col("id")).alias("second")).repartition("block")
+        blocks = hashes.groupBy("block").agg(*[F.bit_or(bit).alias(f"w{i}") for i, bit in enumerate(_bits_of(F.col("second")))])
         blocks.select(F.lit(run).alias("run"), "*").write.parquet(f"{at}/bloom")
         return entry
 
@@ -161,18 +174,39 @@ class RunLedger:
         asked = (ids.select("id", F.explode(held).alias("r")).where("id between r.lo and r.hi")
                  .select("id", "r.run", F.pmod(F.xxhash64("id"), F.col("r.blocks")).alias("block")))
         blooms = self.spark.read.schema(BLOOM_SCHEMA).parquet(*[f"{self.path}/runs/{r['run']}/bloom" for r in runs])
-        # few asked ids travel to the filters, not the filters to them
-        met = blooms.join(checked_broadcast(asked), ["run", "block"])
+        if self._filters_fit(runs):
+            met = asked.join(F.broadcast(blooms), ["run", "block"])
+        else:  # few asked ids travel to the filters, not the filters to them
+            met = blooms.join(checked_broadcast(asked), ["run", "block"])
         for i, bit in enumerate(_bits()):
             met = met.where(F.col(f"w{i}").bitwiseAND(bit) != 0)
         return met.select("run", "id")
 
+    @staticmethod
+    def _filters_fit(runs: list[dict]) -> bool:
+        """Whether the filters of the runs can be sent to all tasks."""
+        blocks = sum(r["blocks"] for r in runs)
+        return blocks <= DEFAULT_MAX_BROADCAST_ROWS and blocks * BLOCK_ROW_BYTES <= DEFAULT_MAX_BROADCAST_BYTES
+
+    def _ask_runs(self, ids: DataFrame, runs: list[dict]) -> bool:
+        """Whether so many ``ids(id)`` are asked, and so many of them pass the filters, that the runs are asked at once."""
+        n, size = measured_size(ids)
+        if n <= DEFAULT_MAX_BROADCAST_ROWS and size <= DEFAULT_MAX_BROADCAST_BYTES:
+            return False
+        return not self._filters_fit(runs) or 4 * self._maybe(ids, runs).count() > n
+
     def seen(self, df: DataFrame) -> DataFrame:
         """``(id)`` of the rows of ``df`` that a run holds (each once)."""
         runs = [r for r in self.runs() if r["n"]]
-        ids = df.select(F.col(self.id_col).cast("string").alias("id")).where("id is not null").distinct()
+        ids = df.select(F.col(self.id_col).cast("string").alias("id")).where("id is not null")
         if not runs:
             return ids.limit(0).select(F.col("id").alias(self.id_col))
+        if self._ask_runs(ids, runs):
+            self.opened = sorted(r["run"] for r in runs)
+            return self._ids(runs).select("id").distinct().join(ids, "id", "left_semi").select(F.col("id").alias(self.id_col))
+        return self._seen_by_filters(ids.distinct(), runs)
+
+    def _seen_by_filters(self, ids: DataFrame, runs: list[dict]) -> DataFrame:
         path = scratch_path(self.spark, "ledger-maybe")
         self._maybe(ids, runs).write.parquet(path)
         maybe = self.spark.read.schema(IDS_SCHEMA).parquet(path)
@@ -187,14 +221,21 @@ class RunLedger:
 
     def absent(self, df: DataFrame) -> DataFrame:
         """The rows of ``df`` whose id no run holds (a NULL id never is)."""
-        if not any(r["n"] for r in self.runs()):
+        runs = [r for r in self.runs() if r["n"]]
+        if not runs:
             return df
-        gone = self.seen(df).withColumnRenamed(self.id_col, "_seen")
+        ids = df.select(F.col(self.id_col).cast("string").alias("id")).where("id is not null")
+        if self._ask_runs(ids, runs):
+            self.opened = sorted(r["run"] for r in runs)
+            return unpublished(df, self.ids(runs), self.id_col).select(df.columns)
+        gone = self._seen_by_filters(ids.distinct(), runs).withColumnRenamed(self.id_col, "_seen")
         return df.join(gone, F.col(self.id_col).cast("string") == F.col("_seen"), "left_anti")
 
 
-def publish_once(batch: DataFrame, batch_id: int, sink: Callable[[DataFrame], None], ledger: RunLedger) -> bool:
-    """Send a batch, acknowledge its ids, clear its outbox.  False if it was acknowledged already (nothing is sent).
+def publish_once(batch: DataFrame, batch_id: int, sink: Callable[[DataFrame], None], ledger: RunLedger,
+                 skip_empty: bool = False) -> bool:
+    """Send a batch, acknowledge its ids, clear its outbox.  False if it was acknowledged already (nothing is sent), or,
+    with ``skip_empty``, has no rows (its number stays free).
 
     What is sent and what is acknowledged come from one written copy.  A crash
     between the two sends the batch again: at least once."""
@@ -202,8 +243,11 @@ def publish_once(batch: DataFrame, batch_id: int, sink: Callable[[DataFrame], No
     if covered(ledger.batches(), batch_id):
         return ledger.append(batch, batch_id)
     outbox = outbox_part(ledger.path, batch_id)
-    batch.write.mode("overwrite").parquet(outbox)
+    batch.write.mode("overwrite").option("compression", "zstd").parquet(outbox)
     copy = spark.read.schema(batch.schema).parquet(outbox)
+    if skip_empty and copy.isEmpty():
+        remove_path(spark, outbox)
+        return False
     sink(copy)
     ledger.append(copy, batch_id)
     remove_path(spark, outbox)

@@ -110,3 +110,45 @@ def test_manifest_conflict_and_retention(spark, tmp_path):
         log.commit(3, {"k": "late"})
     assert log.latest() == (4, {"k": 3})
     assert joined([[5, 6], [1, 2], [3, 3], [9, 9]]) == [[1, 3], [5, 6], [9, 9]]
+
+
+def test_many_asked_ids_are_told_in_one_join(spark, ledger, monkeypatch):
+    """The rows are shuffled once, the runs' ids once; ids of any form, and rows without one, are kept as they are."""
+    from changelake.sinks import runs as module
+
+    monkeypatch.setattr(module, "DEFAULT_MAX_BROADCAST_ROWS", 10, raising=False)
+    odd = ["", "x", "A" * 64, "a" * 64, "a" * 64 + "\n", "é"]
+    known = ids(spark, 0, 100).unionByName(spark.createDataFrame([(x,) for x in odd[:4]], "audit_log_id string"))
+    ledger.append(known, 0)
+    asked = ids(spark, 50, 120).unionByName(spark.createDataFrame([(x,) for x in [*odd, None, None]], "audit_log_id string"))
+    asked = asked.select(F.lit(1).alias("v"), "audit_log_id").repartition(2)
+    left = ledger.absent(asked)
+    assert left._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2  # noqa: SLF001
+    want = [(1, r[0]) for r in ids(spark, 100, 120).collect()] + [(1, x) for x in odd[4:]] + [(1, None)] * 2
+    assert sorted(map(str, map(tuple, left.collect()))) == sorted(map(str, want))
+    assert sorted(r[0] for r in ledger.seen(asked).distinct().collect()) == sorted([r[0] for r in ids(spark, 50, 100).collect()] + odd[:4])
+
+
+def test_the_outbox_of_a_poll_holds_rows_not_messages(spark, tmp_path):
+    """Messages are rendered from the written rows; a poll without rows takes no number."""
+    from changelake.operators.audit import capture_changes
+    from changelake.plans.jobs import poll_audit_once, poll_audit_runs
+
+    old = spark.range(0).select("id", F.lit("x").alias("v"))
+    new = spark.range(5).select("id", F.lit("x").alias("v"))
+    audit = capture_changes(old, new, "id", version="v1")
+    ledger, plain = RunLedger(spark, str(tmp_path / "l")), str(tmp_path / "p")
+
+    def broken(df):
+        raise OSError("no topic")
+
+    for poll, path in ((lambda send: poll_audit_runs(audit, send, ledger), ledger.path), (lambda send: poll_audit_once(audit, send, plain), plain)):
+        with pytest.raises(OSError):
+            poll(broken)
+        kept = spark.read.parquet(outbox_part(path, 0))
+        assert kept.count() == 5 and "new_data" in kept.columns and not {"value", "topic", "old_data"} & set(kept.columns)
+        sent = []
+        poll(lambda df: sent.extend(r["key"] for r in df.collect()))
+        assert sorted(sent) == ["0", "1", "2", "3", "4"]
+    assert poll_audit_runs(audit, broken, ledger) is False and ledger.next_batch() == 1
+    assert not path_exists(spark, outbox_part(ledger.path, 1))
