@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from changelake.functions.hashing import packed_id, unpacked_id
 from changelake.functions.jsoncols import json_field
 from changelake.operators import changelog as cl
 from changelake.operators.audit import capture_changes, check_key, pending, publish_envelope, publish_records, unpublished
@@ -438,7 +439,7 @@ def lake_and_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     way, landed in two lots with a restart between; lake and quarantine read back together."""
     msgs = fx.order_messages(fx.table(spark, sf_dir, "orders"))
     root = scratch_path(spark, "lake-quarantine")
-    msgs.withColumn("_lot", F.pmod(F.xxhash64("key"), F.lit(2))).write.partitionBy("_lot").parquet(f"{root}/sent")
+    msgs.withColumn("_lot", F.pmod(F.xxhash64("key"), F.lit(2))).hint("rebalance", "_lot").write.partitionBy("_lot").parquet(f"{root}/sent")
     for lot in (0, 1):
         spark.read.parquet(f"{root}/sent").where(F.col("_lot") == lot).drop("_lot").write.mode("append").parquet(f"{root}/in")
         src = spark.readStream.schema(msgs.schema).parquet(f"{root}/in")
@@ -456,7 +457,7 @@ def quarantine_redrive(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions known then, the second time over a run lost before it was closed; lake and quarantine read back together."""
     msgs = fx.order_messages_by_version(fx.table(spark, sf_dir, "orders"))
     root = scratch_path(spark, "quarantine-redrive")
-    msgs.withColumn("_lot", F.pmod(F.xxhash64("key"), F.lit(2))).write.partitionBy("_lot").parquet(f"{root}/sent")
+    msgs.withColumn("_lot", F.pmod(F.xxhash64("key"), F.lit(2))).hint("rebalance", "_lot").write.partitionBy("_lot").parquet(f"{root}/sent")
     redrive = Redrive(spark, f"{root}/lake", f"{root}/lake_quarantine", f"{root}/redrive")
 
     def lost() -> None:
@@ -513,6 +514,13 @@ def audit_publish_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/topic")
 
 
+def _with_poll(audit: DataFrame, topic: DataFrame) -> DataFrame:
+    """Audit rows with the poll that sent them, joined on packed ids."""
+    key = packed_id(F.col("audit_log_id")).alias("_key")
+    rows = audit.select(key, "record_id", "operation", "new_data").join(topic.select(key, "poll"), "_key", "left")
+    return rows.select(unpacked_id(F.col("_key")).alias("audit_log_id"), "record_id", "operation", "new_data", "poll")
+
+
 def audit_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three successive versions of the orders captured into one audit table, the
     second capture run twice, and polls that publish after each run: every
@@ -525,12 +533,10 @@ def audit_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
                     captured_at=fx.captured_at(), version=version)
 
         def send(batch: DataFrame, poll: int = poll) -> None:
-            batch.withColumn("poll", F.lit(poll)).write.mode("append").parquet(f"{root}/topic")
+            batch.withColumn("poll", F.lit(poll)).write.mode("append").option("compression", "zstd").parquet(f"{root}/topic")
 
         poll_audit_once(spark.read.parquet(f"{root}/audit"), send, f"{root}/ledger")
-    sent = spark.read.parquet(f"{root}/topic").select("audit_log_id", "poll")
-    return spark.read.parquet(f"{root}/audit").join(sent, "audit_log_id", "left").select(
-        "audit_log_id", "record_id", "operation", "new_data", "poll")
+    return _with_poll(spark.read.parquet(f"{root}/audit"), spark.read.parquet(f"{root}/topic"))
 
 
 def audit_capture_once(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -556,12 +562,10 @@ def audit_capture_once(spark: SparkSession, sf_dir: str) -> DataFrame:
         step()
 
         def send(batch: DataFrame, poll: int = poll) -> None:
-            batch.withColumn("poll", F.lit(poll)).write.mode("append").parquet(f"{root}/topic")
+            batch.withColumn("poll", F.lit(poll)).write.mode("append").option("compression", "zstd").parquet(f"{root}/topic")
 
         poll_audit_runs(read_audit_folder(spark, f"{root}/audit"), send, ledger, tick=poll)
-    sent = spark.read.parquet(f"{root}/topic").select("audit_log_id", "poll")
-    return read_audit_folder(spark, f"{root}/audit").join(sent, "audit_log_id", "left").select(
-        "audit_log_id", "record_id", "operation", "new_data", "poll")
+    return _with_poll(read_audit_folder(spark, f"{root}/audit"), spark.read.parquet(f"{root}/topic"))
 
 
 LEDGER_POLLS = 6
@@ -581,7 +585,7 @@ def audit_ledger_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     for poll in range(LEDGER_POLLS):
         def send(batch: DataFrame, poll: int = poll) -> None:
-            batch.withColumn("poll", F.lit(poll)).write.mode("append").parquet(f"{root}/topic")
+            batch.withColumn("poll", F.lit(poll)).write.mode("append").option("compression", "zstd").parquet(f"{root}/topic")
 
         so_far = audit.where(F.col("record_id").cast("long") % LEDGER_POLLS <= poll)
         poll_audit_runs(so_far, send, ledger, tick=poll)
@@ -594,8 +598,9 @@ def audit_ledger_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
                 ledger.merge(lost)
             except OSError:
                 ledger.vacuum()
-    sent = spark.read.parquet(f"{root}/topic").select("audit_log_id", "key", "poll")
-    return sent.join(ledger.ids(), "audit_log_id")
+    held = packed_id(F.col("audit_log_id")).alias("_key")
+    sent = spark.read.parquet(f"{root}/topic").select(held, "key", "poll").join(ledger.ids().select(held), "_key")
+    return sent.select(unpacked_id(F.col("_key")).alias("audit_log_id"), "key", "poll")
 
 
 def lake_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -603,7 +608,7 @@ def lake_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     of them lost before its commit; a two-month range of ``ts_ms`` read back through the zone maps."""
     msgs = fx.order_messages(fx.table(spark, sf_dir, "orders"))
     root = scratch_path(spark, "lake-snapshots")
-    msgs.withColumn("_lot", F.pmod(F.xxhash64("key"), F.lit(3))).write.partitionBy("_lot").parquet(f"{root}/sent")
+    msgs.withColumn("_lot", F.pmod(F.xxhash64("key"), F.lit(3))).hint("rebalance", "_lot").write.partitionBy("_lot").parquet(f"{root}/sent")
     rows = decode_envelope(msgs, fx.ORDER_ENVELOPE_ROW, keep=("key",))
     lake = SnapshotLake(spark, f"{root}/lake", add_date_parts(rows, "ts_ms").schema, zones=("ts_ms",))
 
