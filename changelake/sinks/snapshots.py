@@ -11,7 +11,8 @@ and the batches they hold; its number is the snapshot.
   ranges are opened, and no data folder is listed.  A reader that holds a
   snapshot number keeps its view while the snapshot is kept.
 * ``compact`` rewrites files below ``small_bytes`` (half the target size) to files of about
-  the target size, sorted by date and zone column; the swap is one commit,
+  the target size, or of ``target_rows`` rows where those are smaller (a task sorts the rows
+  of its file), sorted by date and zone column; the swap is one commit,
   so a crash before it changes nothing.
 * ``vacuum`` removes what no kept snapshot names.
 """
@@ -34,6 +35,7 @@ from changelake.sinks.manifest import ManifestConflict, ManifestLog, covered, jo
 from changelake.sources.files import _as_date
 
 TARGET_BYTES = 256 << 20
+TARGET_ROWS = 1 << 20
 DATE = "_date"
 # Lists are written to one when there are so many.
 MAX_LISTS = 32
@@ -54,9 +56,10 @@ class SnapshotLake:
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, zones: Sequence[str] = (),
                  by: Sequence[str] = LAKE_PARTITIONS, target_bytes: int = TARGET_BYTES, small_bytes: int | None = None,
-                 keep: int = 5):
+                 keep: int = 5, target_rows: int = TARGET_ROWS):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self.by, self.zones, self.target_bytes = tuple(by), tuple(zones), target_bytes
+        self.target_rows = target_rows
         self.small_bytes = target_bytes // 2 if small_bytes is None else small_bytes
         self.log = ManifestLog(spark, f"{self.path}/snapshots", keep)
         kinds = {DATE: T.LongType(), **{z: schema[z].dataType for z in self.zones}}
@@ -130,13 +133,13 @@ class SnapshotLake:
 
         ``before_commit`` runs between the writing of files and the swap (for tests of a crash there)."""
         start = self._doc(None)["lists"]
-        small = self._listed(start).where(F.col("bytes") < self.small_bytes)
-        n, size = small.agg(F.count(F.lit(1)), F.sum("bytes")).first()
+        small = self._listed(start).where((F.col("bytes") < self.small_bytes) & (F.col("rows") < self.target_rows // 2))
+        n, size, n_rows = small.agg(F.count(F.lit(1)), F.sum("bytes"), F.sum("rows")).first()
         if n < 2:
             return 0
         names = [r["file"] for r in small.select("file").collect()]  # one name a small file
         # sorted runs of about the target size: neighbouring dates share a file, a hot date has several
-        parts = max(1, -(-size // self.target_bytes))
+        parts = max(1, -(-size // self.target_bytes), -(-n_rows // self.target_rows))
         order = [*self.by, *self.zones[:1]]
         rows = self._open(names).repartitionByRange(parts, *order).sortWithinPartitions(*order)
         added = self._list(self._write(rows, f"c-{uuid.uuid4().hex[:12]}"))

@@ -134,3 +134,17 @@ def test_two_writers_of_one_batch(spark, lake, monkeypatch):
     with pytest.raises(ManifestConflict):
         lake.append(batch(spark, 0, 5), 0)
     assert lake.read().count() == 5
+
+
+def test_compaction_bounds_the_rows_a_task_sorts(spark, tmp_path):
+    lake = SnapshotLake(spark, str(tmp_path / "lake"), batch(spark, 0).schema, zones=("ts", "v"), target_rows=1000)
+    for k in range(5):
+        lake.append(batch(spark, k), k)
+    assert lake.compact() > 1
+    sizes = [r["rows"] for r in lake.files().collect()]
+    assert len(sizes) >= 2 and max(sizes) <= 1500 and sum(sizes) == 2000
+    assert content(lake.read()) == whole(spark, 5)
+    full = {r["file"] for r in lake.files().where("rows >= 500").collect()}
+    lake.append(batch(spark, 5, 30), 5)
+    lake.compact()
+    assert full <= {r["file"] for r in lake.files().collect()}
