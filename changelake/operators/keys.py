@@ -4,22 +4,31 @@ The sets are searched by size.  A set is left out if it has a column with
 NULLs or holds a smaller key; if the distinct counts of its parts cannot
 multiply to the number of rows; or if a distinct-count sketch of it lies
 ``SIGMAS`` standard errors below that number (many sketches share one scan).
-What is left is confirmed exactly by a grouped count, which partial
-aggregation starts in the tasks.  Only numbers reach the driver.
+Most of what is left has repeated rows: one scan for all sets compares the
+rows of a slice of each set's values, and a pair found there disproves the
+set.  The rest is confirmed exactly on the whole table by a grouped count,
+which partial aggregation starts in the tasks, or, where sets share a part
+with few repeated rows, on all of these rows.  Only numbers reach the driver.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from changelake.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast
+from changelake.session import scratch_path
+
 LG_K = 14  # a sketch has 2^14 slots, 16 KB at most
 RSD = 0.01  # above its standard error
 SIGMAS = 10
 SKETCHES_AT_ONCE = 48
+SLICE_ROWS = 1 << 18  # rows of a set's slice, about
+SETS_AT_ONCE = 64
 
 
 def _sketches(df: DataFrame, sets: Sequence[tuple[str, ...]]) -> dict[tuple[str, ...], int]:
@@ -39,6 +48,49 @@ def is_unique(df: DataFrame, columns: Sequence[str]) -> bool:
     return counted.where("_n > 1").limit(1).isEmpty()
 
 
+def _repeated_in_slice(df: DataFrame, sets: Sequence[tuple[str, ...]], slices: int) -> dict[tuple[str, ...], int]:
+    """For each set that two rows of a slice of its values agree on: about how many rows agree with another.
+
+    One scan serves all sets.  A slice holds every row of the values in it, and rows are compared by their columns, so a
+    set that is named is no key; of one that is not named nothing is known unless there is one slice."""
+    columns = list(dict.fromkeys(c for s in sets for c in s))
+    hashes = [F.struct(F.lit(i).alias("s"), F.xxhash64(*[F.col(f"`{c}`") for c in s]).alias("h")) for i, s in enumerate(sets)]
+    plain = df.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(columns)], F.explode(F.array(*hashes)).alias("_x"))
+    part = plain.where(F.pmod(F.col("_x.h"), F.lit(slices)) == 0)
+    own = [F.when(F.col("_x.s").isin([i for i, s in enumerate(sets) if c in s]), F.col(f"c{k}")).alias(f"c{k}") for k, c in enumerate(columns)]
+    counted = part.select(F.col("_x.s").alias("s"), *own).groupBy("s", *[f"c{k}" for k in range(len(columns))]).agg(F.count(F.lit(1)).alias("n"))
+    found = counted.where("n > 1").groupBy("s").agg(F.sum("n").alias("n")).collect()
+    return {sets[r["s"]]: r["n"] * slices for r in found}
+
+
+def _repeats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows of ``df`` that agree with another one on the columns, written once."""
+    spark, names = df.sparkSession, [F.col(f"`{c}`") for c in columns]
+    at = scratch_path(spark, "key-repeats")
+    plain = df.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(df.columns)])
+    values = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*[c.alias(f"c{df.columns.index(x)}") for c, x in zip(names, columns)])
+    values.write.parquet(f"{at}/values")
+    values = spark.read.schema(values.schema).parquet(f"{at}/values")
+    plain.join(checked_broadcast(values), values.columns, "left_semi").select(*plain.columns).write.parquet(f"{at}/rows")
+    return spark.read.schema(plain.schema).parquet(f"{at}/rows").toDF(*df.columns)
+
+
+def _confirmed(df: DataFrame, sets: Sequence[tuple[str, ...]], repeated: dict[tuple[str, ...], int]) -> set[tuple[str, ...]]:
+    """Those of ``sets`` that no two rows of the table agree on.
+
+    Rows that agree on a set agree on its parts: sets that share a part with few repeated rows are told by these rows alone."""
+    unique, left = set(), list(sets)
+    while left:
+        parts = Counter(p for s in left for i in range(len(s)) if (p := s[:i] + s[i + 1:]) in repeated and repeated[p] <= DEFAULT_MAX_BROADCAST_ROWS)
+        part, n = parts.most_common(1)[0] if parts else ((), 0)
+        if n < 2:
+            return unique | {s for s in left if is_unique(df, s)}
+        rows, held = _repeats(df, part), [s for s in left if set(part) <= set(s)]
+        unique |= {s for s in held if is_unique(rows, s)}
+        left = [s for s in left if s not in held]
+    return unique
+
+
 def discover_keys(df: DataFrame, max_columns: int = 3, columns: Sequence[str] | None = None) -> list[tuple[str, ...]]:
     """The minimal keys of up to ``max_columns`` of ``columns`` (all when None), smaller ones first, columns in the table's order.
 
@@ -51,8 +103,11 @@ def discover_keys(df: DataFrame, max_columns: int = 3, columns: Sequence[str] |
     usable = [c for i, c in enumerate(names) if first[f"c{i}"] == n]
     if not n or not usable:
         return []
+    df = df.select(*[F.col(f"`{c}`") for c in usable])
     low, high = n * (1 - SIGMAS * RSD), 1 + SIGMAS * RSD
+    slices = max(1, n // SLICE_ROWS)
     about: dict[tuple[str, ...], float] = {}
+    repeated: dict[tuple[str, ...], int] = {}
     keys: list[tuple[str, ...]] = []
     for size in range(1, max_columns + 1):
         sets = []
@@ -64,8 +119,18 @@ def discover_keys(df: DataFrame, max_columns: int = 3, columns: Sequence[str] |
                 about[s] = min(about[s[:i] + s[i + 1:]] * about[(s[i],)] * high * high for i in range(size))
                 continue
             sets.append(s)
-        about |= _sketches(df, sets)
-        keys += [s for s in sets if about[s] >= low and is_unique(df, s)]
+        # a set with nearly as many values as rows leaves no doubt about one that holds it
+        near = [s for s in sets if any(about.get(s[:i] + s[i + 1:], 0) >= low for i in range(size))] if size > 1 else []
+        about |= dict.fromkeys(near, n) | _sketches(df, [s for s in sets if s not in set(near)])
+        left = [s for s in sets if about[s] >= low]
+        for at in range(0, len(left), SETS_AT_ONCE):
+            repeated |= _repeated_in_slice(df, left[at:at + SETS_AT_ONCE], slices)
+        left = [s for s in left if s not in repeated]
+        # one slice is the whole table
+        unique = set(left) if slices == 1 else _confirmed(df, left, repeated)
+        keys += [s for s in left if s in unique]
+        # what no slice showed is rare
+        repeated |= {s: slices for s in left if s not in unique}
     return keys
 
 

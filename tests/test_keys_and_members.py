@@ -72,3 +72,26 @@ def test_several_key_columns_and_no_eager_job(spark):
     with pytest.raises(ValueError):
         member_index_join(left, right, "k", "e", "xs", "outer")
     assert member_index_join(left.limit(0), right, ["k", "j"], "e", "xs").collect() == []
+
+
+def test_near_keys_need_few_passes_over_the_table(spark, monkeypatch):
+    """Sets with nearly as many values as rows are told by a slice of their values or by the few rows a part repeats."""
+    from changelake.operators import keys as module
+
+    rnd = random.Random(5)
+    rows = [(i // 4, i % 4, rnd.randrange(3000), rnd.randrange(2500), rnd.randrange(2000), rnd.randrange(50)) for i in range(4000)]
+    names = list("olpedq")
+    df = spark.createDataFrame(rows, "o int, l int, p int, e int, d int, q int").repartition(3)
+    whole = []
+
+    def counted(frame, columns):
+        n = frame.count()
+        whole.append(tuple(columns)) if n == len(rows) else None
+        return is_unique(frame, columns)
+
+    monkeypatch.setattr(module, "SLICE_ROWS", 500, raising=False)
+    monkeypatch.setattr(module, "is_unique", counted)
+    want = brute_keys(rows, names, 3)
+    assert ("o", "l") in want and len(want) > 3
+    assert discover_keys(df) == want
+    assert len([s for s in whole if len(s) == 3]) <= 2
