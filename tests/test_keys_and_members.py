@@ -95,3 +95,55 @@ def test_near_keys_need_few_passes_over_the_table(spark, monkeypatch):
     assert ("o", "l") in want and len(want) > 3
     assert discover_keys(df) == want
     assert len([s for s in whole if len(s) == 3]) <= 2
+
+
+def test_answers_do_not_depend_on_a_hash(spark, monkeypatch):
+    """Whatever the hashes are, sets are told apart by their values, on slices and on the whole table."""
+    from changelake.operators import keys as module
+
+    whole = F.xxhash64
+    rnd = random.Random(7)
+    rows = [(i // 4, f"s{i % 4}", rnd.randrange(3000), rnd.randrange(2500) / 7, rnd.randrange(3), None if i == 9 else i) for i in range(4000)]
+    rows[50] = rows[50][:2] + rows[53][2:4] + rows[50][4:]
+    names = list("olpeqn")
+    df = spark.createDataFrame(rows, "o int, l string, p int, e double, q int, n int").repartition(3)
+    want = brute_keys(rows, names, 3)
+    assert ("o", "l") in want and len(want) > 3
+    monkeypatch.setattr(module, "SLICE_ROWS", 300)
+    assert discover_keys(df) == want
+    monkeypatch.setattr(module.F, "xxhash64", lambda *c: F.pmod(whole(*c), F.lit(60)))
+    assert discover_keys(df) == want
+
+
+def test_many_sets_need_few_scans_of_the_table(spark, monkeypatch):
+    """The sets are met on slices; the whole table is read a few times, however many sets there are."""
+    from changelake.operators import keys as module
+
+    rnd = random.Random(11)
+    rows = [(i // 4, i % 4, *(rnd.randrange(m) for m in (3000, 2500, 2000, 1500, 900, 50, 11, 3))) for i in range(3000)]
+    names = list("olpedsxqtr")
+    read = spark.sparkContext.accumulator(0)
+
+    def noted(x):
+        read.add(1)
+        return x
+
+    df = spark.createDataFrame(rows, ", ".join(f"{c} int" for c in names)).repartition(3)
+    df = df.withColumn("o", F.udf(noted, "int").asNondeterministic()("o"))
+    monkeypatch.setattr(module, "SLICE_ROWS", 300)
+    assert discover_keys(df) == brute_keys(rows, names, 3)
+    assert read.value <= 8 * len(rows)
+    read.value = 0
+    # repeated rows show in the slices
+    assert discover_keys(df.union(df)) == []
+    assert read.value <= 3 * 2 * len(rows)
+
+
+def test_strings_of_a_collation_are_compared_by_it(spark, monkeypatch):
+    from changelake.operators import keys as module
+
+    df = spark.range(2000).select(F.concat(F.lit("a"), F.col("id")).alias("x"), (F.col("id") % 40).alias("y"))
+    twice = df.union(df.limit(1).select(F.upper("x"), F.col("y") + 40))
+    monkeypatch.setattr(module, "SLICE_ROWS", 300)
+    assert discover_keys(twice) == [("x",)]
+    assert discover_keys(twice.select(F.expr("collate(x, 'UTF8_LCASE')").alias("x"), "y")) == [("x", "y")]
