@@ -30,7 +30,7 @@ FINE = 32  # a fine slice is so many times smaller
 UNEVEN = 4  # a slice so many times larger, of a column with few values or a frequent one, is not used
 SETS_AT_ONCE = 256
 WHOLE_SETS_AT_ONCE = 8  # in one scan of the whole table
-TASK_ROWS = 1 << 19  # hashes in a task, about
+TASK_ROWS = 1 << 19  # hashes of a task, about
 ANY = -1  # the slice of every so many-th row, for all sets
 
 Set = tuple[int, ...]  # the numbers of its columns; column k is called c<k>
@@ -61,9 +61,11 @@ def _hashed(df: DataFrame, sets: Sequence[Set]) -> DataFrame:
     return every.withColumn("h", F.xxhash64(*[F.get("hashes", F.get("set", F.lit(i))) for i in range(max(map(len, sets)))]))
 
 
-def _in_slices(slices: DataFrame, sets: Sequence[Set]) -> DataFrame:
-    """As ``_hashed``, with the rows of the slices of the set's columns."""
-    return _hashed(slices, sets).where(F.arrays_overlap("set", "hit"))
+def _in_slices(slices: DataFrame, sets: Sequence[Set], rows: int) -> DataFrame:
+    """As ``_hashed``, with the rows of the slices of the set's columns, about ``rows`` for a set."""
+    # the slices are small and in few files, but every row stands for many sets
+    tasks = max(default_parallelism(slices.sparkSession), len(sets) * rows // TASK_ROWS)
+    return _hashed(slices.repartition(tasks), sets).where(F.arrays_overlap("set", "hit"))
 
 
 def _twice(hashed: DataFrame) -> DataFrame:
@@ -80,12 +82,12 @@ def _agreed(hashed: DataFrame, hashes: DataFrame, held: Sequence[Sequence[Set]])
     return {held[r["s"]][r["t"]] for r in counted.where("n > 1").select("s", "t").distinct().collect()}
 
 
-def _disproved(slices: DataFrame, sets: Sequence[Set]) -> set[Set]:
+def _disproved(slices: DataFrame, sets: Sequence[Set], rows: int) -> set[Set]:
     """Those of ``sets`` that two rows of the slices agree on."""
     out: set[Set] = set()
     for at in range(0, len(sets), SETS_AT_ONCE):
         part = sets[at:at + SETS_AT_ONCE]
-        hashed = _in_slices(slices, part)
+        hashed = _in_slices(slices, part, rows)
         # two hashes of a set will do
         some = _twice(hashed).groupBy("s").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).collect()
         if some:
@@ -94,12 +96,12 @@ def _disproved(slices: DataFrame, sets: Sequence[Set]) -> set[Set]:
     return out
 
 
-def _rare(slices: DataFrame, sets: Sequence[Set], sliced: Sequence[int], times: int) -> set[Set]:
+def _rare(slices: DataFrame, sets: Sequence[Set], rows: int, sliced: Sequence[int], times: int) -> set[Set]:
     """Those of ``sets`` that few rows of the whole table seem to agree on."""
     sets, out = [s for s in sets if set(s) & set(sliced)], set()
     for at in range(0, len(sets), SETS_AT_ONCE):
         part = sets[at:at + SETS_AT_ONCE]
-        met = {r["s"]: r["n"] for r in _twice(_in_slices(slices, part)).groupBy("s").agg(F.sum("n").alias("n")).collect()}
+        met = {r["s"]: r["n"] for r in _twice(_in_slices(slices, part, rows)).groupBy("s").agg(F.sum("n").alias("n")).collect()}
         out |= {s for i, s in enumerate(part) if met.get(i, 0) * times <= DEFAULT_MAX_BROADCAST_ROWS * len(set(s) & set(sliced))}
     return out
 
@@ -160,16 +162,17 @@ def discover_keys(df: DataFrame, max_columns: int = 3, columns: Sequence[str] |
     few = slices.where(reduce(or_, [hit[k, times * FINE] for k in fine], F.pmod(F.monotonically_increasing_id(), F.lit(FINE)) == 0))
     wide = list(combinations(usable, min(max_columns, len(usable))))
     # all sets with the rows of all fine slices
-    known = _disproved(few.withColumn("hit", F.array(F.lit(ANY))), wide)
+    known = _disproved(few.withColumn("hit", F.array(F.lit(ANY))), wide, n * (len(fine) + 1) // (times * FINE))
     keys: list[Set] = []
     for size in range(1, max_columns + 1):
         below = {p for s in known for p in combinations(s, size)}  # rows that agree on a set agree on its parts
         left = [s for s in combinations(usable, size) if s not in below and not any(set(k) <= set(s) for k in keys)]
-        wrong = _disproved(slices, left)
+        rows = min(n, n * (size + 1) // times)
+        wrong = _disproved(slices, left, rows)
         left = [s for s in left if s not in wrong]
         if times > 1 and left:
             parts = [p for p, m in Counter(p for s in left for p in combinations(s, size - 1)).items() if p and m > 1]
-            wrong = _repeated(df, _shared(left, _rare(slices, parts, sliced, times)), n)
+            wrong = _repeated(df, _shared(left, _rare(slices, parts, rows, sliced, times)), n)
             left = [s for s in left if s not in wrong]
         # else one slice was the whole table
         keys += left
